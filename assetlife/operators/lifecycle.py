@@ -16,6 +16,7 @@ from assetlife.operators.sequence import (
     engine_sequence,
     sensors_present,
     transform_columns,
+    zscore_columns,
     zscore_stats,
 )
 
@@ -36,14 +37,14 @@ def rul_col():
 
 def add_normalized_cycle(df: DataFrame, key_cols=None, **seq_kw) -> DataFrame:
     """``cycle_norm = cycle / max_cycle(engine)``; a zero max gives NULL."""
-    seq = engine_sequence(df, key_cols, key_stats=_max_cycle_stat(), **seq_kw)
-    return seq.finish(seq.df.withColumn("cycle_norm", cycle_norm_col())).drop(_MAX)
+    out = engine_sequence(df, key_cols, key_stats=_max_cycle_stat(), **seq_kw)
+    return out.withColumn("cycle_norm", cycle_norm_col()).drop(_MAX)
 
 
 def add_remaining_useful_life(df: DataFrame, key_cols=None, **seq_kw) -> DataFrame:
     """``rul = max_cycle(engine) - cycle`` (run-to-failure data only)."""
-    seq = engine_sequence(df, key_cols, key_stats=_max_cycle_stat(), **seq_kw)
-    return seq.finish(seq.df.withColumn("rul", rul_col())).drop(_MAX)
+    out = engine_sequence(df, key_cols, key_stats=_max_cycle_stat(), **seq_kw)
+    return out.withColumn("rul", rul_col()).drop(_MAX)
 
 
 def select_feature_columns(df: DataFrame, sensor_cols=None) -> list[str]:
@@ -62,7 +63,7 @@ def engineer_features(
     window: int = ROLLING_WINDOW,
     include_rul: bool = True,
     key_cols=None,
-    stats: DataFrame | None = None,
+    stats: dict | None = None,
     **seq_kw,
 ) -> DataFrame:
     """The feature table in one segment pass: cycle_norm, z-score, delta,
@@ -72,13 +73,13 @@ def engineer_features(
         raise ValueError("No feature sensor columns present in DataFrame")
     check_window(window)
     keys = key_cols or [ENGINE]
-    seq = engine_sequence(df, keys, lookback=window - 1, key_stats=_max_cycle_stat(), **seq_kw)
-    cols = transform_columns(seq, sensors, window, stats if stats is not None else zscore_stats(df, sensors))
-    cols["cycle_norm"] = cycle_norm_col()
+    norms = zscore_columns(sensors, stats if stats is not None else zscore_stats(df, sensors))
+    wide = engine_sequence(df, keys, lambda w: transform_columns(w, sensors, window), lookback=window - 1,
+                           key_stats=_max_cycle_stat(), **seq_kw)
+    life = {"cycle_norm": cycle_norm_col()}
     if include_rul:
-        cols["rul"] = rul_col()
+        life["rul"] = rul_col()
     extra_keys = [k for k in keys if k not in (ENGINE, CYCLE)]
-    wide = seq.df.select(*df.columns, *seq.seg_cols, "_rn", "_halo", *[c.alias(n) for n, c in cols.items()])
-    wide = seq.finish(wide)
+    wide = wide.select("*", *[c.alias(n) for n, c in {**norms, **life}.items()])
     keep = select_feature_columns(wide, sensors)
     return wide.select(*extra_keys, *keep)

@@ -2,78 +2,46 @@
 
 A plain ``Window.partitionBy(engine).orderBy(cycle)`` sends every row of one
 engine to one task.  If one engine (or one file, or one supplier) holds a
-third of all rows, that task never finishes.  This module splits every key
-into *segments* - contiguous ranges of the per-key order, e.g.
-``floor(cycle / span)`` - and runs windows per ``(key, segment)``:
-
-1. ``segment stats``: ``groupBy(key, segment).count()`` (partial aggregation,
-   so a hot key costs one row per map task), then a window over that small
-   table gives every segment the number of key rows before it.
-2. ``main``: ``row_number`` per ``(key, segment)`` + the rows before the
-   segment = the exact per-key row number ``_rn``.
-3. ``halo``: a frame that looks ``lookback`` rows back (or ``lookahead``
-   ahead) needs rows of neighbouring segments.  Only the last ``lookback``
-   rows of each segment can be needed by a later segment, and only by the
-   segments that start within ``lookback`` rows after them, so each row is
-   copied at most ``lookback`` times and only near segment borders.  Halo rows
-   are flagged ``_halo`` and dropped after the window.
-
-The result is exact for any segment sizes (also empty or one-row segments),
-and no task ever holds more than one segment plus its halo.  The segment
-expressions must be non-decreasing along the order (a coarsening of a prefix
-of the order columns), which the caller guarantees.
+third of all rows, that task never finishes.  Here every key is split into
+*segments* - contiguous ranges of the per-key order, e.g.
+``floor(cycle / span)`` - and windows run per ``(key, segment)``:
+
+1. ``main``: one shuffle by (key, segment), one sort, and ONE window pass
+   computing the local row number and every requested window column.
+2. ``segment table``: ``groupBy(key, segment).count()`` (partial aggregation:
+   a hot key costs one row per map task); a window over this small table
+   gives each segment the number of key rows before it (-> exact per-key row
+   number ``_rn``), per-key statistics and its neighbour segments.  It is
+   joined on exactly the partitioning columns, so the rows do not move again.
+3. ``border``: rows whose frame reaches past their segment (the first
+   ``lookback`` / last ``lookahead`` rows of a segment) are recomputed from a
+   small set: those rows, their in-segment context and *halo* rows copied
+   from neighbouring segments.  Only the ``lookback`` rows before a segment
+   start (``lookahead`` after its end) are copied, each at most
+   ``lookback``/``lookahead`` times, so the border pass is a small shuffle.
+4. ``interior`` rows (frame inside the segment) keep the values of step 1;
+   the output is ``interior UNION border`` with no further shuffle.
+
+Results are exact for any segment sizes (also one-row segments), and no
+task ever holds more than one segment.  Key and segment columns are wrapped
+in structs so NULL keys group and join like any value.  Segment expressions
+must be non-decreasing along the order (a coarsening of an order prefix).
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 RN = "_rn"
-HALO = "_halo"
-_LRN = "_lrn"
-_N = "_n"
-_BEFORE = "_before"
+_KEY, _SEG, _LRN, _N, _BEFORE, _EMIT = "_key", "_seg", "_lrn", "_n", "_before", "_emit"
 
+ColumnsFn = Callable[[WindowSpec], dict[str, Column]]
 
-def _asc(names):
-    return [F.col(n).asc_nulls_last() for n in names]
-
-
-def _null_safe_join(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
-    """Equi-join on ``on`` treating NULL keys as equal; keeps left's key columns."""
-    renamed = right.select(*[F.col(c).alias(f"__r_{c}") for c in on], *[c for c in right.columns if c not in on])
-    cond = reduce(lambda a, b: a & b, [left[c].eqNullSafe(renamed[f"__r_{c}"]) for c in on])
-    return left.join(renamed, cond, "inner").drop(*[f"__r_{c}" for c in on])
-
-
-@dataclass
-class Sequenced:
-    """Rows with segment columns, per-key row number ``_rn`` and halo flag."""
-
-    df: DataFrame
-    keys: list[str]
-    seg_cols: list[str]
-    stats: list[str] = field(default_factory=list)
-
-    @property
-    def partition_cols(self) -> list[str]:
-        return [*self.keys, *self.seg_cols]
-
-    def window(self):
-        """Window over one segment (+ its halo) ordered by the per-key row number."""
-        return Window.partitionBy(*self.partition_cols).orderBy(RN)
-
-    def finish(self, df: DataFrame | None = None, keep: list[str] | None = None) -> DataFrame:
-        """Drop halo rows and helper columns."""
-        out = (self.df if df is None else df).filter(~F.col(HALO))
-        drop = [*self.seg_cols, HALO]
-        if keep is None or RN not in keep:
-            drop.append(RN)
-        return out.drop(*drop)
+_STAT_FN = {"max": (F.max, F.max), "min": (F.min, F.min), "sum": (F.sum, F.sum), "count": (F.count, F.sum)}
 
 
 def sequence(
@@ -81,91 +49,118 @@ def sequence(
     keys: list[str],
     order: list[Column],
     segment: list[Column],
+    columns: ColumnsFn | None = None,
     lookback: int = 0,
     lookahead: int = 0,
     key_stats: dict[str, tuple[str, Column]] | None = None,
-) -> Sequenced:
-    """Number rows per key along ``order`` and attach neighbour halos.
-
-    ``key_stats`` maps an output name to ``(fn, column)`` with fn one of
-    ``max``, ``min``, ``sum``, ``count``: a per-key statistic computed through
-    the segment table (never a whole-key window over the rows).
+    rn_name: str | None = None,
+) -> DataFrame:
+    """Add per-key window columns over ordered rows without whole-key tasks.
+
+    ``columns(w)`` returns ``{name: expression}`` built with the window spec
+    ``w`` (partitioned by key+segment, ordered along the key order); frames
+    may look at most ``lookback`` rows back and ``lookahead`` rows ahead.
+    ``key_stats`` maps a name to ``(fn, column)`` with fn in max/min/sum/count:
+    a per-key statistic gathered through the segment table.  ``rn_name``
+    keeps the exact per-key row number under that name.
     """
+    columns = columns or (lambda w: {})
     key_stats = key_stats or {}
-    seg_names = [f"_seg{i}" for i in range(len(segment))]
-    ord_names = [f"_ord{i}" for i in range(len(order))]
     data_cols = list(df.columns)
-    base = df.select(
-        "*",
-        *[c.alias(n) for c, n in zip(segment, seg_names)],
-        *[c.alias(n) for c, n in zip(order, ord_names)],
-    )
-    part = [*keys, *seg_names]
-
+    key_struct = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)])
+    # (is_null, value) pairs put NULL segments last, like the nulls-last order
+    seg_struct = F.struct(*[x for i, e in enumerate(segment) for x in (e.isNull().alias(f"n{i}"), e.alias(f"v{i}"))])
+    ord_names = [f"_o{i}" for i in range(len(order))]
+    base = df.select("*", key_struct.alias(_KEY), seg_struct.alias(_SEG), *[o.alias(n) for o, n in zip(order, ord_names)])
+
+    # 1. main pass: local row number + all window columns in one Window exec
+    w_main = Window.partitionBy(_KEY, _SEG).orderBy(*[F.col(n).asc_nulls_last() for n in ord_names])
+    main_cols = columns(w_main)
+    main = base.select(*data_cols, _KEY, _SEG, F.row_number().over(w_main).cast("long").alias(_LRN),
+                       *[c.alias(n) for n, c in main_cols.items()])
+
+    # 2. segment table: offsets, per-key statistics, neighbours
     seg_aggs = [F.count(F.lit(1)).alias(_N)]
     for name, (fn, c) in key_stats.items():
-        agg = {"max": F.max, "min": F.min, "sum": F.sum, "count": F.count}[fn]
-        seg_aggs.append(agg(c).alias(name))
-    seg = base.groupBy(*part).agg(*seg_aggs)
-
-    w_key = Window.partitionBy(*keys)
-    w_seg = w_key.orderBy(*_asc(seg_names))
-    seg_cols = {_BEFORE: F.coalesce(F.sum(_N).over(w_seg.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))}
+        seg_aggs.append(_STAT_FN[fn][0](c).alias(name))
+    seg = base.groupBy(_KEY, _SEG).agg(*seg_aggs)
+    w_key = Window.partitionBy(_KEY)
+    w_seg = w_key.orderBy(_SEG)
+    seg_out = {_BEFORE: F.coalesce(F.sum(_N).over(w_seg.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))}
     for name, (fn, _) in key_stats.items():
-        roll = {"max": F.max, "min": F.min, "sum": F.sum, "count": F.sum}[fn]
-        seg_cols[name] = roll(name).over(w_key)
-    seg = seg.withColumns(seg_cols)
+        seg_out[name] = _STAT_FN[fn][1](name).over(w_key)
     if lookback:
-        seg = seg.withColumn(
-            "_next",
-            F.array(*[
-                F.struct(*[F.lead(s, i).over(w_seg).alias(s) for s in seg_names],
-                         F.lead(_BEFORE, i).over(w_seg).alias("b"))
-                for i in range(1, lookback + 1)
-            ]),
-        )
+        seg_out["_next"] = F.array(*[
+            F.struct(F.lead(_SEG, i).over(w_seg).alias("s"),
+                     (F.coalesce(F.sum(_N).over(w_seg.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+                      + F.sum(_N).over(w_seg.rowsBetween(0, i - 1))).alias("b"))
+            for i in range(1, lookback + 1)])
     if lookahead:
-        seg = seg.withColumn(
-            "_prev",
-            F.array(*[
-                F.struct(*[F.lag(s, i).over(w_seg).alias(s) for s in seg_names],
-                         (F.lag(_BEFORE, i).over(w_seg) + F.lag(_N, i).over(w_seg)).alias("e"))
-                for i in range(1, lookahead + 1)
-            ]),
-        )
-
-    w_local = Window.partitionBy(*part).orderBy(*_asc(ord_names))
-    main = base.withColumn(_LRN, F.row_number().over(w_local).cast("long")).drop(*ord_names)
-    main = _null_safe_join(main, seg, part).withColumn(RN, F.col(_BEFORE) + F.col(_LRN))
+        seg_out["_prev"] = F.array(*[
+            F.struct(F.lag(_SEG, i).over(w_seg).alias("s"),
+                     F.coalesce(F.sum(_N).over(w_seg.rowsBetween(Window.unboundedPreceding, -i)), F.lit(0)).alias("e"))
+            for i in range(1, lookahead + 1)])
+    seg = seg.withColumns(seg_out)
+    main = main.join(seg, [_KEY, _SEG], "inner").withColumn(RN, F.col(_BEFORE) + F.col(_LRN))
 
     stat_names = list(key_stats)
-    out_cols = [*data_cols, *seg_names, RN, *stat_names]
-    pieces = [main.select(*out_cols, F.lit(False).alias(HALO))]
-    if lookback:
-        back = (
-            main.filter(F.col(_LRN) > F.col(_N) - lookback)
-            .select(*data_cols, RN, *stat_names, F.explode("_next").alias("_t"))
-            .filter(F.col("_t.b").isNotNull() & (F.col("_t.b") - F.col(RN) < lookback))
-            .select(*data_cols, *[F.col(f"_t.{s}").alias(s) for s in seg_names], RN, *stat_names,
-                    F.lit(True).alias(HALO))
-        )
+    extra = [RN] if rn_name else []
+    out_names = [*data_cols, *main_cols, *stat_names, *extra]
+    if not lookback and not lookahead:
+        return _finish(main.select(*data_cols, *main_cols, *stat_names, *extra), rn_name)
+
+    # 3. border rows, recomputed with halo rows from neighbouring segments
+    L, A = lookback, lookahead
+    lrn, n = F.col(_LRN), F.col(_N)
+    interior = main.filter((lrn > L) & (lrn <= n - A))
+    carry = [*data_cols, _KEY, RN, *stat_names]
+    context = main.filter((lrn <= L + A) | (lrn > n - A - L)).select(
+        *carry, _SEG, ((lrn <= L) | (lrn > n - A)).alias(_EMIT))
+    pieces = [context]
+    if L:
+        back = (main.filter(lrn > n - L).select(*carry, F.explode("_next").alias("_t"))
+                .filter(F.col("_t.s").isNotNull() & (F.col("_t.b") - F.col(RN) < L))
+                .select(*carry, F.col("_t.s").alias(_SEG), F.lit(False).alias(_EMIT)))
         pieces.append(back)
-    if lookahead:
-        ahead = (
-            main.filter(F.col(_LRN) <= lookahead)
-            .select(*data_cols, RN, *stat_names, F.explode("_prev").alias("_t"))
-            .filter(F.col("_t.e").isNotNull() & (F.col(RN) - F.col("_t.e") <= lookahead))
-            .select(*data_cols, *[F.col(f"_t.{s}").alias(s) for s in seg_names], RN, *stat_names,
-                    F.lit(True).alias(HALO))
-        )
+    if A:
+        ahead = (main.filter(lrn <= A).select(*carry, F.explode("_prev").alias("_t"))
+                 .filter(F.col("_t.s").isNotNull() & (F.col(RN) - F.col("_t.e") <= A))
+                 .select(*carry, F.col("_t.s").alias(_SEG), F.lit(False).alias(_EMIT)))
         pieces.append(ahead)
-    out = reduce(lambda a, b: a.unionByName(b), pieces)
-    return Sequenced(out, list(keys), seg_names, stat_names)
+    border_in = reduce(lambda a, b: a.unionByName(b), pieces)
+    w_border = Window.partitionBy(_KEY, _SEG).orderBy(RN)
+    border = border_in.select(*carry, _EMIT, *[c.alias(name) for name, c in columns(w_border).items()]).filter(_EMIT)
+    out = interior.select(*out_names).unionByName(border.select(*out_names))
+    return _finish(out, rn_name)
+
+
+def _finish(df: DataFrame, rn_name: str | None) -> DataFrame:
+    if rn_name and rn_name != RN:
+        return df.withColumnRenamed(RN, rn_name)
+    return df
 
 
 def row_numbers(df: DataFrame, keys: list[str], order: list[Column], segment: list[Column],
                 name: str = RN) -> DataFrame:
     """Exact per-key ``row_number`` along ``order`` without a whole-key task."""
-    seq = sequence(df, keys, order, segment)
-    out = seq.finish(keep=[RN])
-    return out.withColumnRenamed(RN, name) if name != RN else out
+    return sequence(df, keys, order, segment, rn_name=name)
+
+
+HEAVY_KEY_ROWS = 1 << 20
+HEAVY = "_heavy"
+
+
+def heavy_key_segments(df: DataFrame, keys: list[str], fine: list[Column],
+                       max_rows: int = HEAVY_KEY_ROWS) -> tuple[DataFrame, list[Column]]:
+    """Split only keys holding more than ``max_rows`` rows into fine segments.
+
+    ``groupBy(keys).count()`` is partially aggregated; the keys above the
+    threshold number at most ``count(df) / max_rows`` (a proven bound), so
+    that list is broadcast.  Light keys keep one segment; heavy keys use the
+    ``fine`` segment expressions.  Returns the marked frame (with a
+    ``_heavy`` column the caller drops) and the segment expressions.
+    """
+    heavy = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cnt"))
+             .filter(F.col("_cnt") > max_rows).select(*keys, F.lit(True).alias(HEAVY)))
+    marked = df.join(F.broadcast(heavy), keys, "left")
+    return marked, [F.when(F.col(HEAVY), e) for e in fine]

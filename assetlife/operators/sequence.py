@@ -9,12 +9,12 @@ rows, whatever the number of sensors.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from assetlife.config import CYCLE, DEFAULT_SEGMENT_SPAN, ENGINE, FEATURE_SENSORS, ROLLING_WINDOW
 from assetlife.functions import present
-from assetlife.operators.segments import Sequenced, sequence
+from assetlife.operators.segments import sequence
 
 
 def sort_observations(df: DataFrame, key_cols: list[str] | None = None) -> DataFrame:
@@ -35,13 +35,16 @@ def check_window(window: int) -> None:
 def engine_sequence(
     df: DataFrame,
     key_cols: list[str] | None = None,
+    columns=None,
     lookback: int = 0,
     lookahead: int = 0,
     key_stats: dict | None = None,
     tiebreak: list[str] | None = None,
     segment_span: int = DEFAULT_SEGMENT_SPAN,
-) -> Sequenced:
-    """Segment rows by cycle range within each key (see operators.segments)."""
+    rn_name: str | None = None,
+) -> DataFrame:
+    """Window columns per engine along (cycle, tiebreak), computed over
+    cycle-range segments of ``segment_span`` cycles (see operators.segments)."""
     keys = key_cols or [ENGINE]
     order = [F.col(CYCLE), *[F.col(c) for c in (tiebreak or [])]]
     return sequence(
@@ -49,31 +52,42 @@ def engine_sequence(
         keys=keys,
         order=order,
         segment=[F.floor(F.col(CYCLE) / F.lit(segment_span))],
+        columns=columns,
         lookback=lookback,
         lookahead=lookahead,
         key_stats=key_stats,
+        rn_name=rn_name,
     )
 
 
-def zscore_stats(df: DataFrame, sensors: list[str]) -> DataFrame:
-    """One row: mean and population std of every sensor (one aggregate pass)."""
+def zscore_stats(df: DataFrame, sensors: list[str]) -> dict[str, tuple[float | None, float | None]]:
+    """Mean and population std of every sensor: one distributed aggregate,
+    one row back to the driver.  Reusable, e.g. train statistics for test."""
+    if not sensors:
+        return {}
     aggs = []
     for s in sensors:
-        aggs += [F.avg(s).alias(f"__mean_{s}"), F.stddev_pop(s).alias(f"__std_{s}")]
-    return df.agg(*aggs)
+        aggs += [F.avg(s).alias(f"m_{s}"), F.stddev_pop(s).alias(f"s_{s}")]
+    row = df.agg(*aggs).first()
+    return {s: (row[f"m_{s}"], row[f"s_{s}"]) for s in sensors}
 
 
-def zscore_columns(sensors: list[str], stats: DataFrame) -> dict[str, Column]:
-    """``{s}_norm`` columns reading the one-row statistics as scalar subqueries
-    (Spark merges them into one aggregate job; no join with the rows)."""
+def zscore_columns(sensors: list[str], stats: dict) -> dict[str, Column]:
+    """``{s}_norm`` from the statistics (literals; no join with the rows).
+
+    A zero or undefined std gives 0.0 on every row, missing readings included.
+    """
     out = {}
     for s in sensors:
-        mean, std = stats.select(f"__mean_{s}").scalar(), stats.select(f"__std_{s}").scalar()
-        out[f"{s}_norm"] = F.when(std.isNull() | (std == 0), F.lit(0.0)).otherwise((F.col(s) - mean) / std)
+        mean, std = stats.get(s, (None, None))
+        if std is None or std == 0 or mean is None:
+            out[f"{s}_norm"] = F.lit(0.0)
+        else:
+            out[f"{s}_norm"] = (F.col(s) - F.lit(float(mean))) / F.lit(float(std))
     return out
 
 
-def normalize_sensors(df: DataFrame, sensor_cols=None, stats: DataFrame | None = None) -> DataFrame:
+def normalize_sensors(df: DataFrame, sensor_cols=None, stats: dict | None = None) -> DataFrame:
     """Z-score with global (whole-frame) mean and population std -> ``{s}_norm``.
 
     A zero or undefined std gives 0.0 on every row.  ``stats`` may carry
@@ -84,8 +98,8 @@ def normalize_sensors(df: DataFrame, sensor_cols=None, stats: DataFrame | None =
     return df.select(*df.columns, *[c.alias(n) for n, c in zscore_columns(sensors, stats).items()])
 
 
-def _lag_columns(seq: Sequenced, sensors: list[str], kind: str, window: int = ROLLING_WINDOW) -> dict[str, Column]:
-    w = seq.window()
+def lag_columns(w: WindowSpec, sensors: list[str], kind: str, window: int = ROLLING_WINDOW) -> dict[str, Column]:
+    """prev / delta / roc / rolling (mean + sample std) columns over ``w``."""
     out: dict[str, Column] = {}
     for s in sensors:
         prev = F.lag(s, 1).over(w)
@@ -105,9 +119,7 @@ def _lag_columns(seq: Sequenced, sensors: list[str], kind: str, window: int = RO
 def _per_sensor(df: DataFrame, sensor_cols, kind: str, key_cols, window: int = ROLLING_WINDOW,
                 lookback: int = 1, **seq_kw) -> DataFrame:
     sensors = sensors_present(df, sensor_cols)
-    seq = engine_sequence(df, key_cols, lookback=lookback, **seq_kw)
-    cols = _lag_columns(seq, sensors, kind, window)
-    return seq.finish(seq.df.select("*", *[c.alias(n) for n, c in cols.items()]))
+    return engine_sequence(df, key_cols, lambda w: lag_columns(w, sensors, kind, window), lookback=lookback, **seq_kw)
 
 
 def add_previous_reading(df: DataFrame, sensor_cols=None, key_cols=None, **seq_kw) -> DataFrame:
@@ -132,21 +144,27 @@ def add_rolling_stats(df: DataFrame, sensor_cols=None, window: int = ROLLING_WIN
     return _per_sensor(df, sensor_cols, "rolling", key_cols, window=window, lookback=window - 1, **seq_kw)
 
 
-def transform_columns(seq: Sequenced, sensors: list[str], window: int, stats: DataFrame) -> dict[str, Column]:
-    """norm, then delta, then rolling mean/std per sensor (the standard suite)."""
-    cols = zscore_columns(sensors, stats)
-    cols.update(_lag_columns(seq, sensors, "delta"))
-    cols.update(_lag_columns(seq, sensors, "rolling", window))
+def transform_columns(w: WindowSpec, sensors: list[str], window: int) -> dict[str, Column]:
+    """delta, then rolling mean/std per sensor (the window part of the suite)."""
+    cols = lag_columns(w, sensors, "delta")
+    cols.update(lag_columns(w, sensors, "rolling", window))
     return cols
 
 
+def suite_order(sensors: list[str]) -> list[str]:
+    """Output order of the standard suite: all norms, all deltas, then per
+    sensor rolling mean and std."""
+    return ([f"{s}_norm" for s in sensors] + [f"{s}_delta" for s in sensors]
+            + [c for s in sensors for c in (f"{s}_rolling_mean", f"{s}_rolling_std")])
+
+
 def apply_transformations(df: DataFrame, sensor_cols=None, window: int = ROLLING_WINDOW, key_cols=None,
-                          stats: DataFrame | None = None, **seq_kw) -> DataFrame:
-    """Standard suite in one pass: z-score, delta, rolling mean/std."""
+                          stats: dict | None = None, **seq_kw) -> DataFrame:
+    """Standard suite in one segment pass: z-score, delta, rolling mean/std."""
     check_window(window)
     sensors = sensors_present(df, sensor_cols)
     base_cols = df.columns
-    seq = engine_sequence(df, key_cols, lookback=window - 1, **seq_kw)
-    cols = transform_columns(seq, sensors, window, stats if stats is not None else zscore_stats(df, sensors))
-    out = seq.df.select(*base_cols, *seq.seg_cols, "_rn", "_halo", *[c.alias(n) for n, c in cols.items()])
-    return seq.finish(out)
+    out = engine_sequence(df, key_cols, lambda w: transform_columns(w, sensors, window), lookback=window - 1, **seq_kw)
+    norms = zscore_columns(sensors, stats if stats is not None else zscore_stats(df, sensors))
+    out = out.select("*", *[c.alias(n) for n, c in norms.items()])
+    return out.select(*base_cols, *suite_order(sensors))

@@ -40,10 +40,15 @@ def round6(c):
     return F.floor(c * F.lit(1e6) + F.lit(0.5)).cast("double") / F.lit(1e6)
 
 
-def rounded(df: DataFrame) -> DataFrame:
-    """Round every DOUBLE column to 6 digits."""
+def round_to(c, digits: int):
+    scale = F.lit(float(10 ** digits))
+    return F.floor(c * scale + F.lit(0.5)).cast("double") / scale
+
+
+def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
+    """Round every DOUBLE column to ``digits`` decimals."""
     return df.select(*[
-        round6(F.col(f.name)).alias(f.name)
+        round_to(F.col(f.name), digits).alias(f.name)
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f.name)
         for f in df.schema.fields
     ])
@@ -266,3 +271,166 @@ def q_window_analysis(spark, sf_dir):
 @register("window_analysis_full", with_features(_WA_SQL.replace(" LIMIT 5000", "")))
 def q_window_analysis_full(spark, sf_dir):
     return rounded(marts.window_analysis(li_features(spark, sf_dir), limit=None))
+
+
+# ------------------------------------------------------------- quality (DQ)
+from assetlife.config import RAW_COLUMNS  # noqa: E402
+from assetlife.operators import cleaning as cl  # noqa: E402
+from assetlife.operators import quality as dq  # noqa: E402
+from assetlife.plans.oracle import report_metrics_sql  # noqa: E402
+from assetlife.sources.adapters import (  # noqa: E402
+    dirty_trajectories,
+    token_expected_sql,
+    token_trajectories,
+)
+
+_RAW_D = [c for c in RAW_COLUMNS[2:]]
+
+
+def dirty(spark, sf_dir, keep_line=False):
+    return dirty_trajectories(spark, sf_dir, keep_line=keep_line)
+
+
+def _with_dirty(body: str, extra: str = "") -> str:
+    ctes = f"d AS ({adapter_sql('dirty')})" + (",\n" + extra if extra else "")
+    return f"WITH {ctes}\n{body}"
+
+
+def _missing_sql(src: str, columns: list[str], doubles: set[str]) -> str:
+    parts = []
+    for c in columns:
+        pred = f"{c} IS NULL" + (f" OR isnan({c})" if c in doubles else "")
+        parts.append(f"SELECT '{c}' AS column_name, COUNT(*) FILTER (WHERE {pred})::BIGINT AS missing_count FROM {src}")
+    return "SELECT * FROM (" + "\nUNION ALL\n".join(parts) + ") m WHERE missing_count > 0"
+
+
+@register("missing_counts", _with_dirty(_missing_sql("d", list(RAW_COLUMNS), set(_RAW_D))))
+def q_missing(spark, sf_dir):
+    return dq.missing_counts(dirty(spark, sf_dir))
+
+
+def _invalid_sql(src: str, doubles: list[str]) -> str:
+    inv = [(f"{c}_infinite", f"isinf({c})") for c in doubles] + [
+        ("engine_id_non_positive", "engine_id <= 0"), ("cycle_non_positive", "cycle <= 0")]
+    parts = [f"SELECT '{k}' AS key, COUNT(*) FILTER (WHERE {p})::BIGINT AS invalid_count FROM {src}" for k, p in inv]
+    return "SELECT * FROM (" + "\nUNION ALL\n".join(parts) + ") m WHERE invalid_count > 0"
+
+
+@register("invalid_counts", _with_dirty(_invalid_sql("d", _RAW_D)))
+def q_invalid(spark, sf_dir):
+    return dq.invalid_counts(dirty(spark, sf_dir))
+
+
+@register("duplicate_count", _with_dirty(
+    "SELECT COUNT(*)::BIGINT AS row_count, (SELECT COUNT(*) FROM (SELECT DISTINCT * FROM d) x)::BIGINT AS "
+    "distinct_count, (COUNT(*) - (SELECT COUNT(*) FROM (SELECT DISTINCT * FROM d) x))::BIGINT AS duplicate_count "
+    "FROM d"))
+def q_duplicates(spark, sf_dir):
+    return dq.duplicate_count(dirty(spark, sf_dir))
+
+
+@register("engine_cycle_range", _with_dirty(
+    "SELECT COUNT(DISTINCT engine_id)::BIGINT AS n_engines, MIN(cycle) AS cycle_min, MAX(cycle) AS cycle_max FROM d"))
+def q_cycle_range(spark, sf_dir):
+    df = dirty(spark, sf_dir)
+    per_engine = dq.engine_order_sorted(df)
+    return df.agg(F.min("cycle").alias("cycle_min"), F.max("cycle").alias("cycle_max")).select(
+        per_engine.agg(F.count(F.lit(1))).scalar().alias("n_engines"), "cycle_min", "cycle_max")
+
+
+@register("order_check_sorted", _with_dirty(
+    "SELECT engine_id, COUNT(*)::BIGINT AS n_rows, NOT (COUNT(*) > 1 AND COUNT(DISTINCT cycle) < COUNT(*)) AS ordered "
+    "FROM d WHERE engine_id IS NOT NULL GROUP BY engine_id"))
+def q_order_sorted(spark, sf_dir):
+    return dq.engine_order_sorted(dirty(spark, sf_dir))
+
+
+@register("order_check_physical",
+          f"WITH d AS ({adapter_sql('dirty_line')})\n"
+          "SELECT engine_id, COUNT(*) FILTER (WHERE rn > 1 AND NOT coalesce(cycle > prev, FALSE)) = 0 AS ordered "
+          "FROM (SELECT engine_id, cycle, ROW_NUMBER() OVER (PARTITION BY engine_id ORDER BY _line) AS rn, "
+          "LAG(cycle) OVER (PARTITION BY engine_id ORDER BY _line) AS prev FROM d WHERE engine_id IS NOT NULL) x "
+          "GROUP BY engine_id")
+def q_order_physical(spark, sf_dir):
+    return dq.engine_order_physical(dirty(spark, sf_dir, keep_line=True), ["_line"])
+
+
+_cte, _body = report_metrics_sql(adapter_sql("dirty"), list(RAW_COLUMNS), {"engine_id", "cycle"}, list(RAW_COLUMNS))
+
+
+@register("quality_report", f"WITH {_cte}\n{_body}")
+def q_quality_report(spark, sf_dir):
+    return dq.report_metrics(dq.report_frame(dirty(spark, sf_dir), stage="raw"))
+
+
+_cte_f, _body_f = report_metrics_sql("SELECT * FROM feat", _FEAT, {"engine_id", "cycle", "rul"},
+                                     ["engine_id", "cycle", "rul"])
+
+
+@register("quality_final", with_li(_body_f, feature_cte("li") + ",\n" + _cte_f))
+def q_quality_final(spark, sf_dir):
+    feats = li_features(spark, sf_dir)
+    return dq.report_metrics(dq.report_frame(feats, stage="final", required_columns=("engine_id", "cycle", "rul")))
+
+
+@register("final_gate", with_features(
+    "SELECT COUNT(*) = 0 AS empty, COUNT(*) FILTER (WHERE engine_id <= 0 OR cycle <= 0)::BIGINT AS invalid_ids "
+    "FROM feat"))
+def q_final_gate(spark, sf_dir):
+    return dq.final_gate(li_features(spark, sf_dir))
+
+
+# ------------------------------------------------------------- cleaning (CL)
+_RAW_LIST = ", ".join(RAW_COLUMNS)
+
+
+@register("drop_duplicates", _with_dirty(f"SELECT DISTINCT {_RAW_LIST} FROM d"))
+def q_drop_dup(spark, sf_dir):
+    return cl.drop_exact_duplicates(dirty(spark, sf_dir))
+
+
+@register("coerce_numeric", token_expected_sql())
+def q_coerce(spark, sf_dir):
+    return cl.enforce_numeric_types(token_trajectories(spark, sf_dir))
+
+
+_INF_SEL = ", ".join(f"CASE WHEN isinf({c}) THEN NULL ELSE {c} END AS {c}" if c in _RAW_D else c
+                     for c in RAW_COLUMNS)
+
+
+@register("inf_to_null", _with_dirty(f"SELECT {_INF_SEL} FROM d"))
+def q_inf_null(spark, sf_dir):
+    return cl.replace_infinites_with_nan(dirty(spark, sf_dir))
+
+
+_NOT_NULL = " AND ".join(f"{c} IS NOT NULL" for c in RAW_COLUMNS)
+
+
+@register("drop_missing", _with_dirty(f"SELECT * FROM (SELECT {_INF_SEL} FROM d) x WHERE {_NOT_NULL}"))
+def q_drop_missing(spark, sf_dir):
+    return cl.drop_rows_with_missing_core(cl.replace_infinites_with_nan(dirty(spark, sf_dir)))
+
+
+_VAR_SQL = "\nUNION ALL\n".join(
+    f"SELECT '{s}' AS sensor, FLOOR(VAR_POP({s}) * 1e3 + 0.5) / 1e3 AS var_pop, VAR_POP({s}) <= 1e-9 AS near_constant "
+    "FROM li"
+    for s in [f"sensor_{i:02d}" for i in range(1, 22)])
+
+
+@register("near_constant", with_li(_VAR_SQL))
+def q_near_constant(spark, sf_dir):
+    df = li(spark, sf_dir)
+    var = cl.sensor_variances(df)
+    pairs = ", ".join(f"'{s}', `{s}`" for s in var.columns)
+    out = var.select(F.expr(f"stack({len(var.columns)}, {pairs}) AS (sensor, var_pop)"))
+    # variances reach 1e9 here: 3 decimals keep 12+ significant digits
+    return rounded(out.select("sensor", "var_pop", (F.col("var_pop") <= 1e-9).alias("near_constant")), digits=3)
+
+
+_CLEAN_COLS = [c for c in RAW_COLUMNS if c != "sensor_01"]
+
+
+@register("clean_all", _with_dirty(
+    f"SELECT {', '.join(_CLEAN_COLS)} FROM (SELECT DISTINCT * FROM (SELECT {_INF_SEL} FROM d) y) x WHERE {_NOT_NULL}"))
+def q_clean_all(spark, sf_dir):
+    return cl.clean_sensor_data(dirty(spark, sf_dir))

@@ -15,10 +15,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assetlife.config import CYCLE, ENGINE, RAW_COLUMNS
-from assetlife.operators.segments import row_numbers
+from assetlife.operators.segments import HEAVY, heavy_key_segments, row_numbers
 
 ORDERKEY_BUCKET = 1 << 20
-EVENT_HOUR_MICROS = 3_600_000_000
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,20 +63,24 @@ def lineitem_trajectories(spark: SparkSession, sf_dir: str) -> DataFrame:
     """LI: one engine per supplier, cycles numbered along ship date.
 
     ``cycle = row_number() OVER (PARTITION BY l_suppkey ORDER BY l_shipdate,
-    l_orderkey, l_linenumber, l_partkey, l_extendedprice)``, computed in
-    segments of (ship date, order-key block) so a hot supplier is split.
+    l_orderkey, l_linenumber, l_partkey, l_extendedprice)``; a supplier above
+    the heavy-key threshold is numbered in segments of (ship date, order-key
+    block), so no task holds a hot supplier.
     """
     li = _table(spark, sf_dir, "lineitem").select(
         "l_suppkey", "l_shipdate", "l_orderkey", "l_linenumber", "l_partkey",
         "l_extendedprice", "l_quantity", "l_discount", "l_tax",
     )
+    # suppliers above a million rows are split by (ship date, order-key block)
+    li, segment = heavy_key_segments(li, ["l_suppkey"],
+                                     [F.col("l_shipdate"), F.floor(F.col("l_orderkey") / ORDERKEY_BUCKET)])
     numbered = row_numbers(
         li,
         keys=["l_suppkey"],
         order=[F.col(c) for c in ("l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")],
-        segment=[F.col("l_shipdate"), F.floor(F.col("l_orderkey") / ORDERKEY_BUCKET)],
+        segment=segment,
         name=CYCLE,
-    )
+    ).drop(HEAVY)
     sensors = lineitem_sensors()
     return numbered.select(
         (F.col("l_suppkey") + 1).cast("bigint").alias(ENGINE),
@@ -93,13 +96,15 @@ def event_trajectories(spark: SparkSession, sf_dir: str, keep_event_id: bool = F
     carries the event value shifted by 4.
     """
     ev = _table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
+    ev, segment = heavy_key_segments(ev, ["user_id"],
+                                     [F.col("ts"), F.floor(F.col("event_id") / ORDERKEY_BUCKET)])
     numbered = row_numbers(
         ev,
         keys=["user_id"],
         order=[F.col("ts"), F.col("event_id")],
-        segment=[F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / EVENT_HOUR_MICROS)],
+        segment=segment,
         name=CYCLE,
-    )
+    ).drop(HEAVY)
     v = F.col("value")
     cols = [
         (F.col("user_id") + 1).cast("bigint").alias(ENGINE),
@@ -218,3 +223,38 @@ _ADAPTER_SQL = {
     "dirty": _dirty_sql(),
     "dirty_line": _dirty_sql(keep_line=True),
 }
+
+
+# Tokens injected by the TOKENS adapter, keyed on cycle % 11.
+TOKEN_CASES = ("bad", "1d", None, "NaN", "inf", "-Infinity", "", "1e3")
+
+
+def token_trajectories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """TOKENS: LI ids and two sensors as *text*, as a dirty file would give them.
+
+    engine_id is written as '<id>.0'; sensor_02 carries junk by cycle % 11:
+    0 'bad', 1 '1d', 2 padded with blanks, 3 'NaN', 4 'inf', 5 '-Infinity',
+    6 '' and 7 '1e3'; other rows and sensor_03 hold the plain number.
+    """
+    base = lineitem_trajectories(spark, sf_dir).select(ENGINE, CYCLE, "sensor_02", "sensor_03")
+    k = F.col(CYCLE) % 11
+    s = F.col("sensor_02").cast("string")
+    token = (F.when(k == 2, F.concat(F.lit("  "), s, F.lit(" ")))
+             .when(k < 8, F.element_at(F.array(*[F.lit(t) for t in TOKEN_CASES]), (k + 1).cast("int")))
+             .otherwise(s))
+    return base.select(
+        F.concat(F.col(ENGINE).cast("string"), F.lit(".0")).alias(ENGINE),
+        F.col(CYCLE).cast("string").alias(CYCLE),
+        token.alias("sensor_02"),
+        F.col("sensor_03").cast("string").alias("sensor_03"),
+    )
+
+
+def token_expected_sql() -> str:
+    """DuckDB: the numbers ``enforce_numeric_types`` must recover from TOKENS."""
+    return f"""SELECT engine_id, cycle,
+  CASE cycle % 11 WHEN 0 THEN NULL WHEN 1 THEN NULL WHEN 2 THEN sensor_02 WHEN 3 THEN NULL
+    WHEN 4 THEN 'inf'::DOUBLE WHEN 5 THEN '-inf'::DOUBLE WHEN 6 THEN NULL WHEN 7 THEN 1000.0::DOUBLE
+    ELSE sensor_02 END AS sensor_02,
+  sensor_03
+FROM ({_li_sql()}) t"""
