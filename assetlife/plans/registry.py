@@ -434,3 +434,106 @@ _CLEAN_COLS = [c for c in RAW_COLUMNS if c != "sensor_01"]
     f"SELECT {', '.join(_CLEAN_COLS)} FROM (SELECT DISTINCT * FROM (SELECT {_INF_SEL} FROM d) y) x WHERE {_NOT_NULL}"))
 def q_clean_all(spark, sf_dir):
     return cl.clean_sensor_data(dirty(spark, sf_dir))
+
+
+# ------------------------------------------------------- sources / sinks (SRC, SNK)
+from assetlife import sinks  # noqa: E402
+from assetlife.session import scratch_path  # noqa: E402
+from assetlife.sources import text as src  # noqa: E402
+from assetlife.sources.adapters import rul_value, text_expected_sql, write_trajectory_text  # noqa: E402
+
+
+def _raw_dir_with(spark, sf_dir, files: dict[str, DataFrame]) -> str:
+    """A fresh raw folder in the shared checkpoint dir holding derived text files."""
+    base = scratch_path(spark, "raw")
+    for rel, df in files.items():
+        write_trajectory_text(df, f"{base}/{rel}")
+    return base
+
+
+@register("parse_text", text_expected_sql())
+def q_parse_text(spark, sf_dir):
+    raw = _raw_dir_with(spark, sf_dir, {"CMAPSSData/train_FD001.txt": li(spark, sf_dir)})
+    return src.load_raw_data(spark, "FD001", "train", raw)
+
+
+@register("provenance", with_li(
+    "SELECT CASE WHEN engine_id % 2 = 0 THEN 'FD001' ELSE 'FD002' END AS variant, "
+    "CASE WHEN engine_id % 2 = 0 THEN 'train' ELSE 'test' END AS split, COUNT(*)::BIGINT AS n_rows, "
+    "COUNT(DISTINCT engine_id)::BIGINT AS n_engines, SUM(cycle)::BIGINT AS sum_cycle FROM li GROUP BY 1, 2"))
+def q_provenance(spark, sf_dir):
+    rows = li(spark, sf_dir)
+    raw = _raw_dir_with(spark, sf_dir, {
+        "train_FD001.txt": rows.filter(F.col("engine_id") % 2 == 0),
+        "nested/test_FD002.txt": rows.filter(F.col("engine_id") % 2 == 1),
+    })
+    both = src.load_variants(spark, raw, pairs=[("FD001", "train"), ("FD002", "test")])
+    return both.groupBy("variant", "split").agg(F.count(F.lit(1)).alias("n_rows"),
+                                                F.countDistinct("engine_id").alias("n_engines"),
+                                                F.sum("cycle").alias("sum_cycle"))
+
+
+@register("list_files")
+def q_list_files(spark, sf_dir):
+    rows = li(spark, sf_dir)
+    raw = _raw_dir_with(spark, sf_dir, {"CMAPSSData/train_FD001.txt": rows,
+                                        "CMAPSSData/test_FD001.txt": rows.filter(F.col("cycle") <= 50)})
+    return src.list_available_files(spark, raw).select(
+        F.regexp_extract("path", r"/((train|test)_FD\d+\.txt)/", 1).alias("file"), "length")
+
+
+def _test_split(rows: DataFrame) -> DataFrame:
+    """Test split: every engine loses its last (engine_id % 37) + 10 cycles."""
+    from assetlife.operators.lifecycle import add_remaining_useful_life
+
+    return add_remaining_useful_life(rows).filter(F.col("rul") >= rul_value()).drop("rul")
+
+
+def _write_rul_file(spark, rows: DataFrame) -> str:
+    path = scratch_path(spark, "rul") + "/RUL_FD001.txt"
+    engines = rows.select("engine_id").distinct()
+    engines.orderBy("engine_id").select(rul_value().cast("string").alias("value")).write.text(path)
+    return path
+
+
+_TEST_SQL = ("test AS (SELECT * FROM (SELECT *, MAX(cycle) OVER (PARTITION BY engine_id) AS mc FROM li) x "
+             "WHERE mc - cycle >= engine_id % 37 + 10)")
+
+
+@register("rul_targets", with_li(
+    "SELECT CAST(ROW_NUMBER() OVER (ORDER BY engine_id) AS BIGINT) AS engine_id, CAST(engine_id % 37 + 10 AS DOUBLE) "
+    "AS rul FROM (SELECT DISTINCT engine_id FROM li) e"))
+def q_rul_targets(spark, sf_dir):
+    path = _write_rul_file(spark, li(spark, sf_dir))
+    return src.load_rul_targets(spark, path=path)
+
+
+@register("attach_official_rul", with_li(
+    "SELECT t.engine_id, t.cycle, CAST(t.mc - t.cycle AS DOUBLE) AS rul FROM test t "
+    "JOIN (SELECT engine_id, ROW_NUMBER() OVER (ORDER BY engine_id) AS pos FROM (SELECT DISTINCT engine_id FROM li) e) p "
+    "ON p.pos = t.engine_id", _TEST_SQL))
+def q_attach_rul(spark, sf_dir):
+    rows = li(spark, sf_dir)
+    targets = src.load_rul_targets(spark, path=_write_rul_file(spark, rows))
+    test = _test_split(rows)
+    return src.attach_official_rul(test, targets).select("engine_id", "cycle", "rul")
+
+
+@register("features_roundtrip", with_features(f"SELECT {select_rounded(_FEAT, _FEAT_DOUBLES)} FROM feat"))
+def q_features_roundtrip(spark, sf_dir):
+    path = sinks.write_parquet(li_features(spark, sf_dir), scratch_path(spark, "features"))
+    return rounded(src.load_features_table(spark, path, "sensor_features"))
+
+
+@register("csv_roundtrip", with_features(_SUMMARY_SQL))
+def q_csv_roundtrip(spark, sf_dir):
+    summary = rounded(marts.engine_summary(li_features(spark, sf_dir)))
+    path = sinks.write_csv(summary, scratch_path(spark, "csv") + "/engine_summary")
+    return spark.read.schema(summary.schema).option("header", True).csv(path)
+
+
+@register("report_json", ORACLE["quality_report"])
+def q_report_json(spark, sf_dir):
+    report = dq.build_quality_report(dirty(spark, sf_dir), stage="raw")
+    path = dq.save_quality_report(spark, report, scratch_path(spark, "report") + "/data_quality_report_raw.json")
+    return dq.report_metrics(spark.read.schema(dq._report_schema()).json(path))

@@ -258,3 +258,55 @@ def token_expected_sql() -> str:
     ELSE sensor_02 END AS sensor_02,
   sensor_03
 FROM ({_li_sql()}) t"""
+
+
+# --------------------------------------------------------------- text files
+def text_line(df: DataFrame) -> Column:
+    """One whitespace-separated line per row of the 26 raw columns, with the
+    TEXT adapter's damage keyed on cycle % 13 (fixed values): 0 sensor_05 is
+    'bad'; 1 extra blanks around and between fields; 2 sensor_07 is 'NaN';
+    3 the line stops after 20 fields (sensor_16..21 missing)."""
+    k = F.col(CYCLE) % 13
+    fields = []
+    for c in RAW_COLUMNS:
+        v = F.col(c).cast("string")
+        if c == "sensor_05":
+            v = F.when(k == 0, F.lit("bad")).otherwise(v)
+        if c == "sensor_07":
+            v = F.when(k == 2, F.lit("NaN")).otherwise(v)
+        fields.append(v)
+    full = F.concat_ws(" ", *fields)
+    short = F.concat_ws(" ", *fields[:20])
+    spaced = F.concat(F.lit("  "), F.concat_ws("   ", *fields), F.lit("\t "))
+    return F.when(k == 3, short).when(k == 1, spaced).otherwise(full)
+
+
+def write_trajectory_text(df: DataFrame, path: str, blank_lines: bool = True) -> str:
+    """Write raw rows as a text 'file' (a directory of part files); rows with
+    cycle % 13 = 4 are followed by an extra blank line."""
+    lines = df.select(text_line(df).alias("value"))
+    if blank_lines:
+        lines = lines.unionByName(df.filter(F.col(CYCLE) % 13 == 4).select(F.lit("   ").alias("value")))
+    lines.write.mode("overwrite").text(path)
+    return path
+
+
+def text_expected_sql() -> str:
+    """DuckDB: the rows a parser must recover from the TEXT adapter."""
+    sel = []
+    for c in RAW_COLUMNS:
+        if c == "sensor_05":
+            sel.append("CASE WHEN cycle % 13 = 0 THEN NULL ELSE sensor_05 END AS sensor_05")
+        elif c == "sensor_07":
+            sel.append("CASE WHEN cycle % 13 = 2 THEN NULL ELSE sensor_07 END AS sensor_07")
+        elif c in RAW_COLUMNS[20:]:
+            sel.append(f"CASE WHEN cycle % 13 = 3 THEN NULL ELSE {c} END AS {c}")
+        else:
+            sel.append(c)
+    return f"SELECT {', '.join(sel)} FROM ({_li_sql()}) t"
+
+
+def rul_value() -> Column:
+    """Fixed rule of the derived RUL targets: cycles cut from the end of an
+    engine for the test split, (engine_id % 37) + 10."""
+    return (F.col(ENGINE) % 37 + 10).cast("bigint")
