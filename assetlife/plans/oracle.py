@@ -14,7 +14,8 @@ S7 = FEATURE_SENSORS
 
 
 def r6(expr: str, name: str) -> str:
-    return f"FLOOR(CAST({expr} AS DOUBLE) * 1e6 + 0.5) / 1e6 AS {name}"
+    x = f"CAST({expr} AS DOUBLE)"
+    return f"FLOOR({x} * 1e6 + 0.5 + ABS({x}) * 1e-5) / 1e6 AS {name}"
 
 
 def with_li(body: str, extra_ctes: str = "") -> str:

@@ -34,15 +34,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
-def round6(c):
-    """floor(x * 1e6 + 0.5) / 1e6: plain IEEE steps, identical in both engines
-    (decimal ``round`` differs between engines on exact half ties)."""
-    return F.floor(c * F.lit(1e6) + F.lit(0.5)).cast("double") / F.lit(1e6)
+def round_to(c, digits: int):
+    """floor(x * 10^d + 0.5 + |x| * 10^(d-11)) / 10^d in plain IEEE steps, the
+    same formula as the SQL twins.  The relative nudge (1e-11) makes values
+    that are exact decimal ties (e.g. a mean of 25.4521685) round the same way
+    in both engines despite last-bit summation differences."""
+    scale = float(10 ** digits)
+    nudge = F.abs(c) * F.lit(scale * 1e-11)
+    return F.floor(c * F.lit(scale) + F.lit(0.5) + nudge).cast("double") / F.lit(scale)
 
 
-def round_to(c, digits: int):
-    scale = F.lit(float(10 ** digits))
-    return F.floor(c * scale + F.lit(0.5)).cast("double") / scale
+def round6(c):
+    return round_to(c, 6)
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -412,7 +415,8 @@ def q_drop_missing(spark, sf_dir):
 
 
 _VAR_SQL = "\nUNION ALL\n".join(
-    f"SELECT '{s}' AS sensor, FLOOR(VAR_POP({s}) * 1e3 + 0.5) / 1e3 AS var_pop, VAR_POP({s}) <= 1e-9 AS near_constant "
+    f"SELECT '{s}' AS sensor, FLOOR(VAR_POP({s}) * 1e3 + 0.5 + ABS(VAR_POP({s})) * 1e-8) / 1e3 AS var_pop, "
+    f"VAR_POP({s}) <= 1e-9 AS near_constant "
     "FROM li"
     for s in [f"sensor_{i:02d}" for i in range(1, 22)])
 
@@ -537,3 +541,206 @@ def q_report_json(spark, sf_dir):
     report = dq.build_quality_report(dirty(spark, sf_dir), stage="raw")
     path = dq.save_quality_report(spark, report, scratch_path(spark, "report") + "/data_quality_report_raw.json")
     return dq.report_metrics(spark.read.schema(dq._report_schema()).json(path))
+
+
+# ------------------------------------------------------------ exploration (EX)
+from assetlife.operators import explore as ex  # noqa: E402
+from assetlife.operators import model as ml  # noqa: E402
+
+
+def _describe_sql(src: str, cols: list[str]) -> str:
+    parts = []
+    for c in cols:
+        x = f"CAST({c} AS DOUBLE)"
+        parts.append(
+            f"SELECT '{c}' AS column_name, COUNT({c})::BIGINT AS count, {r6(f'AVG({x})', 'mean')}, "
+            f"{r6(f'STDDEV_SAMP({x})', 'std')}, {r6(f'MIN({x})', 'min')}, "
+            f"{r6(f'QUANTILE_CONT({x}, 0.25)', 'p25')}, {r6(f'QUANTILE_CONT({x}, 0.5)', 'p50')}, "
+            f"{r6(f'QUANTILE_CONT({x}, 0.75)', 'p75')}, {r6(f'MAX({x})', 'max')} FROM {src}")
+    return "\nUNION ALL\n".join(parts)
+
+
+@register("describe", with_li(_describe_sql("li", list(RAW_COLUMNS))))
+def q_describe(spark, sf_dir):
+    return rounded(ex.describe(li(spark, sf_dir)))
+
+
+@register("engine_life_describe", with_li(
+    _describe_sql("life", ["max_cycle"]),
+    feature_cte("li") + ",\nlife AS (SELECT engine_id, MAX(cycle) AS max_cycle FROM feat GROUP BY engine_id)"))
+def q_engine_life_describe(spark, sf_dir):
+    return rounded(ex.describe(ex.engine_life(li_features(spark, sf_dir)), ["max_cycle"]))
+
+
+@register("sensor_summary", with_features("\nUNION ALL\n".join(
+    f"SELECT '{s}' AS sensor, {r6(f'AVG({s})', 'mean')}, {r6(f'STDDEV_SAMP({s})', 'std')}, "
+    f"{r6(f'MIN({s})', 'min')}, {r6(f'MAX({s})', 'max')} FROM feat" for s in S7)))
+def q_sensor_summary(spark, sf_dir):
+    return rounded(ex.sensor_summary(li_features(spark, sf_dir)))
+
+
+@register("engine_sample", with_features(
+    "SELECT engine_id, cycle, sensor_04 FROM feat WHERE engine_id IN (1, 5, 10, 25, 50)"))
+def q_engine_sample(spark, sf_dir):
+    return ex.engine_sample(li_features(spark, sf_dir))
+
+
+def _hist_sql(src: str, col: str, bins: int) -> str:
+    return f"""SELECT b.bin::INT AS bin, {r6(f'r.lo + CAST(b.bin AS DOUBLE) * ((r.hi - r.lo) / {bins}.0)', 'lower')},
+  {r6(f'r.lo + CAST(b.bin + 1 AS DOUBLE) * ((r.hi - r.lo) / {bins}.0)', 'upper')},
+  COALESCE(c.n, 0)::BIGINT AS count
+FROM range({bins}) b(bin)
+CROSS JOIN (SELECT CASE WHEN MIN(v) = MAX(v) THEN MIN(v) - 0.5 ELSE MIN(v) END AS lo,
+                   CASE WHEN MIN(v) = MAX(v) THEN MAX(v) + 0.5 ELSE MAX(v) END AS hi
+            FROM (SELECT CAST({col} AS DOUBLE) AS v FROM {src}) s) r
+LEFT JOIN (SELECT LEAST(FLOOR((v - r2.lo) / (r2.hi - r2.lo) * {bins}.0), {bins - 1})::INT AS bin, COUNT(*) AS n
+           FROM (SELECT CAST({col} AS DOUBLE) AS v FROM {src} WHERE {col} IS NOT NULL) s2
+           CROSS JOIN (SELECT CASE WHEN MIN(v) = MAX(v) THEN MIN(v) - 0.5 ELSE MIN(v) END AS lo,
+                              CASE WHEN MIN(v) = MAX(v) THEN MAX(v) + 0.5 ELSE MAX(v) END AS hi
+                       FROM (SELECT CAST({col} AS DOUBLE) AS v FROM {src}) s3) r2
+           GROUP BY 1) c ON c.bin = b.bin"""
+
+
+def _rounded_hist(df):
+    return df.select("bin", round6(F.col("lower")).alias("lower"), round6(F.col("upper")).alias("upper"), "count")
+
+
+@register("life_histogram", with_li(
+    _hist_sql("life", "max_cycle", 20),
+    feature_cte("li") + ",\nlife AS (SELECT engine_id, MAX(cycle) AS max_cycle FROM feat GROUP BY engine_id)"))
+def q_life_hist(spark, sf_dir):
+    return _rounded_hist(ex.histogram(ex.engine_life(li_features(spark, sf_dir)), "max_cycle", 20))
+
+
+@register("rul_histogram", with_features(_hist_sql("feat", "rul", 40)))
+def q_rul_hist(spark, sf_dir):
+    return _rounded_hist(ex.histogram(li_features(spark, sf_dir), "rul", 40))
+
+
+_CORR_COLS = [*S7, "rul"]
+
+
+def _corr_expr(a: str, b: str) -> str:
+    both = f"{a} IS NOT NULL AND {b} IS NOT NULL"
+    return (f"COVAR_POP({a}, {b}) FILTER (WHERE {both}) / NULLIF(STDDEV_POP({a}) FILTER (WHERE {both}) * "
+            f"STDDEV_POP({b}) FILTER (WHERE {both}), 0)")
+
+
+@register("corr_matrix", with_features("\nUNION ALL\n".join(
+    f"SELECT '{a}' AS var_a, '{b}' AS var_b, {r6(_corr_expr(a, b), 'corr')} FROM feat"
+    for a in _CORR_COLS for b in _CORR_COLS)))
+def q_corr_matrix(spark, sf_dir):
+    return rounded(ex.correlation_pairs(li_features(spark, sf_dir), _CORR_COLS))
+
+
+@register("rul_corr_rank", with_features("\nUNION ALL\n".join(
+    f"SELECT '{s}' AS sensor, {r6(_corr_expr(s, 'rul'), 'corr_with_rul')} FROM feat" for s in S7)))
+def q_rul_corr(spark, sf_dir):
+    return rounded(ex.rul_correlations(li_features(spark, sf_dir)))
+
+
+@register("engine_series", with_features(
+    "SELECT cycle, sensor_04, " + r6("sensor_04_rolling_mean", "sensor_04_rolling_mean") + ", "
+    + r6("sensor_04_delta", "sensor_04_delta") + ", " + r6("sensor_04_rolling_std", "sensor_04_rolling_std")
+    + " FROM feat WHERE engine_id = 1"))
+def q_engine_series(spark, sf_dir):
+    # rolling / delta are per engine: filtering the input first gives the same values
+    one = li(spark, sf_dir).filter(F.col("engine_id") == 1)
+    return rounded(ex.engine_series(fe.engineer_features(one)))
+
+
+_Q = lambda q: f"QUANTILE_CONT(sensor_04, {q})"
+_IQR_CTE = (f"fences AS (SELECT {_Q(0.25)} AS q1, {_Q(0.5)} AS q2, {_Q(0.75)} AS q3 FROM feat), "
+            "f AS (SELECT q1, q2, q3, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM fences)")
+
+
+@register("iqr_outliers", with_li(
+    f"SELECT {r6('MAX(f.q1)', 'q1')}, {r6('MAX(f.q3)', 'q3')}, {r6('MAX(f.iqr)', 'iqr')}, {r6('MAX(f.lo)', 'lower')}, "
+    f"{r6('MAX(f.hi)', 'upper')}, COUNT(*) FILTER (WHERE sensor_04 < f.lo OR sensor_04 > f.hi)::BIGINT AS n_outliers, "
+    f"COUNT(*)::BIGINT AS n_rows, "
+    + r6("100.0 * COUNT(*) FILTER (WHERE sensor_04 < f.lo OR sensor_04 > f.hi) / COUNT(*)", "outlier_pct")
+    + " FROM feat, f", feature_cte("li") + ",\n" + _IQR_CTE))
+def q_iqr(spark, sf_dir):
+    return rounded(ex.iqr_outliers(li_features(spark, sf_dir)))
+
+
+@register("boxplot_stats", with_li(
+    f"SELECT {r6('MAX(f.q1)', 'q1')}, {r6('MAX(f.q2)', 'median')}, {r6('MAX(f.q3)', 'q3')}, "
+    f"{r6('MIN(sensor_04) FILTER (WHERE sensor_04 >= f.lo AND sensor_04 <= f.hi)', 'whisker_low')}, "
+    f"{r6('MAX(sensor_04) FILTER (WHERE sensor_04 >= f.lo AND sensor_04 <= f.hi)', 'whisker_high')}, "
+    "COUNT(*) FILTER (WHERE sensor_04 < f.lo)::BIGINT AS n_low_outliers, "
+    "COUNT(*) FILTER (WHERE sensor_04 > f.hi)::BIGINT AS n_high_outliers FROM feat, f",
+    feature_cte("li") + ",\n" + _IQR_CTE))
+def q_boxplot(spark, sf_dir):
+    return rounded(ex.boxplot_stats(li_features(spark, sf_dir)))
+
+
+_RC = "\nUNION ALL\n".join(f"SELECT '{s}' AS sensor, {_corr_expr(s, 'rul')} AS c FROM feat" for s in S7)
+_FIND_SQL = f"""SELECT (SELECT COUNT(*) FROM li)::BIGINT AS n_rows_raw,
+  (SELECT COUNT(DISTINCT engine_id) FROM li)::BIGINT AS n_engines,
+  (SELECT MIN(cycle) FROM li) AS cycle_min, (SELECT MAX(cycle) FROM li) AS cycle_max,
+  {r6('(SELECT AVG(max_cycle) FROM life)', 'mean_engine_life')},
+  {r6('(SELECT QUANTILE_CONT(max_cycle, 0.5) FROM life)', 'median_engine_life')},
+  ((SELECT COUNT(*) FROM li) - (SELECT COUNT(*) FROM (SELECT DISTINCT * FROM li) d))::BIGINT AS duplicate_rows_raw,
+  ({' + '.join(f'(SELECT COUNT(*) FILTER (WHERE {c} IS NULL) FROM li)' for c in RAW_COLUMNS)})::BIGINT AS missing_cells_raw,
+  {r6('(SELECT 100.0 * COUNT(*) FILTER (WHERE sensor_04 < f.lo OR sensor_04 > f.hi) / COUNT(*) FROM feat, f)',
+      'sensor_04_outlier_pct')},
+  (SELECT arg_min(sensor, c) FROM rc) AS strongest_negative_corr_with_rul,
+  {r6('(SELECT MIN(c) FROM rc)', 'strongest_negative_corr_value')},
+  (SELECT arg_max(sensor, c) FROM rc) AS strongest_positive_corr_with_rul,
+  {r6('(SELECT MAX(c) FROM rc)', 'strongest_positive_corr_value')}"""
+
+
+@register("findings", with_li(_FIND_SQL, feature_cte("li") + ",\n" + _IQR_CTE
+                               + ",\nlife AS (SELECT engine_id, MAX(cycle) AS max_cycle FROM feat GROUP BY engine_id)"
+                               + f",\nrc AS ({_RC})"))
+def q_findings(spark, sf_dir):
+    return rounded(ex.findings(li(spark, sf_dir), li_features(spark, sf_dir)))
+
+
+# ------------------------------------------------------------- modelling (ML)
+_NOT_NULL_FEAT = " AND ".join(f"{c} IS NOT NULL" for c in _FEAT)
+_CC_CTE = f"cc AS (SELECT * FROM feat WHERE {_NOT_NULL_FEAT})"
+_SPLIT_CTE = ("h AS (SELECT engine_id, ('0x' || substr(md5(CAST(engine_id AS VARCHAR) || ':42'), 1, 15))::BIGINT AS h "
+              "FROM (SELECT DISTINCT engine_id FROM cc) e), "
+              "sp AS (SELECT engine_id, ROW_NUMBER() OVER (ORDER BY h, engine_id) <= "
+              "FLOOR(0.8 * COUNT(*) OVER ()) AS is_train FROM h)")
+
+
+@register("complete_cases", with_li(f"SELECT {select_rounded(_FEAT, _FEAT_DOUBLES)} FROM cc",
+                                    feature_cte("li") + ",\n" + _CC_CTE))
+def q_complete_cases(spark, sf_dir):
+    return rounded(ml.complete_cases(li_features(spark, sf_dir)))
+
+
+@register("grouped_split", with_li("SELECT engine_id, is_train FROM sp",
+                                   feature_cte("li") + ",\n" + _CC_CTE + ",\n" + _SPLIT_CTE))
+def q_grouped_split(spark, sf_dir):
+    return ml.engine_split(ml.complete_cases(li_features(spark, sf_dir)))
+
+
+@register("regression_metrics", with_li(
+    f"SELECT {r6('AVG(ABS(p - rul))', 'mae')}, {r6('SQRT(AVG((p - rul) * (p - rul)))', 'rmse')}, "
+    + r6("1 - SUM((p - rul) * (p - rul)) / (VAR_POP(rul) * COUNT(*))", "r2") + ", COUNT(*)::BIGINT AS n_test "
+    "FROM (SELECT cc.rul, (SELECT AVG(rul) FROM cc JOIN sp USING (engine_id) WHERE is_train) AS p "
+    "FROM cc JOIN sp USING (engine_id) WHERE NOT is_train) t",
+    feature_cte("li") + ",\n" + _CC_CTE + ",\n" + _SPLIT_CTE))
+def q_regression_metrics(spark, sf_dir):
+    """Metrics of the train-mean baseline (deterministic, so SQL can check it)."""
+    train, test = ml.grouped_holdout(ml.complete_cases(li_features(spark, sf_dir)))
+    mean = train.agg(F.avg("rul")).first()[0]
+    return rounded(ml.regression_metrics(test.withColumn("prediction", F.lit(mean))))
+
+
+@register("rf_predict")
+def q_rf_predict(spark, sf_dir):
+    """Random forest (100 trees, depth 12, seed 42) on the engine-grouped split."""
+    cc = ml.complete_cases(li_features(spark, sf_dir))
+    train, test = ml.grouped_holdout(cc)
+    model = ml.fit_random_forest(train, ml.model_feature_columns(cc))
+    return ml.predict(model, test).select("engine_id", "cycle", "rul", round6(F.col("prediction")).alias("prediction"))
+
+
+@register("rf_metrics")
+def q_rf_metrics(spark, sf_dir):
+    return rounded(ml.regression_metrics(q_rf_predict(spark, sf_dir)))

@@ -10,7 +10,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
@@ -69,3 +71,17 @@ def materialize(df: DataFrame, eager: bool = True) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+@contextmanager
+def persisted(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK):
+    """Keep ``df`` for a multi-pass operator and release it afterwards.
+
+    Lost blocks are recomputed from lineage, so this survives executor loss;
+    callers persist only the narrow projection they iterate over.
+    """
+    kept = df.persist(level)
+    try:
+        yield kept
+    finally:
+        kept.unpersist()
