@@ -89,18 +89,43 @@ def project_to_schema(df: DataFrame, extra: list[str] | None = None) -> DataFram
     return df.select(*(extra or []), ENGINE, CYCLE, *present(df, SETTING_COLS), *present(df, SENSOR_COLS))
 
 
+def _valid(df: DataFrame, name: str):
+    """True when the value survives CL2 + CL3 + CL4: a finite number."""
+    dtype = df.schema[name].dataType
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        x = F.col(name)
+        return x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf")))
+    if isinstance(dtype, T.NumericType):
+        return F.col(name).isNotNull()
+    coerced = to_double(df, name)
+    return coerced.isNotNull() & (F.abs(coerced) != F.lit(float("inf")))
+
+
 def clean_sensor_data(df: DataFrame, drop_constant_sensors: bool = True, key_cols=None,
                       sort: bool = False) -> DataFrame:
     """CL1 -> CL2 -> CL3 -> CL4 -> (CL5) -> CL7 -> CL8 (-> CL6 when ``sort``).
 
-    Sorting is optional: downstream windows order rows themselves, and a
-    global sort is a range shuffle nobody needs unless writing ordered output.
+    Same rows and values as applying the steps one by one, but planned as
+    "dedupe, keep rows whose schema columns are all finite numbers, then
+    coerce": numeric columns pass through unchanged, so no per-column CASE
+    rewrite sits under the NOT NULL filter.  (That pattern makes Catalyst's
+    constraint propagation explode once windows and joins are stacked on
+    top.)  Sorting is optional: windows order rows themselves.
     """
     extra = [k for k in (key_cols or []) if k not in (ENGINE, CYCLE)]
     out = drop_exact_duplicates(df)
-    out = enforce_numeric_types(out)
-    out = replace_infinites_with_nan(out)
-    out = drop_rows_with_missing_core(out, tuple(c for c in RAW_COLUMNS if c in out.columns))
+    core = [c for c in RAW_COLUMNS if c in out.columns]
+    if core:
+        cond = _valid(out, core[0])
+        for c in core[1:]:
+            cond = cond & _valid(out, c)
+        out = out.filter(cond)
+    # every schema value is now a finite number: numeric columns only change type
+    out = out.select(*[
+        (F.col(f.name).cast("bigint") if f.name in (ENGINE, CYCLE) and isinstance(f.dataType, T.IntegralType)
+         else F.col(f.name).cast("double") if isinstance(f.dataType, T.NumericType)
+         else to_double(out, f.name)).alias(f.name) if f.name in core else F.col(f.name)
+        for f in out.schema.fields])
     if drop_constant_sensors:
         out = drop_near_constant_sensors(out)
     out = restore_integer_ids(out)

@@ -15,7 +15,7 @@ S7 = FEATURE_SENSORS
 
 def r6(expr: str, name: str) -> str:
     x = f"CAST({expr} AS DOUBLE)"
-    return f"FLOOR({x} * 1e6 + 0.5 + ABS({x}) * 1e-5) / 1e6 AS {name}"
+    return f"FLOOR({x} * 1e6 + 0.5 + LEAST(ABS({x}) * 1e-5, 0.01)) / 1e6 AS {name}"
 
 
 def with_li(body: str, extra_ctes: str = "") -> str:

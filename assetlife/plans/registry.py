@@ -40,7 +40,7 @@ def round_to(c, digits: int):
     that are exact decimal ties (e.g. a mean of 25.4521685) round the same way
     in both engines despite last-bit summation differences."""
     scale = float(10 ** digits)
-    nudge = F.abs(c) * F.lit(scale * 1e-11)
+    nudge = F.least(F.abs(c) * F.lit(scale * 1e-11), F.lit(0.01))
     return F.floor(c * F.lit(scale) + F.lit(0.5) + nudge).cast("double") / F.lit(scale)
 
 
@@ -415,7 +415,7 @@ def q_drop_missing(spark, sf_dir):
 
 
 _VAR_SQL = "\nUNION ALL\n".join(
-    f"SELECT '{s}' AS sensor, FLOOR(VAR_POP({s}) * 1e3 + 0.5 + ABS(VAR_POP({s})) * 1e-8) / 1e3 AS var_pop, "
+    f"SELECT '{s}' AS sensor, FLOOR(VAR_POP({s}) * 1e3 + 0.5 + LEAST(ABS(VAR_POP({s})) * 1e-8, 0.01)) / 1e3 AS var_pop, "
     f"VAR_POP({s}) <= 1e-9 AS near_constant "
     "FROM li"
     for s in [f"sensor_{i:02d}" for i in range(1, 22)])
@@ -744,3 +744,43 @@ def q_rf_predict(spark, sf_dir):
 @register("rf_metrics")
 def q_rf_metrics(spark, sf_dir):
     return rounded(ml.regression_metrics(q_rf_predict(spark, sf_dir)))
+
+
+# ------------------------------------------------------------------ job (JOB)
+from assetlife.plans import job as batch  # noqa: E402
+
+_KEEP = "cycle % 13 NOT IN (0, 2, 3)"
+_JOB_SQL = f"""WITH li AS ({adapter_sql('li')}),
+clean AS (SELECT * FROM li WHERE {_KEEP}),
+{feature_cte('clean')[:-1].replace('feat AS (', 'feat AS (', 1)}),
+life AS (SELECT engine_id, COUNT(*) AS n FROM clean GROUP BY engine_id)
+SELECT * FROM (VALUES
+  ('ingest', 'rows', (SELECT COUNT(*) FROM li)::DOUBLE),
+  ('ingest', 'columns', 26.0),
+  ('ingest', 'engines', (SELECT COUNT(DISTINCT engine_id) FROM li)::DOUBLE),
+  ('validate_raw', 'passed', 1.0),
+  ('validate_raw', 'duplicate_count', 0.0),
+  ('clean', 'rows', (SELECT COUNT(*) FROM clean)::DOUBLE),
+  ('clean', 'columns', 20.0),
+  ('features', 'rows', (SELECT COUNT(*) FROM clean)::DOUBLE),
+  ('features', 'columns', 42.0),
+  ('validate_final', 'rows', (SELECT COUNT(*) FROM clean)::DOUBLE),
+  ('validate_final', 'engines', (SELECT COUNT(DISTINCT engine_id) FROM clean)::DOUBLE),
+  ('validate_final', 'cycle_min', (SELECT MIN(cycle) FROM clean)::DOUBLE),
+  ('validate_final', 'cycle_max', (SELECT MAX(cycle) FROM clean)::DOUBLE),
+  ('validate_final', 'duplicate_count', 0.0),
+  ('sql.engine_summary.sql', 'rows', (SELECT COUNT(*) FROM life)::DOUBLE),
+  ('sql.sensor_analysis.sql', 'rows', (SELECT COUNT(*) FROM life)::DOUBLE),
+  ('sql.window_analysis.sql', 'rows', LEAST((SELECT COUNT(*) FROM clean), 5000)::DOUBLE),
+  ('sample_engine_stats', 'n_engines_in_summary', (SELECT COUNT(*) FROM life)::DOUBLE),
+  ('sample_engine_stats', 'avg_cycles_mean', FLOOR((SELECT AVG(n) FROM life) * 1e6 + 0.5 + LEAST(ABS((SELECT AVG(n) FROM life)) * 1e-5, 0.01)) / 1e6)
+) v(stage, metric, value)"""
+
+
+@register("job_end_to_end", _JOB_SQL)
+def q_job(spark, sf_dir):
+    """The whole batch job over text derived from lineitem; numeric summary."""
+    raw = _raw_dir_with(spark, sf_dir, {"CMAPSSData/train_FD001.txt": li(spark, sf_dir)})
+    summary = batch.run_job(spark, raw, scratch_path(spark, "job"))
+    rows = batch.summary_rows(spark, summary)
+    return rows.select("stage", "metric", round6(F.col("value")).alias("value"))

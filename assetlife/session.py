@@ -63,14 +63,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared folder.
-
-    Reliable checkpoints survive executor loss; ``localCheckpoint`` does not
-    and is never used here.
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Cut lineage with a written Parquet table in the shared checkpoint folder.
+
+    The table survives executor loss (it lives in the cluster's shared
+    folder, not on an executor), and reading it back starts a fresh, short
+    lineage with Parquet pushdown and pruning.  ``localCheckpoint`` is never
+    used; the RDD-based ``Dataset.checkpoint`` recomputes wide plans and is
+    avoided for the same reason.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 @contextmanager
