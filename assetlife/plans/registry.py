@@ -784,3 +784,17 @@ def q_job(spark, sf_dir):
     summary = batch.run_job(spark, raw, scratch_path(spark, "job"))
     rows = batch.summary_rows(spark, summary)
     return rows.select("stage", "metric", round6(F.col("value")).alias("value"))
+
+
+# ------------------------------------------------------------ streaming ingest
+from assetlife.streaming import ingest_to_parquet  # noqa: E402
+
+
+@register("stream_ingest", text_expected_sql())
+def q_stream_ingest(spark, sf_dir):
+    """The text parse run as an available-now Structured Streaming query."""
+    raw = _raw_dir_with(spark, sf_dir, {"CMAPSSData/train_FD001.txt": li(spark, sf_dir)})
+    table = scratch_path(spark, "stream-table")
+    query = ingest_to_parquet(spark, raw, table)
+    query.awaitTermination()
+    return spark.read.parquet(table).drop("source_path")

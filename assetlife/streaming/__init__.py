@@ -1,0 +1,41 @@
+"""Incremental ingest with Structured Streaming.
+
+The reference is a batch pipeline and has no streaming operator.  This
+module only runs the *same* text parse (``sources.text``) incrementally: new
+trajectory files landing in a folder are parsed and appended to a Parquet
+table, with exactly-once file tracking in a checkpoint under the shared
+``spark.checkpoint.dir``.  Per-engine sequence features need whole ordered
+trajectories and are computed by the batch job on the appended table.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from assetlife.session import scratch_path
+from assetlife.sources.text import parse_trajectory_lines
+
+
+def trajectory_stream(spark: SparkSession, raw_dir: str, pattern: str = "*.txt") -> DataFrame:
+    """A streaming frame of parsed rows from text files arriving in ``raw_dir``
+    (``source_path`` keeps the file each row came from)."""
+    lines = (spark.readStream.format("text").option("pathGlobFilter", pattern)
+             .option("recursiveFileLookup", "true").load(raw_dir)
+             .select("value", F.col("_metadata.file_path").alias("source_path")))
+    return parse_trajectory_lines(lines, keep=["source_path"])
+
+
+def ingest_to_parquet(spark: SparkSession, raw_dir: str, table_path: str, checkpoint: str | None = None,
+                      available_now: bool = True, pattern: str = "*.txt"):
+    """Append newly arrived rows to a Parquet table; returns the query handle.
+
+    ``available_now`` processes what is there and stops (scheduled batch
+    style); otherwise the query keeps running with the default trigger.
+    """
+    checkpoint = checkpoint or scratch_path(spark, "stream-ckpt")
+    writer = (trajectory_stream(spark, raw_dir, pattern).writeStream.format("parquet")
+              .option("path", table_path).option("checkpointLocation", checkpoint).outputMode("append"))
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()
