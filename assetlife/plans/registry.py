@@ -752,7 +752,7 @@ from assetlife.plans import job as batch  # noqa: E402
 _KEEP = "cycle % 13 NOT IN (0, 2, 3)"
 _JOB_SQL = f"""WITH li AS ({adapter_sql('li')}),
 clean AS (SELECT * FROM li WHERE {_KEEP}),
-{feature_cte('clean')[:-1].replace('feat AS (', 'feat AS (', 1)}),
+{feature_cte('clean')},
 life AS (SELECT engine_id, COUNT(*) AS n FROM clean GROUP BY engine_id)
 SELECT * FROM (VALUES
   ('ingest', 'rows', (SELECT COUNT(*) FROM li)::DOUBLE),
