@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from assetlife.config import CYCLE, ENGINE, FEATURE_SENSORS
 from assetlife.functions import present
 from assetlife.operators.stats import exact_percentiles_many
-from assetlife.session import persisted
+from assetlife.session import agg_in_chunks, persisted
 
 DESCRIBE_COLS = ["count", "mean", "std", "min", "p25", "p50", "p75", "max"]
 
@@ -36,7 +36,7 @@ def describe(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
         aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"),
                  F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
     with persisted(df.select(*cols)) as narrow:
-        row = narrow.agg(*aggs).first()
+        row = agg_in_chunks(narrow, aggs)
         qs = exact_percentiles_many(narrow, cols, [0.25, 0.5, 0.75])
     data = [(c, row[f"n{i}"], row[f"m{i}"], row[f"s{i}"], row[f"lo{i}"], *qs[c], row[f"hi{i}"])
             for i, c in enumerate(cols)]
@@ -95,20 +95,21 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
 
 def correlation_pairs(df: DataFrame, columns: list[str]) -> DataFrame:
     """Pearson correlation of every column pair over pairwise-complete rows;
-    a constant column gives NULL (EX6).  One aggregate pass."""
+    a constant column gives NULL (EX6).  One-row aggregates over the narrow
+    projection, in codegen-sized chunks."""
     aggs = []
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
     for k, (a, b) in enumerate(pairs):
         both = F.col(a).isNotNull() & F.col(b).isNotNull()
         xa, xb = F.when(both, F.col(a).cast("double")), F.when(both, F.col(b).cast("double"))
         aggs.append(F.try_divide(F.covar_pop(xa, xb), F.stddev_pop(xa) * F.stddev_pop(xb)).alias(f"r{k}"))
-    row = df.agg(*aggs)
-    entries = []
+    row = agg_in_chunks(df.select(*columns), aggs, chunk=6)
+    data = []
     for k, (a, b) in enumerate(pairs):
-        entries.append(F.struct(F.lit(a).alias("var_a"), F.lit(b).alias("var_b"), F.col(f"r{k}").alias("corr")))
+        data.append((a, b, row[f"r{k}"]))
         if a != b:
-            entries.append(F.struct(F.lit(b).alias("var_a"), F.lit(a).alias("var_b"), F.col(f"r{k}").alias("corr")))
-    return row.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+            data.append((b, a, row[f"r{k}"]))
+    return df.sparkSession.createDataFrame(data, "var_a string, var_b string, corr double")
 
 
 def rul_correlations(features: DataFrame, sensor_cols=None) -> DataFrame:

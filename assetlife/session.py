@@ -89,3 +89,23 @@ def persisted(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK)
         yield kept
     finally:
         kept.unpersist()
+
+
+AGG_CHUNK = 20
+
+
+def agg_in_chunks(df: DataFrame, aggs: list, chunk: int = AGG_CHUNK) -> dict:
+    """Evaluate many one-row aggregates as a few smaller aggregates.
+
+    A single aggregate with hundreds of buffer fields exceeds whole-stage
+    codegen's field limit and runs interpreted; chunks of ``chunk``
+    expressions stay compiled.  With more than one chunk the input is
+    persisted for the passes.  Returns {alias: value}.
+    """
+    if len(aggs) <= chunk:
+        return df.agg(*aggs).first().asDict()
+    out: dict = {}
+    with persisted(df) as kept:
+        for i in range(0, len(aggs), chunk):
+            out.update(kept.agg(*aggs[i:i + chunk]).first().asDict())
+    return out
