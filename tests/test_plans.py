@@ -34,3 +34,21 @@ def test_zscore_statistics_are_literals(spark):
 
     joins = lambda df: len(re.findall(r"^\(\d+\) \w*Join", _formatted(spark, df), re.M))
     assert joins(entry.queries()["zscore"](spark, SF)) == joins(li(spark, SF))
+
+
+def test_rows_shuffle_once_per_sequence_pass(spark):
+    """After execution, the border and halo branches reuse the main row
+    exchange (ReusedExchange) instead of shuffling the rows again."""
+    from assetlife.operators import sequence as tx
+    from assetlife.plans.registry import li
+    from assetlife.session import scratch_path
+
+    path = scratch_path(spark, "plan-test")
+    li(spark, SF).write.parquet(path)
+    df = spark.read.parquet(path)
+    sensors = ["sensor_02", "sensor_04"]
+    out = tx.apply_transformations(df, sensors, stats={s: (0.0, 1.0) for s in sensors})
+    out.collect()
+    final = _formatted(spark, out)
+    assert "isFinalPlan=true" in final
+    assert final.count("ReusedExchange") >= 2
