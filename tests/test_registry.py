@@ -14,7 +14,8 @@ from tests.conftest import SF
 ROWS_ONLY = {"list_files", "rf_predict", "rf_metrics"}
 FAST = ["zscore", "delta", "rolling_std", "feature_build", "engine_summary", "sensor_analysis", "window_analysis",
         "quality_report", "clean_all", "order_check_physical", "describe", "corr_matrix", "grouped_split",
-        "rul_targets", "parse_text"]
+        "rul_targets", "parse_text", "coerce_numeric", "provenance", "attach_official_rul", "stream_ingest",
+        "near_constant", "engine_cycle_range"]
 
 
 def test_every_query_has_a_twin_or_is_rows_only():
