@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from assetlife.llm.common import table
 from assetlife.llm.simhash import simhash_components
+from assetlife.llm.suffix_dedup import cut_repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -24,3 +25,12 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id."""
     out = simhash_components(table(spark, sf_dir, "documents"), shingle=4, max_bits=4, seed=42)
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
+    out = cut_repeats(table(spark, sf_dir, "documents"), length=100)
+    return out.select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
