@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assetlife.llm.common import table
+from assetlife.llm.common import held_out, table
 from assetlife.llm.decontam import contaminated, contamination
+from assetlife.llm.quality import fit as fit_quality
+from assetlife.llm.quality import score as score_quality
 from assetlife.llm.simhash import simhash_components
 from assetlife.llm.suffix_dedup import cut_repeats
 
@@ -71,3 +73,12 @@ SELECT d.doc_id, CAST(coalesce(len(w), 0) AS BIGINT) AS n_words, CAST(coalesce(n
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= coalesce(len(w), 0) AS contaminated
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN it USING (doc_id)
 """
+
+
+@query
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, held_out, score, predicted."""
+    docs = table(spark, sf_dir, "documents")
+    weights = fit_quality(docs, table(spark, sf_dir, "labels"), ~held_out("doc_id"), max_per_class=4000)
+    return score_quality(docs, weights).select(
+        "doc_id", held_out("doc_id").alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
