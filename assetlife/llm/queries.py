@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from assetlife.llm import langid
 from assetlife.llm.common import held_out, table
 from assetlife.llm.decontam import contaminated, contamination
 from assetlife.llm.quality import fit as fit_quality
@@ -82,3 +83,11 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     weights = fit_quality(docs, table(spark, sf_dir, "labels"), ~held_out("doc_id"), max_per_class=4000)
     return score_quality(docs, weights).select(
         "doc_id", held_out("doc_id").alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
+@query
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, held_out, lang_pred, score, second, ambiguous."""
+    docs = table(spark, sf_dir, "documents")
+    out = langid.predict(docs, langid.learn(docs, ~held_out("doc_id")))
+    return out.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score", "second", "ambiguous")
