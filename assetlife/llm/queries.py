@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assetlife.llm import langid
+from assetlife.llm import langid, secret_scan
 from assetlife.llm.common import held_out, table
 from assetlife.llm.decontam import contaminated, contamination
 from assetlife.llm.quality import fit as fit_quality
@@ -91,3 +91,11 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     out = langid.predict(docs, langid.learn(docs, ~held_out("doc_id")))
     return out.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score", "second", "ambiguous")
+
+
+@query
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, start, end, kind, score, is_secret, value_sha256: every candidate."""
+    docs = table(spark, sf_dir, "documents")
+    found = secret_scan.scan(docs, *secret_scan.learn(docs))
+    return found.select("doc_id", "start", "end", "kind", "score", secret_scan.is_secret().alias("is_secret"), F.sha2("value", 256).alias("value_sha256"))
