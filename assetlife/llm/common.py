@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-import hashlib
-import re
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,15 +15,27 @@ from pyspark.sql import functions as F
 #: makes a step of its own).
 STEP_BYTES = 2 << 20
 
-_WORD = r"[^\x20\x09-\x0D]+"
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def utf8(text: str | None) -> bytes:
-    return b"" if text is None else text.encode("utf-8", "surrogatepass")
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the session's Python workers this package, as ``--py-files`` would:
+    the driver serves a zip of its sources to every executor, once a session."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parents[1]
+    target = Path(tempfile.mkdtemp(prefix="py-files-")) / f"{root.name}.zip"
+    with zipfile.ZipFile(target, "w") as z:
+        for path in sorted(root.rglob("*.py")):
+            z.write(path, path.relative_to(root.parent))
+    context.addPyFile(str(target))
+    _shipped.add(context.applicationId)
 
 
 def steps(texts: Iterable[bytes], limit: int = STEP_BYTES) -> Iterator[tuple[int, int]]:
@@ -67,10 +80,6 @@ def map_texts(df: DataFrame, keys: list[str], make: Callable, schema: str, text:
     return frame.mapInArrow(run, schema)
 
 
-def sha256_hex(data: bytes) -> str:
-    return hashlib.sha256(data).hexdigest()
-
-
 def held_out(doc_id: str = "doc_id") -> Column:
     """crc32 of the id as text, modulo 3, is 1 (a null id is held out)."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(True))
@@ -81,7 +90,3 @@ def word_count(text: str = "text") -> Column:
     trimmed = F.regexp_replace(F.col(text), r"^[\x20\x09-\x0D]+", "")
     n = F.size(F.split(trimmed, r"[\x20\x09-\x0D]+")) - F.when(trimmed.rlike(r"[\x20\x09-\x0D]\z"), 1).otherwise(0)
     return F.when(F.col(text).isNull() | (F.length(trimmed) == 0), 0).otherwise(n).cast("long")
-
-
-def escape_name(name: str) -> str:
-    return "`" + re.sub("`", "``", name) + "`"

@@ -3,25 +3,36 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assetlife.llm import langid, secret_scan
-from assetlife.llm.common import held_out, table
+from assetlife.llm import chat, langid, secret_scan
+from assetlife.llm.common import held_out, ship, table
 from assetlife.llm.decontam import contaminated, contamination
 from assetlife.llm.quality import fit as fit_quality
 from assetlife.llm.quality import score as score_quality
 from assetlife.llm.simhash import simhash_components
 from assetlife.llm.suffix_dedup import cut_repeats
 
+#: A public tokenizer's vocabulary file.
+TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
 def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    QUERIES[f.__name__] = f
-    return f
+    """Register ``f``; its tasks find this package wherever they run."""
+
+    @wraps(f)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return f(spark, sf_dir)
+
+    QUERIES[f.__name__] = run
+    return run
 
 
 @query
@@ -99,3 +110,10 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = secret_scan.scan(docs, *secret_scan.learn(docs))
     return found.select("doc_id", "start", "end", "kind", "score", secret_scan.is_secret().alias("is_secret"), F.sha2("value", 256).alias("value_sha256"))
+
+
+@query
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars."""
+    conversations = chat.with_probe(spark, table(spark, sf_dir, "conversations"))
+    return chat.read_back(chat.format_conversations(conversations, tokenizer_path=TOKENIZER))
