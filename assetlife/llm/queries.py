@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from assetlife.llm import chat, langid, secret_scan
 from assetlife.llm.common import held_out, ship, table
 from assetlife.llm.decontam import contaminated, contamination
+from assetlife.llm.embed_dedup import near_vectors
+from assetlife.llm.mixing import mix
 from assetlife.llm.quality import fit as fit_quality
 from assetlife.llm.quality import score as score_quality
 from assetlife.llm.simhash import simhash_components
@@ -117,3 +119,38 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars."""
     conversations = chat.with_probe(spark, table(spark, sf_dir, "conversations"))
     return chat.read_back(chat.format_conversations(conversations, tokenizer_path=TOKENIZER))
+
+
+@query
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """vec_id, n_links, component_id, kept."""
+    out = near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.93)
+    return out.select("vec_id", "n_links", "component_id", (F.col("vec_id") == F.col("component_id")).alias("kept"))
+
+
+@query
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, size, source_size, target, taken."""
+    out = mix(table(spark, sf_dir, "documents"), share=1.5, max_epochs=2.0, seed=7)
+    return out.select("doc_id", "size", "source_size", "target", "taken")
+
+
+ORACLE["op7_mixing"] = r"""
+WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
+s AS (SELECT source, CAST(SUM(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+w AS (SELECT *, CAST([3, 1, 2][CAST((row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3 + 1 AS BIGINT)] AS DOUBLE) AS weight,
+             2.0::DOUBLE * source_size AS cap FROM s),
+r AS (SELECT *, coalesce(SUM(cap) OVER o, 0.0) AS full_before, SUM(weight) OVER u AS free_from FROM w
+      WINDOW o AS (ORDER BY cap / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+             u AS (ORDER BY cap / weight, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+k AS (SELECT *, (1.5::DOUBLE * (SELECT SUM(source_size) FROM s) - full_before) / free_from AS level FROM r),
+lv AS (SELECT level FROM k WHERE level * weight < cap ORDER BY cap / weight, source LIMIT 1),
+t AS (SELECT source, source_size, CASE WHEN level * weight >= cap THEN cap ELSE level * weight END AS target FROM w, lv),
+n AS (SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS whole FROM t),
+p AS (SELECT d.doc_id, d.size, n.source_size, n.target, n.whole, n.target - n.whole * n.source_size AS need,
+             coalesce(SUM(d.size) OVER (PARTITION BY d.source
+               ORDER BY CAST('0x' || substr(md5('7:' || coalesce(CAST(d.doc_id AS VARCHAR), '') || ':' || CAST(d.size AS VARCHAR)), 1, 13) AS BIGINT), d.doc_id, d.size
+               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead
+      FROM d JOIN n ON d.source IS NOT DISTINCT FROM n.source)
+SELECT doc_id, size, source_size, target, CAST(size * (whole + CASE WHEN 2.0::DOUBLE * ahead + size <= 2.0::DOUBLE * need THEN 1 ELSE 0 END) AS BIGINT) AS taken FROM p
+"""
