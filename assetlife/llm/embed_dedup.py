@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -57,7 +58,7 @@ def projection_keys(vectors: DataFrame, passes: int, seed: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         planes: dict[int, np.ndarray] = {}
         for batch in batches:
-            sizes = np.asarray(pa.compute.list_value_length(batch.column(2)))
+            sizes = np.asarray(pc.list_value_length(batch.column(2)))
             for d in np.unique(sizes).tolist():
                 if d not in planes:
                     planes[d] = np.random.default_rng([seed, d]).standard_normal((d, passes * KEY_BITS))
@@ -105,11 +106,11 @@ def _forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
         root = new
 
 
-_OUT = "id bigint, n bigint, root bigint, reach bigint"
-_OUT_NAMES = ["id", "n", "root", "reach"]
+_OUT = "id bigint, n bigint, root bigint, reach bigint, turn bigint"
+_NONE = pa.table({f.split()[0]: pa.array([], pa.int64()) for f in _OUT.split(", ")})
 
 
-def _compare(rows: pa.Table, pairs: list[tuple[int, int]], turn: int, threshold: float) -> pa.RecordBatch | None:
+def _compare(rows: pa.Table, pairs: list[tuple[int, int]], turn: int, threshold: float) -> pa.Table:
     """Verified links among blocks of ``rows``.
 
     ``pairs``: block numbers (within pass ``turn``) to compare.  A pair of
@@ -141,29 +142,25 @@ def _compare(rows: pa.Table, pairs: list[tuple[int, int]], turn: int, threshold:
         np.add.at(links, p[fresh], weight[q[fresh]])
         np.add.at(links, q[fresh], weight[p[fresh]])
     if not left:
-        return None
+        return _NONE
     a, b = np.concatenate(left), np.concatenate(right)
     root = _forest(a, b, len(ids))
     some = np.unique(np.concatenate((a, b)))
-    return pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array(links[some]), pa.array(ids[root[some]]), pa.array(reach[some])], names=_OUT_NAMES)
+    return pa.table([pa.array(x) for x in (ids[some], links[some], ids[root[some]], reach[some], np.full(len(some), turn, np.int64))], names=_NONE.column_names)
 
 
 def _window_pass(rows: DataFrame, passes: int, threshold: float) -> DataFrame:
-    """(id, n, root, reach, pass, block) of the links in every pass's windows."""
+    """(id, n, root, reach, turn) of the links in every pass's windows."""
     spots = F.posexplode("blocks").alias("pass", "block")
     each = rows.select("id", "part", "n", "v", "blocks", spots)
-    group = F.floor(F.col("block") / GROUP)
+    group = F.floor(F.col("block") / GROUP).cast("long")
     # the first block of a group also closes the group before it
     seats = F.when(F.col("block") % GROUP == 0, F.array(group, group - 1)).otherwise(F.array(group))
-    dealt = each.withColumn("group", F.explode(seats).cast("long"))
+    dealt = each.withColumn("group", F.explode(seats))
 
-    def run(key, table: pa.Table) -> pa.Table:
-        turn, group = key[0].as_py(), key[1].as_py()
-        first = group * GROUP
-        pairs = [(b, c) for b in range(first, first + GROUP) for c in (b, b + 1)]
-        out = _compare(table, pairs, turn, threshold)
-        empty = pa.table({n: pa.array([], pa.int64()) for n in _OUT_NAMES})
-        return empty if out is None else pa.Table.from_batches([out])
+    def run(key, table):
+        turn, first = key[0].as_py(), key[1].as_py() * GROUP
+        return _compare(table, [(b, c) for b in range(first, first + GROUP) for c in (b, b + 1)], turn, threshold)
 
     return dealt.groupBy("pass", "group").applyInArrow(run, _OUT)
 
@@ -178,7 +175,7 @@ def _extend(rows: DataFrame, found: DataFrame, threshold: float) -> list[DataFra
     start, step = 1, 1
     going = found
     while True:
-        met = going.where("reach >= 0").join(own, F.col("id") == F.col("_id")).where(F.col("reach") >= F.col("_block") + start)
+        met = going.where("turn = 0").join(own, F.col("id") == F.col("_id")).where(F.col("reach") >= F.col("_block") + start)
         open_ = materialize(met.select(F.col("_block").alias("b")).distinct(), "embed-open")
         if open_.isEmpty():
             return out
@@ -187,10 +184,8 @@ def _extend(rows: DataFrame, found: DataFrame, threshold: float) -> list[DataFra
         here = first.join(pairs, F.col("block") == F.col("b")).select("b", "c", "id", "part", "n", "v", "blocks")
         there = first.join(pairs, F.col("block") == F.col("c")).select("b", "c", "id", "part", "n", "v", "blocks")
 
-        def run(key, table: pa.Table) -> pa.Table:
-            got = _compare(table, [(key[0].as_py(), key[1].as_py())], 0, threshold)
-            empty = pa.table({n: pa.array([], pa.int64()) for n in _OUT_NAMES})
-            return empty if got is None else pa.Table.from_batches([got])
+        def run(key, table):
+            return _compare(table, [(key[0].as_py(), key[1].as_py())], 0, threshold)
 
         going = materialize(here.unionAll(there).groupBy("b", "c").applyInArrow(run, _OUT), "embed-far")
         out.append(going)
@@ -208,7 +203,7 @@ def near_vectors(table: DataFrame, threshold: float = 0.93, passes: int = PASSES
     own.  component_id is the smallest id reachable, the own one without
     links; an empty table gives an empty result.
     """
-    plain = table.select(F.col(key).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("v"), F.col(label).alias("label"), (_usable(vector) & F.col(label).isNotNull() & F.col(key).isNotNull()).alias("ok"))
+    plain = table.select(F.col(key).cast("long").alias("vec_id"), F.col(vector).alias("v"), F.col(label).alias("label"), (_usable(vector) & F.col(label).isNotNull() & F.col(key).isNotNull()).alias("ok"))
     plain = plain.withColumn("part", F.xxhash64(F.col("label").cast("string"), F.size("v")))
     plain = plain.withColumn("same", F.when(F.col("ok"), F.sha2(F.concat_ws(",", F.col("part"), F.transform("v", lambda x: (x + F.lit(0.0)).cast("string"))), 256)))
     good = materialize(plain.where("ok").select("vec_id", "same", "part", "v"), "embed")
