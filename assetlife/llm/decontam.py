@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assetlife.llm.common import map_texts
+from assetlife.llm.common import map_texts, steps, text_rows
 
 #: Benchmark text that goes to the tasks at a time.
 BLOCK_BYTES = 8 << 20
@@ -244,7 +244,21 @@ def contaminated(n_hit: str = "n_hit", n_words: str = "n_words"):
     return (F.col(n_hit) > 0) & (20 * F.col(n_hit) >= F.col(n_words))
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 13) -> DataFrame:
-    """``docs`` without the documents that the benchmark contaminates."""
-    gone = contamination(docs, benchmark, size).where(contaminated()).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 13, text: str = "text") -> DataFrame:
+    """``docs`` without the rows whose text the benchmark contaminates; all
+    columns, and rows without words, stay as they are."""
+    blocks = list(_blocks(benchmark, "item_id", "text"))
+    if len(blocks) > 1:
+        gone = contamination(docs.withColumn("_row", F.xxhash64(text)), benchmark, size, "_row", text).where(contaminated()).select(F.col("doc_id").alias("_gone")).distinct()
+        return docs.join(gone, F.xxhash64(text) == F.col("_gone"), "left_anti")
+    shipped = docs.sparkSession.sparkContext.broadcast(Patterns(blocks[0], size))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = text_rows(batch, text)
+            for a, b in steps(texts):
+                counts, hits, _, _ = match_shard(texts[a:b], shipped.value)
+                keep = [len(h) == 0 or 20 * len(h) < n for h, n in zip(hits, counts)]
+                yield batch.slice(a, b - a).filter(pa.array(keep))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assetlife.llm.common import map_texts
+from assetlife.llm.common import map_texts, steps, text_rows
 from assetlife.llm.grams import bucket, byte_grams, distinct, joined
 from assetlife.session import materialize
 
@@ -178,14 +178,11 @@ def keep_good(docs: DataFrame, labels: DataFrame, learn: Column, max_per_class:
 
 def keep_rows(docs: DataFrame, shipped) -> DataFrame:
     """The rows that the model accepts, filtered batch by batch where they are read."""
-    at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from assetlife.llm.common import steps
-
         w = shipped.value
         for batch in batches:
-            texts = [b"" if x is None else x for x in batch.column(at).cast(pa.binary()).to_pylist()]
+            texts = text_rows(batch, "text")
             for a, b in steps(texts):
                 t, f = features(texts[a:b])
                 margin = np.bincount(t, w[f], b - a) if len(t) else np.zeros(b - a)

@@ -12,6 +12,7 @@ from assetlife.llm import chat, langid, secret_scan
 from assetlife.llm.common import held_out, ship, table
 from assetlife.llm.decontam import contaminated, contamination
 from assetlife.llm.embed_dedup import near_vectors
+from assetlife.llm.lm_score import cross_entropy_difference
 from assetlife.llm.mixing import mix
 from assetlife.llm.quality import fit as fit_quality
 from assetlife.llm.quality import score as score_quality
@@ -154,3 +155,10 @@ p AS (SELECT d.doc_id, d.size, n.source_size, n.target, n.whole, n.target - n.wh
       FROM d JOIN n ON d.source IS NOT DISTINCT FROM n.source)
 SELECT doc_id, size, source_size, target, CAST(size * (whole + CASE WHEN 2.0::DOUBLE * ahead + size <= 2.0::DOUBLE * need THEN 1 ELSE 0 END) AS BIGINT) AS taken FROM p
 """
+
+
+@query
+def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, target_loss, background_loss, score."""
+    target = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return cross_entropy_difference(table(spark, sf_dir, "documents"), target)
