@@ -249,8 +249,8 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 13, tex
     columns, and rows without words, stay as they are."""
     blocks = list(_blocks(benchmark, "item_id", "text"))
     if len(blocks) > 1:
-        gone = contamination(docs.withColumn("_row", F.xxhash64(text)), benchmark, size, "_row", text).where(contaminated()).select(F.col("doc_id").alias("_gone")).distinct()
-        return docs.join(gone, F.xxhash64(text) == F.col("_gone"), "left_anti")
+        gone = contamination(docs.select(F.xxhash64(text).alias("doc_id"), text), benchmark, size, "doc_id", text).where(contaminated()).select("doc_id").distinct()
+        return docs.join(gone, F.xxhash64(docs[text]) == gone["doc_id"], "left_anti")
     shipped = docs.sparkSession.sparkContext.broadcast(Patterns(blocks[0], size))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

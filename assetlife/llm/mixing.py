@@ -64,24 +64,24 @@ def mix(docs: DataFrame, weigh=cycled_weights, share: float = 1.5, max_epochs: f
     size 0 and are never taken; null sources are one source; a source without
     words has target 0; repeated rows are sampled each for themselves; an empty
     table gives an empty result.  Columns of ``docs`` named like a result
-    column are replaced.
+    column are replaced; names that begin with ``__mix_`` are reserved.
     """
     own = ["size", "source_size", "target", "taken"]
     kept = docs.drop(*own)
     at = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col(key).cast("string"), F.lit("")), F.col("size").cast("string"))), 1, 13), 16, 10).cast("long")
-    sized = kept.withColumn("size", words(text)).withColumn("_at", at).withColumn("_bucket", F.shiftright("_at", 52 - (BUCKETS.bit_length() - 1)).cast("int"))
-    sums = materialize(sized.groupBy(F.col(source).alias("source"), "_bucket").agg(F.sum("size").alias("words")), "mix-buckets")
+    sized = kept.withColumn("size", words(text)).withColumn("__mix_at", at).withColumn("__mix_bucket", F.shiftright("__mix_at", 52 - (BUCKETS.bit_length() - 1)).cast("int"))
+    sums = materialize(sized.groupBy(F.col(source).alias("source"), "__mix_bucket").agg(F.sum("size").alias("words")), "mix-buckets")
     sources = sums.groupBy("source").agg(F.sum("words").alias("source_size"))
     filled = materialize(water_fill(materialize(weigh(sources), "mix-sources"), share, max_epochs), "mix-targets")
     rates = filled.select(
-        F.col("source").alias("_source"), "source_size", "target",
-        F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long").alias("_whole"))
-    rates = rates.withColumn("_need", F.col("target") - F.col("_whole") * F.col("source_size"))
-    running = Window.partitionBy("source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    before = sums.select(F.col("source").alias("_s"), F.col("_bucket").alias("_b"), F.coalesce(F.sum("words").over(running), F.lit(0)).alias("_before"))
-    cuts = before.join(rates, F.col("_s").eqNullSafe(F.col("_source"))).drop("_source")
-    placed = sized.join(cuts, F.col(source).eqNullSafe(F.col("_s")) & (F.col("_bucket") == F.col("_b")))
-    inside = Window.partitionBy("_s", "_b").orderBy("_at", key, "size").rowsBetween(Window.unboundedPreceding, -1)
-    ahead = F.col("_before") + F.coalesce(F.sum("size").over(inside), F.lit(0))
-    extra = (F.lit(2.0) * ahead + F.col("size") <= F.lit(2.0) * F.col("_need")).cast("long")
-    return placed.withColumn("taken", F.col("size") * (F.col("_whole") + extra)).select(*[F.col(c) for c in kept.columns], *own)
+        F.col("source").alias("__mix_source"), "source_size", "target",
+        F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long").alias("__mix_whole"))
+    rates = rates.withColumn("__mix_need", F.col("target") - F.col("__mix_whole") * F.col("source_size"))
+    running = Window.partitionBy("source").orderBy("__mix_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    before = sums.select(F.col("source").alias("__mix_s"), F.col("__mix_bucket").alias("__mix_b"), F.coalesce(F.sum("words").over(running), F.lit(0)).alias("__mix_before"))
+    cuts = before.join(rates, F.col("__mix_s").eqNullSafe(F.col("__mix_source"))).drop("__mix_source")
+    placed = sized.join(cuts, F.col(source).eqNullSafe(F.col("__mix_s")) & (F.col("__mix_bucket") == F.col("__mix_b")))
+    inside = Window.partitionBy("__mix_s", "__mix_b").orderBy("__mix_at", key, "size").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = F.col("__mix_before") + F.coalesce(F.sum("size").over(inside), F.lit(0))
+    extra = (F.lit(2.0) * ahead + F.col("size") <= F.lit(2.0) * F.col("__mix_need")).cast("long")
+    return placed.withColumn("taken", F.col("size") * (F.col("__mix_whole") + extra)).select(*[F.col(c) for c in kept.columns], *own)

@@ -1,6 +1,6 @@
 """SimHash near-duplicates by one-wildcard segment variants.
 
-A 64-bit fingerprint is cut into ``max_bits // 2 + 1`` segments.  Two
+A 64-bit fingerprint is cut into ``max_bits // 2 + 1`` segments (two at least).  Two
 fingerprints that differ in at most ``max_bits`` bits then have a segment in
 which they differ in at most one bit (otherwise each segment would hold two
 differences).  For every segment and every bit in it, the index holds the
@@ -69,7 +69,7 @@ def fingerprints(docs: DataFrame, shingle: int = 4, seed: int = 42, key: str = "
 
 def _segments(max_bits: int) -> list[tuple[int, int]]:
     """(lowest bit, width) of each segment, all 64 bits covered."""
-    n = max_bits // 2 + 1
+    n = max(2, max_bits // 2 + 1)
     edges = [64 * i // n for i in range(n + 1)]
     return [(a, b - a) for a, b in zip(edges, edges[1:])]
 
@@ -128,4 +128,4 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, s
     group.  Rows without a doc_id are kept; columns stay as they are."""
     members = simhash_components(docs, shingle, max_bits, seed)
     gone = members.where("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
