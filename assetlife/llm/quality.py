@@ -41,7 +41,7 @@ def _word_codes(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndar
     head[np.concatenate(([0], ends[:-1]))[ends > np.concatenate(([0], ends[:-1]))]] |= solid[np.concatenate(([0], ends[:-1]))[ends > np.concatenate(([0], ends[:-1]))]]
     at = np.flatnonzero(head)
     if not len(at):
-        return at, at, at
+        return at, at.astype(np.uint64), at.astype(np.uint64)
     text = np.searchsorted(ends, at, side="right")
     # runs of one class inside a word count once
     turn = solid.copy()
