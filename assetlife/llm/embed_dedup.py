@@ -44,10 +44,11 @@ def _usable(vector: str) -> Column:
 
 
 def _unit(column: pa.Array) -> np.ndarray:
-    flat = np.asarray(column.flatten(), dtype=np.float64)
-    x = flat.reshape(len(column), -1) if len(column) else np.zeros((0, 1))
-    big = np.abs(x).max(axis=1, keepdims=True)  # so that squares neither overflow nor vanish
-    x = x / big
+    """Unit vectors as rows; shorter ones are filled up with zeros."""
+    sizes = np.asarray(pc.list_value_length(column))
+    x = np.zeros((len(sizes), int(sizes.max(initial=1))))
+    x[np.arange(x.shape[1]) < sizes[:, None]] = np.asarray(column.flatten(), dtype=np.float64)
+    x /= np.abs(x).max(axis=1, keepdims=True)  # so that squares neither overflow nor vanish
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
