@@ -94,12 +94,15 @@ def _cells(history: np.ndarray, token: np.ndarray) -> np.ndarray:
 
 
 def count_models(docs: DataFrame, target: DataFrame, words: dict[bytes, int], key: str = "doc_id", text: str = "text") -> Models:
-    """Both models; ``target`` has the ids (column ``key``) of its documents."""
+    """Both models; ``target`` has the ids (column ``key``) of its documents.
+
+    The documents meet their marks by a sort-merge join at every size: a list
+    of ids grows with the corpus, so it is never sent to all tasks."""
     spark = docs.sparkSession
     shipped = spark.sparkContext.broadcast(words)
     tokens = len(words) + _FIRST
     ids = target.select(F.col(key).cast("long").alias("_id")).where("_id is not null").distinct().withColumn("_in", F.lit(True))
-    rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text")).join(ids, F.col("id") == F.col("_id"), "left").select("text", F.coalesce("_in", F.lit(False)).alias("inside"))
+    rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text")).join(ids.hint("merge"), F.col("id") == F.col("_id"), "left").select("text", F.coalesce("_in", F.lit(False)).alias("inside"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # cells first, then tokens, then tokens as histories; background and target
