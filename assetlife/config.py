@@ -35,10 +35,6 @@ FEATURE_SUFFIXES: tuple[str, ...] = ("_norm", "_delta", "_rolling_mean", "_rolli
 SEARCH_SUBDIRS: tuple[str, ...] = ("CMAPSSData", "CMaps", "cmapss")
 # ---------------------------------------------------------------------------
 
-# Rows of one key are split into ordered segments of this many cycles so that
-# no single task ever holds a whole (possibly huge) engine; see
-# operators/segments.py.
-DEFAULT_SEGMENT_SPAN = 1 << 16
 
 RAW_SCHEMA = T.StructType(
     [T.StructField(ENGINE, T.LongType()), T.StructField(CYCLE, T.LongType())]

@@ -3,7 +3,8 @@ dropping incomplete rows (never zero-filling), near-constant sensors, id
 restoration and the schema projection.
 
 Only ``drop_near_constant_sensors`` needs an action: one aggregate row of
-population variances decides which columns to drop.
+population variances decides which columns to drop.  The full clean writes its
+de-duplicated rows before that, so they are shuffled once.
 """
 
 from __future__ import annotations
@@ -14,11 +15,21 @@ from pyspark.sql import types as T
 
 from assetlife.config import CYCLE, ENGINE, RAW_COLUMNS, SENSOR_COLS, SETTING_COLS, VARIANCE_EPSILON
 from assetlife.functions import inf_to_null, present, to_bigint_id, to_double
+from assetlife.operators.sequence import LINE_COLUMNS
+from assetlife.session import materialize
 
 
 def drop_exact_duplicates(df: DataFrame) -> DataFrame:
-    """Keep one copy of rows equal on every column (CL1); NULL equals NULL."""
-    return df.dropDuplicates()
+    """Keep one copy of rows equal on every column (CL1); NULL equals NULL.
+
+    Where the frame carries line positions they are not compared, and the
+    first line's are kept."""
+    lines = [c for c in LINE_COLUMNS if c in df.columns]
+    if not lines:
+        return df.dropDuplicates()
+    data = [c for c in df.columns if c not in lines]
+    first = df.groupBy(*data).agg(F.min(F.struct(*lines)).alias("_line"))
+    return first.select(*[F.col("_line")[c].alias(c) if c in lines else F.col(c) for c in df.columns])
 
 
 def enforce_numeric_types(df: DataFrame, columns=None) -> DataFrame:
@@ -110,9 +121,10 @@ def clean_sensor_data(df: DataFrame, drop_constant_sensors: bool = True, key_col
     coerce": numeric columns pass through unchanged, so no per-column CASE
     rewrite sits under the NOT NULL filter.  (That pattern makes Catalyst's
     constraint propagation explode once windows and joins are stacked on
-    top.)  Sorting is optional: windows order rows themselves.
+    top.)  Sorting is optional: windows order rows themselves.  Line
+    positions, where the frame carries them, are kept.
     """
-    extra = [k for k in (key_cols or []) if k not in (ENGINE, CYCLE)]
+    extra = [k for k in (key_cols or []) if k not in (ENGINE, CYCLE)] + [c for c in LINE_COLUMNS if c in df.columns]
     out = drop_exact_duplicates(df)
     core = [c for c in RAW_COLUMNS if c in out.columns]
     if core:
@@ -127,7 +139,7 @@ def clean_sensor_data(df: DataFrame, drop_constant_sensors: bool = True, key_col
          else to_double(out, f.name)).alias(f.name) if f.name in core else F.col(f.name)
         for f in out.schema.fields])
     if drop_constant_sensors:
-        out = drop_near_constant_sensors(out)
+        out = drop_near_constant_sensors(materialize(out, "clean"))
     out = restore_integer_ids(out)
     out = project_to_schema(out, extra)
     return sort_by_engine_cycle(out) if sort else out

@@ -3,20 +3,21 @@ outlier fences, box-plot statistics and the findings record.
 
 Everything is an aggregate: one-pass moments, exact percentiles by
 bracketing (``operators.stats``) and pairwise-complete correlations from
-``covar_pop`` / ``stddev_pop``.  Only one-row (or one-row-per-column) results
+``covar_pop`` / ``stddev_pop``; many columns or pairs are one pass over rows
+turned to (name, value).  Only one-row (or one-row-per-column) results
 come back to the driver.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from assetlife.config import CYCLE, ENGINE, FEATURE_SENSORS
 from assetlife.functions import present
-from assetlife.operators.stats import exact_percentiles_many
-from assetlife.session import agg_in_chunks, persisted
+from assetlife.operators.stats import exact_percentiles_many, percentiles_of
+from assetlife.session import materialize
 
 DESCRIBE_COLS = ["count", "mean", "std", "min", "p25", "p50", "p75", "max"]
 
@@ -28,21 +29,22 @@ def _numeric(df: DataFrame) -> list[str]:
 def describe(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """count, mean, sample std, min, exact 25/50/75 % (linear), max per
     numeric column, one row per column (EX1)."""
-    spark: SparkSession = df.sparkSession
     cols = columns or _numeric(df)
-    aggs = []
-    for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
-        aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"),
-                 F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
-    with persisted(df.select(*cols)) as narrow:
-        row = agg_in_chunks(narrow, aggs)
-        qs = exact_percentiles_many(narrow, cols, [0.25, 0.5, 0.75])
-    data = [(c, row[f"n{i}"], row[f"m{i}"], row[f"s{i}"], row[f"lo{i}"], *qs[c], row[f"hi{i}"])
-            for i, c in enumerate(cols)]
-    schema = "column_name string, count bigint, mean double, std double, min double, p25 double, p50 double, " \
-             "p75 double, max double"
-    return spark.createDataFrame(data, schema)
+    spark = df.sparkSession
+    narrow = materialize(df.select(*cols), "describe")
+    qs = percentiles_of(narrow, cols, [0.25, 0.5, 0.75])
+    quartiles = spark.createDataFrame([(c, *qs[c]) for c in cols], "column_name string, p25 double, p50 double, p75 double")
+    x = F.col("x")
+    moments = _long(narrow, cols).groupBy("column_name").agg(
+        F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max"))
+    out = quartiles.join(moments, "column_name", "left")
+    return out.select("column_name", F.coalesce("count", F.lit(0)).alias("count"), "mean", "std", "min", "p25", "p50", "p75", "max")
+
+
+def _long(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(column_name, x double): one row per cell, so that one small aggregate
+    serves any number of columns in one pass."""
+    return df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], columns, "column_name", "x")
 
 
 def engine_life(features: DataFrame, key_cols=None) -> DataFrame:
@@ -63,9 +65,10 @@ def sensor_summary(df: DataFrame, sensor_cols=None) -> DataFrame:
     return wide.select(F.expr(f"stack({len(sensors)}, {stack}) AS (sensor, mean, std, min, max)"))
 
 
-def engine_sample(features: DataFrame, engines=(1, 5, 10, 25, 50), sensor: str = "sensor_04") -> DataFrame:
-    """(engine_id, cycle, sensor) for a few engines, for trend plots (EX4)."""
-    return features.filter(F.col(ENGINE).isin(list(engines))).select(ENGINE, CYCLE, sensor)
+def engine_sample(readings: DataFrame, engines=(1, 5, 10, 25, 50), sensor: str = "sensor_04") -> DataFrame:
+    """(engine_id, cycle, sensor) for a few engines, for trend plots (EX4).
+    Raw readings are enough: no feature is read."""
+    return readings.filter(F.col(ENGINE).isin(list(engines))).select(ENGINE, CYCLE, sensor)
 
 
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
@@ -93,30 +96,30 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
                                                      F.coalesce("count", F.lit(0)).cast("bigint").alias("count"))
 
 
+def pair_correlations(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
+    """(var_a, var_b, corr): Pearson correlation of the given column pairs over
+    pairwise-complete rows, in one pass; a constant column gives NULL."""
+    each = F.explode(F.array(*[
+        F.struct(F.lit(a).alias("var_a"), F.lit(b).alias("var_b"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
+        for a, b in pairs])).alias("p")
+    cells = df.select(each).select("p.*")
+    both = F.col("x").isNotNull() & F.col("y").isNotNull()
+    x, y = F.when(both, F.col("x")), F.when(both, F.col("y"))
+    return cells.groupBy("var_a", "var_b").agg(F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y)).alias("corr"))
+
+
 def correlation_pairs(df: DataFrame, columns: list[str]) -> DataFrame:
     """Pearson correlation of every column pair over pairwise-complete rows;
-    a constant column gives NULL (EX6).  One-row aggregates over the narrow
-    projection, in codegen-sized chunks."""
-    aggs = []
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    for k, (a, b) in enumerate(pairs):
-        both = F.col(a).isNotNull() & F.col(b).isNotNull()
-        xa, xb = F.when(both, F.col(a).cast("double")), F.when(both, F.col(b).cast("double"))
-        aggs.append(F.try_divide(F.covar_pop(xa, xb), F.stddev_pop(xa) * F.stddev_pop(xb)).alias(f"r{k}"))
-    row = agg_in_chunks(df.select(*columns), aggs, chunk=6)
-    data = []
-    for k, (a, b) in enumerate(pairs):
-        data.append((a, b, row[f"r{k}"]))
-        if a != b:
-            data.append((b, a, row[f"r{k}"]))
-    return df.sparkSession.createDataFrame(data, "var_a string, var_b string, corr double")
+    a constant column gives NULL (EX6)."""
+    one = pair_correlations(df, [(a, b) for i, a in enumerate(columns) for b in columns[i:]])
+    mirrored = one.where("var_a <> var_b").select(F.col("var_b").alias("var_a"), F.col("var_a").alias("var_b"), "corr")
+    return one.unionByName(mirrored)
 
 
 def rul_correlations(features: DataFrame, sensor_cols=None) -> DataFrame:
     """Correlation of each sensor with rul, ranked ascending (EX7)."""
     sensors = present(features, sensor_cols or FEATURE_SENSORS)
-    pairs = correlation_pairs(features, [*sensors, "rul"])
-    ranked = pairs.filter((F.col("var_b") == "rul") & (F.col("var_a") != "rul")).select(
+    ranked = pair_correlations(features, [(s, "rul") for s in sensors]).select(
         F.col("var_a").alias("sensor"), F.col("corr").alias("corr_with_rul"))
     return ranked.orderBy(F.col("corr_with_rul").asc_nulls_last(), "sensor")
 
@@ -157,6 +160,14 @@ def flag_outliers(df: DataFrame, column: str = "sensor_04", k: float = 1.5) -> D
     return df.withColumn("is_outlier", F.coalesce((x < F.lit(f["lower"])) | (x > F.lit(f["upper"])), F.lit(False)))
 
 
+def boxplot_outliers(df: DataFrame, column: str = "sensor_04", k: float = 1.5, keys: list[str] | None = None) -> DataFrame:
+    """The points that a box plot draws beyond its whiskers: keys, value, side."""
+    f = iqr_fences(df.select(column), column, k)
+    x = F.col(column)
+    side = F.when(x < F.lit(f["lower"]), "low").when(x > F.lit(f["upper"]), "high")
+    return df.select(*(keys or [ENGINE, CYCLE]), x, side.alias("side")).filter(F.col("side").isNotNull())
+
+
 def boxplot_stats(df: DataFrame, column: str = "sensor_04", k: float = 1.5) -> DataFrame:
     """Quartiles, whiskers at the most extreme values inside the fences, and
     the outlier counts below / above (EX10)."""
@@ -173,11 +184,9 @@ def boxplot_stats(df: DataFrame, column: str = "sensor_04", k: float = 1.5) -> D
 
 def findings(raw: DataFrame, features: DataFrame, sensor_cols=None, outlier_column: str = "sensor_04") -> DataFrame:
     """One-row findings record of a run (EX11)."""
-    from assetlife.operators.quality import duplicate_count
-
-    spark = raw.sparkSession
-    with persisted(raw) as raw_kept, persisted(features) as feat_kept:
-        return _findings(spark, raw_kept, feat_kept, sensor_cols, outlier_column)
+    sensors = present(features, sensor_cols or FEATURE_SENSORS)
+    used = dict.fromkeys([ENGINE, CYCLE, *sensors, outlier_column, *present(features, ["rul"])])
+    return _findings(raw.sparkSession, raw, materialize(features.select(*used), "findings"), sensor_cols, outlier_column)
 
 
 def _findings(spark, raw, features, sensor_cols, outlier_column):

@@ -1,26 +1,15 @@
-"""Joins against per-key tables with a checked broadcast bound.
+"""Joins of rows with a table of one row per key.
 
-A per-engine table grows with the number of engines, so it is broadcast
-only after a count proves it small; otherwise the join is a shuffle join and
-AQE's skew-join handling splits a hot key on the large side.
+No side is broadcast by hint: such a table grows with the keys.  Spark
+broadcasts it where its measured size allows, and otherwise shuffles both sides
+and splits the partitions of hot keys.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-BROADCAST_MAX_ROWS = 2_000_000
 
-
-def join_per_key(rows: DataFrame, table: DataFrame, keys: list[str], how: str = "inner",
-                 max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Attach a one-row-per-key ``table`` to ``rows``.
-
-    The table's row count is measured (one small aggregate); at or under
-    ``max_broadcast_rows`` it is broadcast, above it the join shuffles both
-    sides and relies on AQE skew handling.
-    """
-    n = table.agg(F.count(F.lit(1)).alias("n")).first()["n"]
-    side = F.broadcast(table) if n <= max_broadcast_rows else table
-    return rows.join(side, keys, how)
+def join_per_key(rows: DataFrame, table: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Attach a one-row-per-key ``table`` to ``rows``."""
+    return rows.join(table, keys, how)

@@ -1,31 +1,23 @@
-"""Skew-safe ordered sequences: per-key row numbers and row-frame windows.
-
-A plain ``Window.partitionBy(engine).orderBy(cycle)`` sends every row of one
-engine to one task.  If one engine (or one file, or one supplier) holds a
-third of all rows, that task never finishes.  Here every key is split into
-*segments* - contiguous ranges of the per-key order, e.g.
-``floor(cycle / span)`` - and windows run per ``(key, segment)``:
-
-1. ``main``: one shuffle by (key, segment), one sort, and ONE window pass
-   computing the local row number and every requested window column.
-2. ``segment table``: ``groupBy(key, segment).count()`` (partial aggregation:
-   a hot key costs one row per map task); a window over this small table
-   gives each segment the number of key rows before it (-> exact per-key row
-   number ``_rn``), per-key statistics and its neighbour segments.  It is
-   joined on exactly the partitioning columns, so the rows do not move again.
-3. ``border``: rows whose frame reaches past their segment (the first
-   ``lookback`` / last ``lookahead`` rows of a segment) are recomputed from a
-   small set: those rows, their in-segment context and *halo* rows copied
-   from neighbouring segments.  Only the ``lookback`` rows before a segment
-   start (``lookahead`` after its end) are copied, each at most
-   ``lookback``/``lookahead`` times, so the border pass is a small shuffle.
-4. ``interior`` rows (frame inside the segment) keep the values of step 1;
-   the output is ``interior UNION border`` with no further shuffle.
-
-Results are exact for any segment sizes (also one-row segments), and no
-task ever holds more than one segment.  Key and segment columns are wrapped
-in structs so NULL keys group and join like any value.  Segment expressions
-must be non-decreasing along the order (a coarsening of an order prefix).
+"""Ordered sequences: per-key row numbers, row-frame windows and key statistics.
+
+Keys of at most ``max_rows`` rows are plain windows over the plain key
+columns: one shuffle, one sort, and a filter on a key reaches the scan.
+
+A key with more rows than that must not meet in one task.  One aggregate of
+the key columns finds such keys; their rows (and only theirs) are laid out by
+range over (key, order) in as many partitions as the session shuffles to, and
+written with their place.  A *segment* is a key's part of one partition, so
+there are at most (keys + partitions) segments, whatever the order's values:
+
+1. ``main``: window columns and local row numbers per (key, segment);
+2. the segment table (one row per segment) gives every segment the number of
+   rows of its key before it, key statistics and its neighbours;
+3. rows whose frame reaches past their segment are recomputed from a small
+   set: themselves, their context and the ``lookback`` / ``lookahead`` rows
+   copied from neighbouring segments.
+
+The written place is a total order, so evaluating a row twice gives the same
+result, also among equal order keys.
 """
 
 from __future__ import annotations
@@ -36,8 +28,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from assetlife.session import materialize
+
 RN = "_rn"
-_KEY, _SEG, _LRN, _N, _BEFORE, _EMIT = "_key", "_seg", "_lrn", "_n", "_before", "_emit"
+_KEY, _SEG, _AT, _LRN, _N, _BEFORE, _EMIT = "_key", "_seg", "_at", "_lrn", "_n", "_before", "_emit"
+
+#: Rows of one key that a single task may hold.
+HEAVY_KEY_ROWS = 1 << 20
 
 ColumnsFn = Callable[[WindowSpec], dict[str, Column]]
 
@@ -48,119 +45,106 @@ def sequence(
     df: DataFrame,
     keys: list[str],
     order: list[Column],
-    segment: list[Column],
     columns: ColumnsFn | None = None,
     lookback: int = 0,
     lookahead: int = 0,
     key_stats: dict[str, tuple[str, Column]] | None = None,
     rn_name: str | None = None,
+    max_rows: int = HEAVY_KEY_ROWS,
 ) -> DataFrame:
-    """Add per-key window columns over ordered rows without whole-key tasks.
+    """Add per-key window columns over ordered rows without oversized tasks.
 
     ``columns(w)`` returns ``{name: expression}`` built with the window spec
-    ``w`` (partitioned by key+segment, ordered along the key order); frames
-    may look at most ``lookback`` rows back and ``lookahead`` rows ahead.
-    ``key_stats`` maps a name to ``(fn, column)`` with fn in max/min/sum/count:
-    a per-key statistic gathered through the segment table.  ``rn_name``
-    keeps the exact per-key row number under that name.
+    ``w``; frames may look at most ``lookback`` rows back and ``lookahead``
+    rows ahead.  ``key_stats`` maps a name to ``(fn, column)`` with fn in
+    max/min/sum/count.  ``rn_name`` adds the per-key row number.  ``order``
+    should be total (see ``engine_sequence``); missing values come last, and
+    NULL keys are keys like any other.
     """
     columns = columns or (lambda w: {})
     key_stats = key_stats or {}
+    heavy = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cnt")).filter(F.col("_cnt") > max_rows).select(*keys)
+    if heavy.isEmpty():
+        return _plain(df, keys, order, columns, key_stats, rn_name)
+    heavy = materialize(heavy, "heavy-keys")
+    same = reduce(lambda a, b: a & b, [df[k].eqNullSafe(heavy[k]) for k in keys])
+    light = _plain(df.join(heavy, same, "left_anti"), keys, order, columns, key_stats, rn_name)
+    split = _split(df.join(heavy, same, "left_semi"), keys, order, columns, lookback, lookahead, key_stats, rn_name)
+    return light.unionByName(split)
+
+
+def _plain(df: DataFrame, keys, order, columns, key_stats, rn_name) -> DataFrame:
+    whole = Window.partitionBy(*keys)
+    w = whole.orderBy(*[o.asc_nulls_last() for o in order])
+    added = {**columns(w), **{name: _STAT_FN[fn][0](c).over(whole) for name, (fn, c) in key_stats.items()}}
+    if rn_name:
+        added[rn_name] = F.row_number().over(w).cast("long")
+    return df.select("*", *[c.alias(n) for n, c in added.items()])
+
+
+def _lay_out(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+    """The rows with their place ``_at``: partition number, then row in it."""
+    n = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    by = [F.col(k).asc_nulls_last() for k in keys] + [o.asc_nulls_last() for o in order]
+    laid = df.repartitionByRange(n, *by).sortWithinPartitions(*by)
+    return materialize(laid.withColumn(_AT, F.monotonically_increasing_id()), "segments")
+
+
+def _split(df: DataFrame, keys, order, columns, lookback, lookahead, key_stats, rn_name) -> DataFrame:
     data_cols = list(df.columns)
+    # structs group and join NULL keys like any value
     key_struct = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)])
-    # (is_null, value) pairs put NULL segments last, like the nulls-last order
-    seg_struct = F.struct(*[x for i, e in enumerate(segment) for x in (e.isNull().alias(f"n{i}"), e.alias(f"v{i}"))])
-    ord_names = [f"_o{i}" for i in range(len(order))]
-    base = df.select("*", key_struct.alias(_KEY), seg_struct.alias(_SEG), *[o.alias(n) for o, n in zip(order, ord_names)])
+    base = _lay_out(df, keys, order).select("*", key_struct.alias(_KEY), F.shiftright(_AT, 33).alias(_SEG))
 
-    # 1. main pass: local row number + all window columns in one Window exec
-    w_main = Window.partitionBy(_KEY, _SEG).orderBy(*[F.col(n).asc_nulls_last() for n in ord_names])
+    w_main = Window.partitionBy(_KEY, _SEG).orderBy(_AT)
     main_cols = columns(w_main)
     main = base.select(*data_cols, _KEY, _SEG, F.row_number().over(w_main).cast("long").alias(_LRN),
                        *[c.alias(n) for n, c in main_cols.items()])
 
-    # 2. segment table: offsets, per-key statistics, neighbours
-    seg_aggs = [F.count(F.lit(1)).alias(_N)]
-    for name, (fn, c) in key_stats.items():
-        seg_aggs.append(_STAT_FN[fn][0](c).alias(name))
-    seg = base.groupBy(_KEY, _SEG).agg(*seg_aggs)
+    seg = base.groupBy(_KEY, _SEG).agg(F.count(F.lit(1)).alias(_N),
+                                       *[_STAT_FN[fn][0](c).alias(name) for name, (fn, c) in key_stats.items()])
     w_key = Window.partitionBy(_KEY)
     w_seg = w_key.orderBy(_SEG)
-    seg_out = {_BEFORE: F.coalesce(F.sum(_N).over(w_seg.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))}
-    for name, (fn, _) in key_stats.items():
-        seg_out[name] = _STAT_FN[fn][1](name).over(w_key)
+    up_to = lambda last: F.coalesce(F.sum(_N).over(w_seg.rowsBetween(Window.unboundedPreceding, last)), F.lit(0))
+    seg_out = {_BEFORE: up_to(-1), **{name: _STAT_FN[fn][1](name).over(w_key) for name, (fn, _) in key_stats.items()}}
     if lookback:
-        seg_out["_next"] = F.array(*[
-            F.struct(F.lead(_SEG, i).over(w_seg).alias("s"),
-                     (F.coalesce(F.sum(_N).over(w_seg.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-                      + F.sum(_N).over(w_seg.rowsBetween(0, i - 1))).alias("b"))
-            for i in range(1, lookback + 1)])
+        seg_out["_next"] = F.array(*[F.struct(F.lead(_SEG, i).over(w_seg).alias("s"), up_to(i - 1).alias("b"))
+                                     for i in range(1, lookback + 1)])
     if lookahead:
-        seg_out["_prev"] = F.array(*[
-            F.struct(F.lag(_SEG, i).over(w_seg).alias("s"),
-                     F.coalesce(F.sum(_N).over(w_seg.rowsBetween(Window.unboundedPreceding, -i)), F.lit(0)).alias("e"))
-            for i in range(1, lookahead + 1)])
-    seg = seg.withColumns(seg_out)
-    main = main.join(seg, [_KEY, _SEG], "inner").withColumn(RN, F.col(_BEFORE) + F.col(_LRN))
+        seg_out["_prev"] = F.array(*[F.struct(F.lag(_SEG, i).over(w_seg).alias("s"), up_to(-i).alias("e"))
+                                     for i in range(1, lookahead + 1)])
+    main = main.join(seg.withColumns(seg_out), [_KEY, _SEG]).withColumn(RN, F.col(_BEFORE) + F.col(_LRN))
 
     stat_names = list(key_stats)
-    extra = [RN] if rn_name else []
-    out_names = [*data_cols, *main_cols, *stat_names, *extra]
-    if not lookback and not lookahead:
-        return _finish(main.select(*data_cols, *main_cols, *stat_names, *extra), rn_name)
+    out_names = [*data_cols, *main_cols, *stat_names, *([RN] if rn_name else [])]
+    if lookback or lookahead:
+        out = _with_borders(main, columns, data_cols, stat_names, out_names, lookback, lookahead)
+    else:
+        out = main.select(*out_names)
+    return out.withColumnRenamed(RN, rn_name) if rn_name and rn_name != RN else out
+
 
-    # 3. border rows, recomputed with halo rows from neighbouring segments
-    L, A = lookback, lookahead
+def _with_borders(main: DataFrame, columns, data_cols, stat_names, out_names, lookback: int, lookahead: int) -> DataFrame:
     lrn, n = F.col(_LRN), F.col(_N)
-    interior = main.filter((lrn > L) & (lrn <= n - A))
     carry = [*data_cols, _KEY, RN, *stat_names]
-    context = main.filter((lrn <= L + A) | (lrn > n - A - L)).select(
-        *carry, _SEG, ((lrn <= L) | (lrn > n - A)).alias(_EMIT))
-    pieces = [context]
-    if L:
-        back = (main.filter(lrn > n - L).select(*carry, F.explode("_next").alias("_t"))
-                .filter(F.col("_t.s").isNotNull() & (F.col("_t.b") - F.col(RN) < L))
-                .select(*carry, F.col("_t.s").alias(_SEG), F.lit(False).alias(_EMIT)))
-        pieces.append(back)
-    if A:
-        ahead = (main.filter(lrn <= A).select(*carry, F.explode("_prev").alias("_t"))
-                 .filter(F.col("_t.s").isNotNull() & (F.col(RN) - F.col("_t.e") <= A))
-                 .select(*carry, F.col("_t.s").alias(_SEG), F.lit(False).alias(_EMIT)))
-        pieces.append(ahead)
-    border_in = reduce(lambda a, b: a.unionByName(b), pieces)
-    w_border = Window.partitionBy(_KEY, _SEG).orderBy(RN)
-    border = border_in.select(*carry, _EMIT, *[c.alias(name) for name, c in columns(w_border).items()]).filter(_EMIT)
-    out = interior.select(*out_names).unionByName(border.select(*out_names))
-    return _finish(out, rn_name)
-
-
-def _finish(df: DataFrame, rn_name: str | None) -> DataFrame:
-    if rn_name and rn_name != RN:
-        return df.withColumnRenamed(RN, rn_name)
-    return df
-
-
-def row_numbers(df: DataFrame, keys: list[str], order: list[Column], segment: list[Column],
-                name: str = RN) -> DataFrame:
-    """Exact per-key ``row_number`` along ``order`` without a whole-key task."""
-    return sequence(df, keys, order, segment, rn_name=name)
-
-
-HEAVY_KEY_ROWS = 1 << 20
-HEAVY = "_heavy"
-
-
-def heavy_key_segments(df: DataFrame, keys: list[str], fine: list[Column],
-                       max_rows: int = HEAVY_KEY_ROWS) -> tuple[DataFrame, list[Column]]:
-    """Split only keys holding more than ``max_rows`` rows into fine segments.
-
-    ``groupBy(keys).count()`` is partially aggregated; the keys above the
-    threshold number at most ``count(df) / max_rows`` (a proven bound), so
-    that list is broadcast.  Light keys keep one segment; heavy keys use the
-    ``fine`` segment expressions.  Returns the marked frame (with a
-    ``_heavy`` column the caller drops) and the segment expressions.
-    """
-    heavy = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cnt"))
-             .filter(F.col("_cnt") > max_rows).select(*keys, F.lit(True).alias(HEAVY)))
-    marked = df.join(F.broadcast(heavy), keys, "left")
-    return marked, [F.when(F.col(HEAVY), e) for e in fine]
+    at_edge = (lrn <= lookback) | (lrn > n - lookahead)
+    near = main.filter((lrn <= lookback + lookahead) | (lrn > n - lookahead - lookback))
+    pieces = [near.select(*carry, _SEG, at_edge.alias(_EMIT))]
+    if lookback:
+        copies = main.filter(lrn > n - lookback).select(*carry, F.explode("_next").alias("_t"))
+        pieces.append(copies.filter(F.col("_t.s").isNotNull() & (F.col("_t.b") - F.col(RN) < lookback))
+                      .select(*carry, F.col("_t.s").alias(_SEG), F.lit(False).alias(_EMIT)))
+    if lookahead:
+        copies = main.filter(lrn <= lookahead).select(*carry, F.explode("_prev").alias("_t"))
+        pieces.append(copies.filter(F.col("_t.s").isNotNull() & (F.col(RN) - F.col("_t.e") <= lookahead))
+                      .select(*carry, F.col("_t.s").alias(_SEG), F.lit(False).alias(_EMIT)))
+    w = Window.partitionBy(_KEY, _SEG).orderBy(RN)
+    border = reduce(DataFrame.unionByName, pieces)
+    border = border.select(*carry, _EMIT, *[c.alias(name) for name, c in columns(w).items()]).filter(_EMIT)
+    return main.filter(~at_edge).select(*out_names).unionByName(border.select(*out_names))
+
+
+def row_numbers(df: DataFrame, keys: list[str], order: list[Column], name: str = RN,
+                max_rows: int = HEAVY_KEY_ROWS) -> DataFrame:
+    """Per-key ``row_number`` along ``order`` without an oversized task."""
+    return sequence(df, keys, order, rn_name=name, max_rows=max_rows)

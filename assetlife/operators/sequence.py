@@ -1,10 +1,14 @@
 """Per-engine sequence transforms (previous reading, delta, rate of change,
-rolling mean/std, z-score) as window expressions over skew-safe segments.
+rolling mean/std, z-score) as window expressions (``operators.segments``).
 
 Every function takes ``key_cols`` (default ``["engine_id"]``) so several
 variants/splits can be processed at once with ids that restart per file.
-All window columns of one call share one segment pass: one shuffle of the
-rows, whatever the number of sensors.
+All window columns of one call share one shuffle of the rows, whatever the
+number of sensors.
+
+Rows are ordered totally: by cycle, then by their line (``_file, _block,
+_row``) where the frame carries it or by ``tiebreak``, else by a hash of the
+row, so that only exact copies are interchangeable.
 """
 
 from __future__ import annotations
@@ -12,9 +16,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
-from assetlife.config import CYCLE, DEFAULT_SEGMENT_SPAN, ENGINE, FEATURE_SENSORS, ROLLING_WINDOW
+from assetlife.config import CYCLE, ENGINE, FEATURE_SENSORS, ROLLING_WINDOW
 from assetlife.functions import present
-from assetlife.operators.segments import sequence
+from assetlife.operators.segments import HEAVY_KEY_ROWS, sequence
+
+LINE_COLUMNS = ("_file", "_block", "_row")
+_TIE = "_tie"
 
 
 def sort_observations(df: DataFrame, key_cols: list[str] | None = None) -> DataFrame:
@@ -40,50 +47,41 @@ def engine_sequence(
     lookahead: int = 0,
     key_stats: dict | None = None,
     tiebreak: list[str] | None = None,
-    segment_span: int = DEFAULT_SEGMENT_SPAN,
     rn_name: str | None = None,
+    max_rows: int = HEAVY_KEY_ROWS,
 ) -> DataFrame:
-    """Window columns per engine along (cycle, tiebreak), computed over
-    cycle-range segments of ``segment_span`` cycles (see operators.segments)."""
+    """Window columns per engine along cycle and the tie-break."""
     keys = key_cols or [ENGINE]
-    order = [F.col(CYCLE), *[F.col(c) for c in (tiebreak or [])]]
-    return sequence(
-        df,
-        keys=keys,
-        order=order,
-        segment=[F.floor(F.col(CYCLE) / F.lit(segment_span))],
-        columns=columns,
-        lookback=lookback,
-        lookahead=lookahead,
-        key_stats=key_stats,
-        rn_name=rn_name,
-    )
-
-
-def zscore_stats(df: DataFrame, sensors: list[str]) -> dict[str, tuple[float | None, float | None]]:
-    """Mean and population std of every sensor: one distributed aggregate,
-    one row back to the driver.  Reusable, e.g. train statistics for test."""
+    ties = tiebreak or [c for c in LINE_COLUMNS if c in df.columns]
+    named = df.columns
+    if not ties and (columns is not None or rn_name):
+        rest = [F.col(c) for c in named if c not in (*keys, CYCLE)]
+        df, ties = df.withColumn(_TIE, F.xxhash64(*rest) if rest else F.lit(0)), [_TIE]
+    out = sequence(df, keys, [F.col(CYCLE), *[F.col(c) for c in ties]], columns, lookback, lookahead, key_stats,
+                   rn_name, max_rows)
+    return out.drop(_TIE) if _TIE not in named else out
+
+
+def zscore_stats(df: DataFrame, sensors: list[str]) -> dict[str, tuple[Column, Column]]:
+    """Mean and population std of every sensor, as scalar subqueries over one
+    aggregate: nothing runs before the query that reads them does, and
+    columns that are not read drop out.  Reusable, e.g. train statistics for
+    the test split."""
     if not sensors:
         return {}
-    aggs = []
-    for s in sensors:
-        aggs += [F.avg(s).alias(f"m_{s}"), F.stddev_pop(s).alias(f"s_{s}")]
-    row = df.agg(*aggs).first()
-    return {s: (row[f"m_{s}"], row[f"s_{s}"]) for s in sensors}
+    moments = df.agg(*[e for s in sensors for e in (F.avg(s).alias(f"m_{s}"), F.stddev_pop(s).alias(f"s_{s}"))])
+    return {s: (moments.select(f"m_{s}").scalar(), moments.select(f"s_{s}").scalar()) for s in sensors}
 
 
 def zscore_columns(sensors: list[str], stats: dict) -> dict[str, Column]:
-    """``{s}_norm`` from the statistics (literals; no join with the rows).
+    """``{s}_norm`` from the statistics (numbers or scalar columns).
 
     A zero or undefined std gives 0.0 on every row, missing readings included.
     """
     out = {}
     for s in sensors:
-        mean, std = stats.get(s, (None, None))
-        if std is None or std == 0 or mean is None:
-            out[f"{s}_norm"] = F.lit(0.0)
-        else:
-            out[f"{s}_norm"] = (F.col(s) - F.lit(float(mean))) / F.lit(float(std))
+        mean, std = (x if isinstance(x, Column) else F.lit(None if x is None else float(x)).cast("double") for x in stats.get(s, (None, None)))
+        out[f"{s}_norm"] = F.when(mean.isNull() | std.isNull() | (std == 0), F.lit(0.0)).otherwise((F.col(s) - mean) / std)
     return out
 
 
@@ -160,7 +158,7 @@ def suite_order(sensors: list[str]) -> list[str]:
 
 def apply_transformations(df: DataFrame, sensor_cols=None, window: int = ROLLING_WINDOW, key_cols=None,
                           stats: dict | None = None, **seq_kw) -> DataFrame:
-    """Standard suite in one segment pass: z-score, delta, rolling mean/std."""
+    """Standard suite in one pass: z-score, delta, rolling mean/std."""
     check_window(window)
     sensors = sensors_present(df, sensor_cols)
     base_cols = df.columns

@@ -10,9 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from contextlib import contextmanager
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
@@ -40,11 +38,12 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a scratch one only if unset.
+    """The shared checkpoint folder, as the cluster names it.
 
-    A cluster names its shared folder in ``spark.checkpoint.dir``; that setting
-    always wins.  Only when nothing is configured (tests, local runs) a fresh
-    folder under the system temp dir is used.
+    ``spark.checkpoint.dir`` always wins.  Where it is unset, a session on a
+    local master gets a fresh folder under the system's temporary one (its
+    driver and tasks are one process); any other master is an error, since its
+    executors would each write to a disk of their own.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -52,15 +51,40 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get(_CHECKPOINT_KEY, None) or sc.getConf().get(_CHECKPOINT_KEY, None)
     if not configured:
+        if sc.master.split("[")[0] != "local":
+            raise ValueError(f"{_CHECKPOINT_KEY} is not set: master {sc.master} needs a folder that its executors share")
         configured = tempfile.mkdtemp(prefix="assetlife-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+_scratch: dict[str, list[str]] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    _scratch.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def scratch_mark(spark: SparkSession) -> int:
+    """A point to which ``drop_scratch`` can go back."""
+    return len(_scratch.get(spark.sparkContext.applicationId, []))
+
+
+def drop_scratch(spark: SparkSession, since: int = 0) -> int:
+    """Delete the scratch tables made since a mark; returns their number.
+    For callers that have written their results elsewhere, as the job has."""
+    made = _scratch.get(spark.sparkContext.applicationId, [])
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in made[since:]:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
+    gone = len(made) - since
+    del made[since:]
+    return gone
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
@@ -75,37 +99,3 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
-
-
-@contextmanager
-def persisted(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK):
-    """Keep ``df`` for a multi-pass operator and release it afterwards.
-
-    Lost blocks are recomputed from lineage, so this survives executor loss;
-    callers persist only the narrow projection they iterate over.
-    """
-    kept = df.persist(level)
-    try:
-        yield kept
-    finally:
-        kept.unpersist()
-
-
-AGG_CHUNK = 20
-
-
-def agg_in_chunks(df: DataFrame, aggs: list, chunk: int = AGG_CHUNK) -> dict:
-    """Evaluate many one-row aggregates as a few smaller aggregates.
-
-    A single aggregate with hundreds of buffer fields exceeds whole-stage
-    codegen's field limit and runs interpreted; chunks of ``chunk``
-    expressions stay compiled.  With more than one chunk the input is
-    persisted for the passes.  Returns {alias: value}.
-    """
-    if len(aggs) <= chunk:
-        return df.agg(*aggs).first().asDict()
-    out: dict = {}
-    with persisted(df) as kept:
-        for i in range(0, len(aggs), chunk):
-            out.update(kept.agg(*aggs[i:i + chunk]).first().asDict())
-    return out

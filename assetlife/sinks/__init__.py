@@ -24,3 +24,14 @@ def write_json(df: DataFrame, path: str) -> str:
     """A small (one-row) report as JSON lines, written as a single part."""
     df.coalesce(1).write.mode("overwrite").json(path)
     return path
+
+
+def move(spark, source: str, target: str) -> str:
+    """Rename a written table, replacing what is at ``target``."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    a, b = jvm.org.apache.hadoop.fs.Path(source), jvm.org.apache.hadoop.fs.Path(target)
+    fs = b.getFileSystem(conf)
+    fs.delete(b, True)
+    if not fs.rename(a, b):
+        raise OSError(f"cannot move {source} to {target}")
+    return target

@@ -15,9 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assetlife.config import CYCLE, ENGINE, RAW_COLUMNS
-from assetlife.operators.segments import HEAVY, heavy_key_segments, row_numbers
-
-ORDERKEY_BUCKET = 1 << 20
+from assetlife.operators.segments import HEAVY_KEY_ROWS, row_numbers
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,28 +57,24 @@ def lineitem_sensors() -> dict[str, Column]:
     }
 
 
-def lineitem_trajectories(spark: SparkSession, sf_dir: str) -> DataFrame:
+def lineitem_trajectories(spark: SparkSession, sf_dir: str, max_rows: int = HEAVY_KEY_ROWS) -> DataFrame:
     """LI: one engine per supplier, cycles numbered along ship date.
 
     ``cycle = row_number() OVER (PARTITION BY l_suppkey ORDER BY l_shipdate,
-    l_orderkey, l_linenumber, l_partkey, l_extendedprice)``; a supplier above
-    the heavy-key threshold is numbered in segments of (ship date, order-key
-    block), so no task holds a hot supplier.
+    l_orderkey, l_linenumber, l_partkey, l_extendedprice)``; a supplier of more
+    than ``max_rows`` rows is numbered by several tasks.
     """
     li = _table(spark, sf_dir, "lineitem").select(
         "l_suppkey", "l_shipdate", "l_orderkey", "l_linenumber", "l_partkey",
         "l_extendedprice", "l_quantity", "l_discount", "l_tax",
     )
-    # suppliers above a million rows are split by (ship date, order-key block)
-    li, segment = heavy_key_segments(li, ["l_suppkey"],
-                                     [F.col("l_shipdate"), F.floor(F.col("l_orderkey") / ORDERKEY_BUCKET)])
     numbered = row_numbers(
         li,
         keys=["l_suppkey"],
         order=[F.col(c) for c in ("l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")],
-        segment=segment,
         name=CYCLE,
-    ).drop(HEAVY)
+        max_rows=max_rows,
+    )
     sensors = lineitem_sensors()
     return numbered.select(
         (F.col("l_suppkey") + 1).cast("bigint").alias(ENGINE),
@@ -89,22 +83,21 @@ def lineitem_trajectories(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def event_trajectories(spark: SparkSession, sf_dir: str, keep_event_id: bool = False) -> DataFrame:
+def event_trajectories(spark: SparkSession, sf_dir: str, keep_event_id: bool = False,
+                       max_rows: int = HEAVY_KEY_ROWS) -> DataFrame:
     """EV: one engine per user, cycles numbered along (ts, event_id).
 
     sensor_01 = 10.0 is constant; sensor_i = value + i for i >= 2, so sensor_04
     carries the event value shifted by 4.
     """
     ev = _table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
-    ev, segment = heavy_key_segments(ev, ["user_id"],
-                                     [F.col("ts"), F.floor(F.col("event_id") / ORDERKEY_BUCKET)])
     numbered = row_numbers(
         ev,
         keys=["user_id"],
         order=[F.col("ts"), F.col("event_id")],
-        segment=segment,
         name=CYCLE,
-    ).drop(HEAVY)
+        max_rows=max_rows,
+    )
     v = F.col("value")
     cols = [
         (F.col("user_id") + 1).cast("bigint").alias(ENGINE),

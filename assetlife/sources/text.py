@@ -6,9 +6,8 @@ directory of part files (what Spark writes); its lines are then taken in
 part-name order.
 
 Line positions (needed for RUL targets, physical order checks and stable
-tie-breaks) are exact and skew-safe: every input split is one segment of the
-per-file order ``(file, split start, row id)``, so even a single huge file is
-numbered by many tasks (``operators.segments``).
+tie-breaks) are exact along ``(file, split start, row id)``; a single huge file
+is numbered by many tasks (``operators.segments``).
 """
 
 from __future__ import annotations
@@ -18,7 +17,7 @@ from pyspark.sql import functions as F
 
 from assetlife.config import CYCLE, DEFAULT_SPLIT, DEFAULT_VARIANT, ENGINE, RAW_COLUMNS, SEARCH_SUBDIRS
 from assetlife.functions import string_to_double
-from assetlife.operators.segments import sequence
+from assetlife.operators.segments import HEAVY_KEY_ROWS, sequence
 
 
 class DatasetNotFoundError(FileNotFoundError):
@@ -50,35 +49,46 @@ def locate_variant_file(spark: SparkSession, variant: str = DEFAULT_VARIANT, spl
     then any direct child folder (by name); first hit wins (SRC1)."""
     if raw_dir is None:
         raise DatasetNotFoundError("raw_dir is required")
-    base = raw_dir.rstrip("/")
-    name = f"{split}_{variant}.txt"
-    candidates = [f"{base}/{name}", *[f"{base}/{d}/{name}" for d in SEARCH_SUBDIRS]]
-    for child in child_dirs(spark, base):
-        cand = f"{child.rstrip('/')}/{name}"
-        if cand not in candidates:
-            candidates.append(cand)
-    for cand in candidates:
-        if path_exists(spark, cand):
-            return cand
-    searched = ", ".join(candidates[:4])
-    raise DatasetNotFoundError(f"Could not find {name} under {base}. Searched: {searched}. "
-                               f"Place the file there (e.g. {base}/{SEARCH_SUBDIRS[0]}/{name}).")
+    name, base = f"{split}_{variant}.txt", raw_dir.rstrip("/")
+    folders = dict.fromkeys([base, *(f"{base}/{d}" for d in SEARCH_SUBDIRS), *(c.rstrip("/") for c in child_dirs(spark, base))])
+    hit = next((f"{folder}/{name}" for folder in folders if path_exists(spark, f"{folder}/{name}")), None)
+    if hit is None:
+        raise DatasetNotFoundError(f"no {name} in any of: {', '.join(folders)}")
+    return hit
 
 
 def list_available_files(spark: SparkSession, raw_dir: str) -> DataFrame:
     """All ``*.txt`` files below ``raw_dir`` as (path, length), sorted (SRC8).
 
-    Only file metadata is read (``binaryFile`` prunes the content column).
+    A folder of part files that is named ``*.txt`` is one file, as it is for
+    the readers: its length is that of its parts.  Only file metadata is read
+    (``binaryFile`` prunes the content column).
     """
     schema = "path string, length bigint"
     if not path_exists(spark, raw_dir):
         return spark.createDataFrame([], schema)
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
              .option("pathGlobFilter", "*.txt").load(raw_dir))
-    return files.select("path", "length").orderBy("path")
+    whole = F.regexp_extract("path", r"^(.*?\.txt)(/.*)?$", 1)
+    return files.groupBy(whole.alias("path")).agg(F.sum("length").alias("length")).orderBy("path")
+
+
+def count_lines(spark: SparkSession, files: DataFrame) -> DataFrame:
+    """(path, n_lines): lines with anything but white space in each listed file."""
+    paths = [r["path"] for r in files.select("path").collect()]  # a listing, not data
+    if not paths:
+        return spark.createDataFrame([], "path string, n_lines bigint")
+    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("part"))
+    whole = F.regexp_extract("part", r"^(.*?\.txt)(/.*)?$", 1)
+    return lines.groupBy(whole.alias("path")).agg(F.count_if(_holds_something("value")).alias("n_lines"))
 
 
 # ------------------------------------------------------------ line order
+def _holds_something(value: str) -> Column:
+    """Not empty and not white space alone."""
+    return F.col(value).rlike(r"\S")
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Text lines with their physical position keys: file, split start, row id."""
     return spark.read.text(path).select(
@@ -89,14 +99,15 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def number_lines(lines: DataFrame, name: str = "_line", keys: list[str] | None = None) -> DataFrame:
+def number_lines(lines: DataFrame, name: str = "_line", keys: list[str] | None = None,
+                 max_rows: int = HEAVY_KEY_ROWS) -> DataFrame:
     """Exact 1-based position of every line across the files of ``keys``
-    (default: all lines form one sequence, in file-name order)."""
-    keys = keys or ["_src"]
-    src = lines if "_src" in lines.columns or keys != ["_src"] else lines.withColumn("_src", F.lit(0))
-    out = sequence(src, keys, [F.col("_file"), F.col("_block"), F.col("_row")],
-                   [F.col("_file"), F.col("_block")], rn_name=name)
-    return out.drop("_src") if "_src" not in lines.columns and keys == ["_src"] else out
+    (default: all lines form one sequence, in file-name order).  A sequence
+    of more than ``max_rows`` lines is numbered by several tasks."""
+    order = [F.col("_file"), F.col("_block"), F.col("_row")]
+    if keys:
+        return sequence(lines, keys, order, rn_name=name, max_rows=max_rows)
+    return sequence(lines.withColumn("_src", F.lit(0)), ["_src"], order, rn_name=name, max_rows=max_rows).drop("_src")
 
 
 # --------------------------------------------------------------- parsing
@@ -113,7 +124,7 @@ def parse_trajectory_lines(lines: DataFrame, keep: list[str] | None = None, on_m
     line with more than 26 fields (``on_malformed='error'``).
     """
     keep = keep or []
-    body = lines.filter(F.trim(F.col("value")) != "").withColumn("_tok", tokens(F.col("value")))
+    body = lines.filter(_holds_something("value")).withColumn("_tok", tokens(F.col("value")))
     width = len(RAW_COLUMNS)
     cols = []
     for i, name in enumerate(RAW_COLUMNS):
@@ -194,7 +205,7 @@ def load_rul_targets(spark: SparkSession, variant: str = DEFAULT_VARIANT, raw_di
     """``RUL_{variant}.txt``: engine_id = 1-based position among non-blank
     lines, rul = the number on the line as DOUBLE (SRC6)."""
     path = path or locate_variant_file(spark, variant, "RUL", raw_dir)
-    lines = read_lines(spark, path).filter(F.trim(F.col("value")) != "")
+    lines = read_lines(spark, path).filter(_holds_something("value"))
     numbered = number_lines(lines, name=ENGINE)
     return numbered.select(F.col(ENGINE).cast("bigint").alias(ENGINE),
                            string_to_double(F.get(tokens(F.col("value")), 0)).alias("rul"))
@@ -212,15 +223,15 @@ def load_features_table(spark: SparkSession, parquet_path: str, table_name: str
 def attach_official_rul(features: DataFrame, targets: DataFrame, key_cols: list[str] | None = None) -> DataFrame:
     """Test-split labels: ``rul = target + max_cycle(engine) - cycle`` (SRC10).
 
-    Both the per-engine maximum and the targets are one row per engine; they
-    are combined first (a join of two per-engine tables) and then attached to
-    the rows through ``join_per_key`` (broadcast only under a checked bound).
+    Every row stays; an engine without a target has a NULL ``rul``.  The
+    per-engine maximum and the targets, one row per engine each, are combined
+    first and then attached to the rows.
     """
     from assetlife.operators.joins import join_per_key
 
     keys = key_cols or [ENGINE]
     last = features.groupBy(*keys).agg(F.max(CYCLE).alias("_max_cycle"))
-    per_engine = last.join(targets.select(*keys, F.col("rul").alias("_target")), keys, "inner")
-    joined = join_per_key(features.drop("rul"), per_engine, keys)
+    per_engine = join_per_key(last, targets.select(*keys, F.col("rul").alias("_target")), keys, "left")
+    joined = join_per_key(features.drop("rul"), per_engine, keys, "left")
     return joined.withColumn("rul", F.col("_target") + (F.col("_max_cycle") - F.col(CYCLE)).cast("double")) \
         .drop("_target", "_max_cycle")

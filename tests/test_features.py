@@ -8,14 +8,13 @@ from assetlife.operators import lifecycle as fe
 
 def test_rul(feature_frame):
     out = fe.add_remaining_useful_life(feature_frame)
-    e1 = [r.rul for r in out.filter("engine_id = 1").orderBy("cycle").collect()]
-    e2 = [r.rul for r in out.filter("engine_id = 2").orderBy("cycle").collect()]
-    assert e1 == [3, 2, 1, 0] and e2 == [2, 1, 0]
+    left = {e: [r.rul for r in out.filter(F.col("engine_id") == e).orderBy("cycle").collect()] for e in (11, 12)}
+    assert left == {11: [4, 3, 2, 1, 0], 12: [1, 0]}
 
 
 def test_cycle_norm(feature_frame):
-    e1 = [r.cycle_norm for r in fe.add_normalized_cycle(feature_frame).filter("engine_id = 1").orderBy("cycle").collect()]
-    assert e1[0] == pytest.approx(0.25) and e1[-1] == pytest.approx(1.0)
+    part = {(r.engine_id, r.cycle): r.cycle_norm for r in fe.add_normalized_cycle(feature_frame).collect()}
+    assert part[11, 1] == pytest.approx(0.2) and part[11, 5] == part[12, 2] == 1.0 and part[12, 1] == 0.5
 
 
 def test_engineer_features_columns(feature_frame):
@@ -40,5 +39,11 @@ def test_key_cols_keep_variants_apart(feature_frame):
     two = feature_frame.withColumn("variant", F.lit("FD001")).unionByName(
         feature_frame.withColumn("variant", F.lit("FD002")).withColumn("cycle", F.col("cycle") * 2))
     out = fe.add_remaining_useful_life(two, key_cols=["variant", "engine_id"])
-    e1 = [r.rul for r in out.filter("variant = 'FD002' AND engine_id = 1").orderBy("cycle").collect()]
-    assert e1 == [6, 4, 2, 0]
+    e11 = [r.rul for r in out.filter("variant = 'FD002' AND engine_id = 11").orderBy("cycle").collect()]
+    assert e11 == [8, 6, 4, 2, 0]
+
+
+def test_declared_order_follows_the_frame(feature_frame):
+    frame = feature_frame.withColumn("op_setting_2", F.lit(0.0)).withColumn("rul", F.lit(1)).withColumn("sensor_03_delta", F.lit(0.0))
+    assert fe.select_feature_columns(frame, ("sensor_03", "sensor_02")) == [
+        "engine_id", "cycle", "sensor_03", "sensor_02", "op_setting_1", "op_setting_2", "sensor_03_delta", "rul"]

@@ -14,7 +14,7 @@ def _mini_lines(extra_blank: bool = False) -> list[str]:
             vals = [engine, cycle, 0.0, 0.0, 100.0, *[float(i + engine + cycle) for i in range(21)]]
             rows.append(" ".join(str(x) for x in vals) + "  ")
             if extra_blank:
-                rows.append("   ")
+                rows += ["   ", "\t", ""]
     return rows
 
 
@@ -75,7 +75,7 @@ def test_malformed_line_raises(spark):
 
 
 def test_rul_targets_follow_line_positions(spark):
-    base = _write(spark, "RUL_FD001.txt", ["112", "", "98", "  ", "69.5"])
+    base = _write(spark, "RUL_FD001.txt", ["112", "", "98", " \t ", "\t", "69.5"])
     df = src.load_rul_targets(spark, "FD001", base)
     assert [tuple(r) for r in df.orderBy("engine_id").collect()] == [(1, 112.0), (2, 98.0), (3, 69.5)]
 
@@ -85,3 +85,26 @@ def test_list_available_files(spark):
     files = [r.path for r in src.list_available_files(spark, base).collect()]
     assert files and all(p.endswith(".txt") for p in files)
     assert src.list_available_files(spark, base + "/nope").count() == 0
+
+
+def test_not_found_names_every_folder(spark):
+    base = _write(spark, "zzz/other.txt", ["x"])
+    with pytest.raises(src.DatasetNotFoundError) as error:
+        src.locate_variant_file(spark, "FD001", "train", base)
+    for folder in (base, "CMAPSSData", "CMaps", "cmapss", "zzz"):
+        assert folder in str(error.value)
+
+
+def test_lines_of_one_file_are_numbered_by_many_tasks(spark):
+    base = _write(spark, "RUL_FD001.txt", [str(i) for i in range(500)])
+    lines = src.read_lines(spark, f"{base}/RUL_FD001.txt").repartition(7)
+    for most in (20, 1000):
+        got = src.number_lines(lines, max_rows=most).select("value", "_line").collect()
+        assert sorted((r["_line"], int(r["value"])) for r in got) == [(i + 1, i) for i in range(500)]
+
+
+def test_engines_without_target_keep_their_rows(spark):
+    rows = spark.createDataFrame([(e, c) for e in (1, 2, 3) for c in (1, 2)], "engine_id bigint, cycle bigint")
+    targets = spark.createDataFrame([(1, 10.0), (3, 5.0), (9, 1.0)], "engine_id bigint, rul double")
+    got = sorted(tuple(r) for r in src.attach_official_rul(rows, targets).fillna(-1.0).collect())
+    assert got == [(1, 1, 11.0), (1, 2, 10.0), (2, 1, -1.0), (2, 2, -1.0), (3, 1, 6.0), (3, 2, 5.0)]
