@@ -8,9 +8,11 @@ from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from assetlife.session import materialize
+
 #: Bytes of text that one step inside a task works on (a single longer text
 #: makes a step of its own).
 STEP_BYTES = 2 << 20
@@ -80,6 +82,37 @@ def map_texts(df: DataFrame, keys: list[str], make: Callable, schema: str, text:
     return frame.mapInArrow(run, schema)
 
 
+def most_frequent(counts: DataFrame, size: int) -> list[Row]:
+    """``size`` rows of ``counts`` (w, n; each w once) with the largest n, to
+    within a sixteenth of a doubling; of those that are level at the end, the
+    ones with the smallest hashes.
+
+    Two small histograms find the cut, so no task returns more than its share
+    of the rows that are taken (a sorted limit would return ``size`` rows from
+    every task).
+    """
+    counts = materialize(counts, "counts")
+    level = F.floor(F.log2("n") * 16)
+    last, room = None, size
+    for r in counts.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect():  # some hundred levels
+        last = r["level"]
+        if r["count"] > room:
+            break
+        room -= r["count"]
+    else:
+        return counts.collect()
+    above, edge = counts.where(level > last), counts.where(level == last)
+    slot = F.pmod(F.xxhash64("w"), F.lit(4096))
+    end = None
+    for r in edge.groupBy(slot.alias("slot")).count().orderBy("slot").collect():
+        end = r["slot"]
+        if r["count"] > room:
+            break
+        room -= r["count"]
+    rest = edge.where(slot == end).orderBy(F.xxhash64("w"), "w").limit(room)
+    return above.unionAll(edge.where(slot < end)).collect() + rest.collect()
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     """crc32 of the id as text, modulo 3, is 1 (a null id is held out)."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(True))

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assetlife.llm.common import map_texts, steps, text_rows
+from assetlife.llm.common import map_texts, most_frequent, steps, text_rows
 
 VOCABULARY = 1 << 16
 PAIR_BITS = 20
@@ -64,8 +64,8 @@ def vocabulary(docs: DataFrame, size: int = VOCABULARY, text: str = "text") -> d
         yield flush()
 
     counts = docs.select(F.col(text).cast("string").alias("text")).mapInArrow(count, "w binary, n bigint").groupBy("w").agg(F.sum("n").alias("n"))
-    top = counts.orderBy(F.desc("n"), "w").limit(size).collect()
-    return {bytes(r["w"]): _FIRST + i for i, r in enumerate(top)}
+    top = sorted(bytes(r["w"]) for r in most_frequent(counts, size))
+    return {w: _FIRST + i for i, w in enumerate(top)}
 
 
 def _tokens(texts: list[bytes], words: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assetlife.llm.common import map_texts, steps, text_rows
+from assetlife.llm.common import map_texts, most_frequent, steps, text_rows
 from assetlife.llm.grams import joined
 
 #: Words of the dictionary: the most frequent of the corpus.
@@ -184,7 +184,7 @@ def corpus_lexicon(docs: DataFrame, text: str = "text", size: int = DICTIONARY_S
         return work
 
     counts = map_texts(docs, [], make, "w string, n bigint", text).groupBy("w").agg(F.sum("n").alias("n"))
-    rows = counts.orderBy(F.desc("n"), "w").limit(size).collect()
+    rows = sorted(most_frequent(counts, size))
     pairs = np.full((128, 128), 0.1)
     for r in rows:
         w = f" {r['w']} "

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from assetlife.llm import langid, lm_score, quality
-from assetlife.llm.common import held_out, word_count
+from assetlife.llm.common import held_out, most_frequent, word_count
 
 SF = "/root/testdata/sf0.01"
 
@@ -127,6 +127,15 @@ def test_language_odd_rows(spark, odd, docs):
     assert {r["lang_pred"] for r in langid.predict(odd, single).collect()} == {"und", "de"}
 
 
+@pytest.mark.parametrize("size", [0, 1, 7, 40, 333, 999, 5000])
+def test_most_frequent_words(spark, size):
+    rows = [(f"w{i}", 1 + (1000 // (i + 1) if i < 60 else 0)) for i in range(1000)]
+    got = most_frequent(spark.createDataFrame(rows, "w string, n long"), size)
+    assert len(got) == len({r["w"] for r in got}) == min(size, 1000)
+    left = [n for w, n in rows if w not in {r["w"] for r in got}]
+    assert not got or not left or max(left) <= 1.05 * min(r["n"] for r in got)
+
+
 def brute_models(texts, target, words):
     """Counts by plain loops, hashed cells as the operator has them."""
     from collections import Counter
