@@ -114,6 +114,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, max_per_class: int =
     """
     sample = F.broadcast(training_rows(labels, learn, max_per_class, key))  # 2 * max_per_class rows at most
     picked = docs.select(F.col(key).cast("long").alias("_id"), F.col(text).alias("_t")).join(sample, "_id")
+    picked = picked.groupBy("_id", "_label").agg(F.min_by("_t", F.xxhash64("_t")).alias("_t"))  # one text for each id
 
     def make():
         def work(keys, texts):

@@ -236,11 +236,14 @@ def labelled_findings(docs: DataFrame, rows: int = 4000, key: str = "doc_id", te
     """(text, at, label): made-up real and false findings between neighbouring
     words of documents, for want of a labelled table.
 
-    A bounded sample of ``rows`` documents (smallest id hashes) gives the
-    neighbouring words, one finding each, true for every other one.
+    A bounded sample of ``rows`` documents (smallest hashes; equal ones once)
+    gives the neighbouring words, one finding each, true for every other one.
     """
-    picked = docs.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(F.col(key).cast("long").alias("id"), F.substring(text, 1, 2000).alias("t"))
-    sample = picked.orderBy(F.xxhash64("id", F.lit(seed)), "id", "t").limit(rows)
+    picked = docs.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(F.col(key).cast("long").alias("id"), F.col(text).alias("t"))
+    picked = picked.withColumn("h", F.xxhash64("id", "t", F.lit(seed)))
+    # the cut is found on hashes alone; texts are read only under it, equal rows once
+    last = picked.select("h").orderBy("h").limit(rows).agg(F.max("h")).first()[0]
+    sample = picked.where(F.col("h") <= F.lit(last)).select("h", "id", F.substring("t", 1, 2000).alias("t")).dropDuplicates(["h"])
 
     def plant(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in batches:
