@@ -58,9 +58,10 @@ def text_rows(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
     return [b"" if x is None else x for x in col.cast(pa.binary()).to_pylist()]
 
 
-def map_texts(df: DataFrame, keys: list[str], make: Callable, schema: str, text: str = "text") -> DataFrame:
+def map_texts(df: DataFrame, keys: list[str], make: Callable, schema: str, text: str = "text", limit: int = STEP_BYTES) -> DataFrame:
     """``make()`` builds, once per task, a function from (key columns, texts)
-    of one step to a list of output columns in the order of ``schema``.
+    of one step (about ``limit`` bytes) to a list of output columns in the
+    order of ``schema``.
 
     Only ``keys`` and ``text`` are read, so other columns of the input cannot
     clash with the result's names.
@@ -74,7 +75,7 @@ def map_texts(df: DataFrame, keys: list[str], make: Callable, schema: str, text:
         for batch in batches:
             texts = text_rows(batch, "_text")
             ks = [batch.column(i).to_pylist() for i in range(n)]
-            for a, b in steps(texts):
+            for a, b in steps(texts, limit):
                 cols = work([k[a:b] for k in ks], texts[a:b])
                 if len(cols[0]):
                     yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in cols], names=names)

@@ -26,6 +26,8 @@ from assetlife.llm.grams import bucket, byte_grams, distinct, joined
 from assetlife.session import materialize
 
 BITS = 18
+#: Bytes of text whose features a task holds at a time (some 150 bytes for each).
+STEP = 1 << 18
 _PARTS = 6
 
 # byte -> shape class: 0 blank, 1 lower case, 2 upper case, 3 digit, 4 non-ASCII, others by themselves
@@ -124,7 +126,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, max_per_class: int =
 
         return work
 
-    rows = materialize(map_texts(picked, ["_id", "_label"], make, "id bigint, label int, f array<int>", "_t"), "nbsvm")
+    rows = materialize(map_texts(picked, ["_id", "_label"], make, "id bigint, label int, f array<int>", "_t", STEP), "nbsvm")
     counts = rows.select("label", F.explode("f").alias("f")).groupBy("f").agg(F.sum("label").alias("n1"), F.count("*").alias("n")).toPandas()
     totals = rows.agg(F.count("*").alias("n"), F.coalesce(F.sum("label"), F.lit(0)).alias("n1")).first()
     if not 0 < totals["n1"] < totals["n"]:
@@ -168,7 +170,7 @@ def score(docs: DataFrame, weights: np.ndarray, key: str = "doc_id", text: str =
 
         return work
 
-    return map_texts(docs.withColumn(key, F.col(key).cast("long")), [key], make, "doc_id bigint, score double", text)
+    return map_texts(docs.withColumn(key, F.col(key).cast("long")), [key], make, "doc_id bigint, score double", text, STEP)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, learn: Column, max_per_class: int = 4000) -> DataFrame:
@@ -184,7 +186,7 @@ def keep_rows(docs: DataFrame, shipped) -> DataFrame:
         w = shipped.value
         for batch in batches:
             texts = text_rows(batch, "text")
-            for a, b in steps(texts):
+            for a, b in steps(texts, STEP):
                 t, f = features(texts[a:b])
                 margin = np.bincount(t, w[f], b - a) if len(t) else np.zeros(b - a)
                 keep = (margin >= 0) & np.array([len(x) > 0 for x in texts[a:b]])
