@@ -117,10 +117,3 @@ def most_frequent(counts: DataFrame, size: int) -> list[Row]:
 def held_out(doc_id: str = "doc_id") -> Column:
     """crc32 of the id as text, modulo 3, is 1 (a null id is held out)."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(True))
-
-
-def word_count(text: str = "text") -> Column:
-    """Words between ASCII white space; null has none."""
-    trimmed = F.regexp_replace(F.col(text), r"^[\x20\x09-\x0D]+", "")
-    n = F.size(F.split(trimmed, r"[\x20\x09-\x0D]+")) - F.when(trimmed.rlike(r"[\x20\x09-\x0D]\z"), 1).otherwise(0)
-    return F.when(F.col(text).isNull() | (F.length(trimmed) == 0), 0).otherwise(n).cast("long")

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from assetlife.llm import langid, lm_score, quality
-from assetlife.llm.common import held_out, most_frequent, word_count
+from assetlife.llm.common import held_out, most_frequent
 
 SF = "/root/testdata/sf0.01"
 
@@ -36,12 +36,6 @@ def test_held_out_follows_crc32(spark):
     assert all(r["h"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1) for r in rows)
 
 
-def test_word_count(spark):
-    texts = [None, "", "  ", "a", " a\tb\x0bc ", "é ü x", "a\n"]
-    got = spark.createDataFrame([(t,) for t in texts], "text string").select(word_count().alias("n")).collect()
-    assert [r["n"] for r in got] == [len((t or "").encode().split()) for t in texts]
-
-
 def test_descent_separates_and_meets_the_optimum():
     rng = np.random.default_rng(0)
     rows = [np.flatnonzero(rng.random(30) < 0.3) for _ in range(200)]

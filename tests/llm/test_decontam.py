@@ -3,8 +3,6 @@ from __future__ import annotations
 import random
 import re
 
-from pyspark.sql import functions as F
-
 from assetlife.llm import decontam
 from assetlife.llm.decontam import contaminated, contamination, drop_contaminated
 
@@ -101,7 +99,3 @@ def test_suffix_array_order():
     assert sorted(array.tolist()) == list(range(len(ids)))
     inside = [k for a, k in zip(array.tolist(), keys) if a < 300]
     assert inside == sorted(inside)
-
-
-def test_rule():
-    assert str(F.col("x")) and contaminated() is not None
