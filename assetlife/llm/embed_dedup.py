@@ -5,19 +5,19 @@ key and orders the vectors of a label by it; vectors near each other on the
 sphere share long prefixes and end up close.  Each vector is compared with the
 rest of its block and the next block of ``BLOCK`` places (every pair at most
 ``BLOCK`` places apart, so the window is bounded), verified by its cosine in
-double precision, and the verified pairs of all passes are united.
-
-Vectors that are equal are collapsed first.  A group of near vectors that is
-larger than the window goes on: where a block still links with the last block
-that it was compared with, it is compared with further ones, until links end.
-
-A pair is counted in the first pass whose window holds it, which both vectors'
-places tell, so pairs are never gathered: a block gives link counts and the
-edges of its own spanning forest, at most one per vector.
+double precision, and the verified pairs of all passes are united.  The number
+of passes follows the size of the largest label.
+
+Vectors that are equal are collapsed first.  The windows only have to find the
+groups: a pass gives the edges of each block's spanning forest, at most one per
+vector, and their components are the groups.  Links are then counted exactly,
+from all pairs of each group, whatever its size: groups larger than a chunk are
+cut into chunks and every two chunks are compared in a task of their own.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,7 +29,10 @@ from pyspark.sql import functions as F
 from assetlife.llm.components import components
 from assetlife.session import materialize
 
+#: Passes at least; large labels get more (see _passes).
 PASSES = 12
+#: Share of the pairs just at the threshold that the passes are to bring together.
+RECALL = 0.99
 KEY_BITS = 48
 BLOCK = 512
 #: Blocks that are compared in one go (their first block also closes the group before).
@@ -107,25 +110,16 @@ def _forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
         root = new
 
 
-_OUT = "id bigint, n bigint, root bigint, reach bigint, turn bigint"
-_NONE = pa.table({f.split()[0]: pa.array([], pa.int64()) for f in _OUT.split(", ")})
-
+_OUT = "id bigint, root bigint"
+_DEGREE = "id bigint, n bigint"
 
-def _compare(rows: pa.Table, pairs: list[tuple[int, int]], turn: int, threshold: float) -> pa.Table:
-    """Verified links among blocks of ``rows``.
 
-    ``pairs``: block numbers (within pass ``turn``) to compare.  A pair of
-    vectors counts only where no earlier pass, and no nearer block of this
-    one, holds it in its window.  reach: the farthest block that a vector's
-    links lead to.
-    """
-    unit, weight = _unit(rows["v"].combine_chunks()), np.asarray(rows["n"])
-    part, ids = np.asarray(rows["part"]), np.asarray(rows["id"])
-    blocks = np.asarray(rows["blocks"].combine_chunks().flatten()).reshape(len(ids), -1)
-    own = blocks[:, turn]
+def _compare(rows: pa.Table, pairs: list[tuple[int, int]], threshold: float) -> pa.Table:
+    """The edges of a spanning forest of the verified links among blocks of
+    ``rows``; ``pairs`` has the block numbers to compare."""
+    unit, part, ids, own = _unit(rows["v"].combine_chunks()), np.asarray(rows["part"]), np.asarray(rows["id"]), np.asarray(rows["block"])
     of = {int(b): np.flatnonzero(own == b) for b in np.unique(own)}
-    links, reach = np.zeros(len(ids), np.int64), np.full(len(ids), -1, np.int64)
-    left, right = [], []
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for x, y in pairs:
         if x not in of or y not in of:
             continue
@@ -134,63 +128,97 @@ def _compare(rows: pa.Table, pairs: list[tuple[int, int]], turn: int, threshold:
         if x == y:
             hit = np.triu(hit, 1)
         p, q = np.nonzero(hit)
-        p, q = i[p], j[q]
-        apart = np.abs(blocks[p] - blocks[q])
-        fresh = (apart[:, :turn] > 1).all(axis=1) if y - x <= 1 else (apart > 1).all(axis=1)
-        np.maximum.at(reach, p, y)
-        left.append(p)
-        right.append(q)
-        np.add.at(links, p[fresh], weight[q[fresh]])
-        np.add.at(links, q[fresh], weight[p[fresh]])
-    if not left:
-        return _NONE
-    a, b = np.concatenate(left), np.concatenate(right)
-    root = _forest(a, b, len(ids))
-    some = np.unique(np.concatenate((a, b)))
-    return pa.table([pa.array(x) for x in (ids[some], links[some], ids[root[some]], reach[some], np.full(len(some), turn, np.int64))], names=_NONE.column_names)
-
-
-def _window_pass(rows: DataFrame, passes: int, threshold: float) -> DataFrame:
-    """(id, n, root, reach, turn) of the links in every pass's windows."""
+        left.append(i[p])
+        right.append(j[q])
+    root = _forest(np.concatenate(left), np.concatenate(right), len(ids))
+    some = np.flatnonzero(root != np.arange(len(ids)))
+    return pa.table([pa.array(ids[some]), pa.array(ids[root[some]])], names=["id", "root"])
+
+
+def _window_pass(rows: DataFrame, threshold: float) -> DataFrame:
+    """(id, root): links that join the groups of every pass's windows."""
     spots = F.posexplode("blocks").alias("pass", "block")
-    each = rows.select("id", "part", "n", "v", "blocks", spots)
+    each = rows.select("id", "part", "v", spots)
     group = F.floor(F.col("block") / GROUP).cast("long")
     # the first block of a group also closes the group before it
     seats = F.when(F.col("block") % GROUP == 0, F.array(group, group - 1)).otherwise(F.array(group))
     dealt = each.withColumn("group", F.explode(seats))
 
     def run(key, table):
-        turn, first = key[0].as_py(), key[1].as_py() * GROUP
-        return _compare(table, [(b, c) for b in range(first, first + GROUP) for c in (b, b + 1)], turn, threshold)
+        first = key[1].as_py() * GROUP
+        return _compare(table, [(b, c) for b in range(first, first + GROUP) for c in (b, b + 1)], threshold)
 
     return dealt.groupBy("pass", "group").applyInArrow(run, _OUT)
 
 
-def _extend(rows: DataFrame, found: DataFrame, threshold: float) -> list[DataFrame]:
-    """Links beyond the windows: in the order of the first pass, blocks that
-    still link with the last block that they met are compared with the next
-    ones, twice as many each round, until no block links that far."""
-    out = []
-    first = rows.withColumn("block", F.col("blocks")[0])
-    own = first.select(F.col("id").alias("_id"), F.col("block").alias("_block"))
-    start, step = 1, 1
-    going = found
-    while True:
-        met = going.where("turn = 0").join(own, F.col("id") == F.col("_id")).where(F.col("reach") >= F.col("_block") + start)
-        open_ = materialize(met.select(F.col("_block").alias("b")).distinct(), "embed-open")
-        if open_.isEmpty():
-            return out
-        low, high = start + 1, start + step
-        pairs = open_.select("b", F.explode(F.sequence(F.col("b") + low, F.col("b") + high)).alias("c"))
-        here = first.join(pairs, F.col("block") == F.col("b")).select("b", "c", "id", "part", "n", "v", "blocks")
-        there = first.join(pairs, F.col("block") == F.col("c")).select("b", "c", "id", "part", "n", "v", "blocks")
+def _degrees(rows: pa.Table, low: int, high: int, threshold: float) -> pa.Table:
+    """(id, n): each vector's links, by weight, with the vectors of its group
+    between chunks ``low`` and ``high`` (inside the chunk if they are one)."""
+    part, component = np.asarray(rows["part"]), np.asarray(rows["component"])
+    order = np.lexsort((part, component))
+    new = (np.diff(component[order]) != 0) | (np.diff(part[order]) != 0)
+    code = np.concatenate(([0], np.cumsum(new)))
+    rows = rows.take(pa.array(order))
+    unit, weight, chunk = _unit(rows["v"].combine_chunks()), np.asarray(rows["n"]).astype(np.float64), np.asarray(rows["chunk"])
+    links = np.zeros(len(order))
+    left = np.flatnonzero(chunk == low)
+    right = left if low == high else np.flatnonzero(chunk == high)
+    for a in range(0, len(left), BLOCK):
+        i = left[a:a + BLOCK]
+        for b in range(a if low == high else 0, len(right), BLOCK):
+            j = right[b:b + BLOCK]
+            if code[j[0]] > code[i[-1]]:
+                break  # sorted by group: none beyond shares one
+            if code[j[-1]] < code[i[0]]:
+                continue
+            hit = unit[i] @ unit[j].T >= threshold
+            if code[i[0]] != code[i[-1]] or code[j[0]] != code[j[-1]]:
+                hit &= code[i][:, None] == code[j][None, :]
+            if low == high and a == b:
+                np.fill_diagonal(hit, False)
+                links[i] += hit @ weight[j]
+            else:
+                links[i] += hit @ weight[j]
+                links[j] += weight[i] @ hit
+    some = np.flatnonzero(links)
+    return pa.table([rows["id"].combine_chunks().take(pa.array(some)), pa.array(links[some].astype(np.int64))], names=["id", "n"])
+
+
+def _all_links(members: DataFrame, threshold: float) -> DataFrame:
+    """(id, n): the links of each of ``members`` (id, part, component, n, v),
+    from every pair of a component.
+
+    Components of up to ``GROUP`` blocks share chunks; larger ones are cut into
+    chunks, and every two chunks of one meet in a task of their own."""
+    size = GROUP * BLOCK
+    groups = members.groupBy("component", "part").agg(F.count("*").alias("members"))
+    groups = materialize(groups.where("members > 1"), "embed-groups")
+    few = groups.where(F.col("members") <= size).agg(F.sum("members")).first()[0] or 0
+    shared = F.pmod(F.xxhash64("component", "part"), F.lit(max(1, 2 * few // size)))
+    cuts = F.ceil(F.col("members") / size)
+    met = members.join(groups, ["component", "part"]).withColumn("whole", F.col("members") <= size)
+    own = F.pmod(F.xxhash64("id", F.lit(5)), cuts)
+    met = met.withColumn("chunk", F.when(F.col("whole"), shared).otherwise(own))
+    # the chunk itself and every other chunk of the group
+    other = F.explode(F.when(F.col("whole"), F.array("chunk")).otherwise(F.sequence(F.lit(0), cuts - 1)))
+    dealt = met.withColumn("other", other).select(
+        "id", "part", "component", "n", "v", "chunk", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"),
+        F.when(F.col("whole"), 0).otherwise(F.col("component")).alias("of"), F.when(F.col("whole"), 0).otherwise(F.col("part")).alias("at"), "whole")
+
+    def run(key, table):
+        return _degrees(table, key[3].as_py(), key[4].as_py(), threshold)
+
+    return dealt.groupBy("whole", "of", "at", "low", "high").applyInArrow(run, _DEGREE).groupBy("id").agg(F.sum("n").alias("n"))
 
-        def run(key, table):
-            return _compare(table, [(key[0].as_py(), key[1].as_py())], 0, threshold)
 
-        going = materialize(here.unionAll(there).groupBy("b", "c").applyInArrow(run, _OUT), "embed-far")
-        out.append(going)
-        start, step = high, step * 2
+def _passes(largest: int, threshold: float) -> int:
+    """Passes after which a pair just at the threshold shared a window with
+    ``RECALL``, in a label of ``largest`` vectors spread over the sphere: keys
+    must agree in log2(largest / BLOCK) bits, each of which parts the pair
+    with probability angle / pi."""
+    bits = max(0.0, math.log2(max(1, largest) / BLOCK))
+    meet = (1 - math.acos(max(-1.0, min(1.0, threshold))) / math.pi) ** bits
+    return 1 if meet >= 1 else math.ceil(math.log(1 - RECALL) / math.log(1 - meet))
 
 
 def near_vectors(table: DataFrame, threshold: float = 0.93, passes: int = PASSES, seed: int = 11, key: str = "vec_id", vector: str = "embedding", label: str = "label") -> DataFrame:
@@ -202,7 +230,8 @@ def near_vectors(table: DataFrame, threshold: float = 0.93, passes: int = PASSES
     with nothing; vectors of different lengths never link.  Equal vectors of a
     label link with each other; rows repeating an id count as vectors of their
     own.  component_id is the smallest id reachable, the own one without
-    links; an empty table gives an empty result.
+    links; an empty table gives an empty result.  ``passes`` are made at least,
+    more where the largest label asks for them.
     """
     plain = table.select(F.col(key).cast("long").alias("vec_id"), F.col(vector).alias("v"), F.col(label).alias("label"), (_usable(vector) & F.col(label).isNotNull() & F.col(key).isNotNull()).alias("ok"))
     plain = plain.withColumn("part", F.xxhash64(F.col("label").cast("string"), F.size("v")))
@@ -214,18 +243,17 @@ def near_vectors(table: DataFrame, threshold: float = 0.93, passes: int = PASSES
     # an id may head several vectors: the vectors get numbers of their own
     vectors = vectors.withColumn("vec", F.col("id")).withColumn("id", F.xxhash64("same", "id"))
     vectors = materialize(vectors, "embed-vectors")
+    largest = vectors.groupBy("part").count().agg(F.max("count")).first()[0] or 0
+    passes = max(passes, _passes(largest, threshold))
     placed = vectors.join(_places(projection_keys(vectors, passes, seed), passes), "id")
-    rows = materialize(placed.select("id", "part", "n", "v", "blocks"), "embed-places")
-    found = materialize(_window_pass(rows, passes, threshold), "embed-links")
-    parts = [found, *_extend(rows, found, threshold)]
-    links = parts[0].select("id", "n", "root")
-    for p in parts[1:]:
-        links = links.unionAll(p.select("id", "n", "root"))
+    rows = materialize(placed.select("id", "part", "v", "blocks"), "embed-places")
+    links = materialize(_window_pass(rows, threshold), "embed-links")
     named = vectors.select(F.col("id").alias("_id"), F.col("vec").alias("_vec"))
-    edges = links.where("id <> root").select("id", "root").distinct()
-    edges = edges.join(named, F.col("id") == F.col("_id")).select("root", F.col("_vec").alias("u")).join(named, F.col("root") == F.col("_id")).select("u", F.col("_vec").alias("v"))
+    edges = links.distinct().join(named, F.col("id") == F.col("_id")).select("root", F.col("_vec").alias("u")).join(named, F.col("root") == F.col("_id")).select("u", F.col("_vec").alias("v"))
     found_in = components(edges)
-    degree = links.groupBy("id").agg(F.sum("n").alias("far"))
+    # heads of components are not in found_in; vectors that found nobody drop out with groups of one
+    members = vectors.join(found_in, F.col("vec") == F.col("node"), "left").select("id", "part", F.coalesce("component", "vec").alias("component"), "n", "v")
+    degree = _all_links(members, threshold).select("id", F.col("n").alias("far"))
     result = vectors.join(degree, "id", "left").join(found_in, F.col("vec") == F.col("node"), "left")
     result = result.select(F.col("same").alias("_same"), (F.coalesce("far", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "vec").alias("component_id"))
     out = plain.select("vec_id", "same").join(result, F.col("same") == F.col("_same"), "left")

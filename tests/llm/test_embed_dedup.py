@@ -79,3 +79,25 @@ def test_empty_and_ties(spark):
     rows = [(5, [1.0, 0.0], 1), (3, [2.0, 0.0], 1), (3, [1.0, 0.0], 1), (4, [1.0, 0.0], 2), (9, [-1.0, 0.0], 1)]
     got = run(spark, rows)
     assert [r for r in got if r[0] == 5] == [(5, 2, 3)] and [r for r in got if r[0] == 9] == [(9, 0, 9)] and len(got) == 5
+
+
+def test_links_of_a_hot_group_near_the_threshold(spark, monkeypatch):
+    monkeypatch.setattr(embed_dedup, "BLOCK", 32)
+    rng = np.random.default_rng(5)
+    d, hot, strangers = 64, 2000, 4000  # the group spans 62 blocks
+    centre = rng.standard_normal(d)
+    centre /= np.linalg.norm(centre)
+    noise = rng.standard_normal((hot, d))
+    noise -= (noise @ centre)[:, None] * centre
+    noise /= np.linalg.norm(noise, axis=1, keepdims=True)
+    v = np.concatenate((centre + noise * rng.uniform(0.2, 0.32, (hot, 1)), rng.standard_normal((strangers, d)))).astype(np.float32)
+    unit = v.astype(float) / np.linalg.norm(v.astype(float), axis=1, keepdims=True)
+    want = ((unit @ unit.T) >= 0.93).sum(axis=1) - 1
+    got = {r[0]: r[1] for r in run(spark, [(i, x.tolist(), 1) for i, x in enumerate(v)])}
+    found = np.array([got[i] for i in range(len(v))])
+    assert 10**6 < want.sum() < 0.98 * hot * hot and (found <= want).all() and found.sum() >= 0.999 * want.sum()
+
+
+def test_passes_follow_the_largest_label():
+    few, many = embed_dedup._passes(10**4, 0.93), embed_dedup._passes(10**7, 0.93)
+    assert few <= embed_dedup.PASSES < many and embed_dedup._passes(0, 0.93) == 1 and embed_dedup._passes(10**6, 1.0) == 1
