@@ -94,14 +94,13 @@ _IS_SIGN = np.array([chr(b) in ":=" for b in range(256)])
 def promising(texts: list[bytes]) -> np.ndarray:
     """Texts that can hold a candidate at all: a run of 16 characters of keys,
     an assignment sign or a key block's head."""
-    data, ends = joined(texts)
+    # a byte of no run between texts, so that neighbours neither lengthen nor hide a run
+    data, ends = joined([t + b"\n" for t in texts])
     inside = np.concatenate(([False], _IN_RUN[data], [False]))
     edge = np.flatnonzero(inside[1:] != inside[:-1])
     begin, end = edge[::2], edge[1::2]
     hits = np.concatenate((begin[end - begin >= 16], np.flatnonzero(_IS_SIGN[data])))
-    # a run over two texts' border starts in one and may lie in both
-    over = end[end - begin >= 16] - 1
-    out = np.bincount(np.searchsorted(ends, np.concatenate((hits, over)), side="right"), minlength=len(texts))[:len(texts)] > 0
+    out = np.bincount(np.searchsorted(ends, hits, side="right"), minlength=len(texts)) > 0
     return out | np.array([b"-----BEGIN" in t for t in texts], bool)
 
 
