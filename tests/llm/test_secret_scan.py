@@ -91,3 +91,25 @@ def test_prefilter_sees_bare_tokens_between_texts():
         texts = ["The end.", s, "Next document starts", s, s, "", s, "x"]
         assert promising([t.encode() for t in texts]).tolist() == [bool(find(t)) for t in texts]
     assert promising([]).tolist() == [] and promising([b"", b"a" * 10, b"b" * 10]).tolist() == [False] * 3
+
+
+def test_long_secrets_are_whole(model):
+    rng = secret_scan.random.Random(8)
+    values = ["".join(rng.choice(secret_scan._ALNUM + more) for _ in range(size)) for size, more in ((700, "#%"), (1600, "+/"), (5000, "#%"))]
+    block = "-----BEGIN RSA PRIVATE KEY-----\n" + "\n".join("".join(rng.choice(secret_scan._BASE64) for _ in range(64)) for _ in range(200)) + "\n-----END RSA PRIVATE KEY-----"
+    for text, value in [(f"so password={v} end", v) for v in values] + [(f"at key {block} end", block)]:
+        assert [f.value for f in find(text)] == [value]
+        assert value not in secret_scan.redact_text(text, *model, "[removed]") and secret_scan.redact_text(text, *model, "[removed]").endswith("[removed] end")
+    assert [f.kind for f in find("-----BEGIN PRIVATE KEY-----\nlost " + "word " * 9 + block)] == ["private_key"]
+    long = find("password=" + values[0])[0]
+    words = long._replace(value=long.value[:300] + "abcdefgh" * 50)
+    assert secret_scan.describe(words, secret_scan.Lexicon(frozenset(["abcdefgh"]), np.zeros((128, 128))))[10] > 0.5
+
+
+def test_redaction_goes_on_until_nothing_is_left():
+    tree = (np.array([-1]), np.array([0.0]), np.array([-1]), np.array([-1]), np.array([1.0]))
+    everything = secret_scan.Forest([tree])
+    lexicon = secret_scan.Lexicon(frozenset(), np.zeros((128, 128)))
+    for text in ["password:" * 40 + "abcdef1234", "token=" + "secret=" * 30 + "x[removed]y", "password=[removed] password=x[removed", "a1" * 20 + "@" + "b2" * 20]:
+        left = secret_scan.redact_text(text, lexicon, everything, "[removed]")
+        assert not find(left) and "abcdef1234" not in left
