@@ -50,7 +50,9 @@ _CLASS = "A-Za-z0-9+/_\\-=@."
 _RUN = re.compile(rf"(?<![{_CLASS}])[{_CLASS}]{{16,}}")
 _PLAIN = re.compile(r"[A-Za-z0-9+/_\-=]{16,}")
 _SIGN = re.compile(r":=|=>|[:=]")
-_BEFORE_SIGN = re.compile(rf"(?i)\b{_KEY}[\"']?\s{{0,3}}\Z")
+# an identifier that holds a key word, up to the sign
+_BEFORE_SIGN = re.compile(rf"(?i){_KEY}[A-Za-z0-9_.\-]*[\"']?\s{{0,3}}\Z")
+_NAME = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_.-")
 _ASSIGNED = re.compile(r"\s{0,3}[\"']?([^\s\"'<>,;]{6,})")
 _KINDS = ["access_key", "code_host_token", "payment_key", "chat_token", "service_key", "signed_token", "private_key"]
 #: What redaction puts in a secret's place; never a candidate itself.
@@ -121,6 +123,22 @@ def _marked(text: str, mark: str) -> tuple[list[int], list[int]]:
     return starts, [a + len(mark) for a in starts]
 
 
+def _name_start(text: str, end: int) -> int:
+    """Where the name before a sign at ``end`` begins, with one word before it
+    ("api key")."""
+    at = end
+    while at > 0 and end - at < 3 and text[at - 1].isspace():
+        at -= 1
+    if at > 0 and text[at - 1] in "\"'":
+        at -= 1
+    for word in (0, 1):
+        while at > 0 and text[at - 1] in _NAME:
+            at -= 1
+        if word == 0 and at > 1 and text[at - 1] == " " and text[at - 2] in _NAME:
+            at -= 1
+    return at
+
+
 def _only_marks(start: int, end: int, begins: list[int], ends: list[int]) -> bool:
     """No character of the span lies outside the marks."""
     k = bisect.bisect(begins, start) - 1
@@ -145,7 +163,7 @@ def find(text: str, mark: str = MARK) -> list[Finding]:
             if "@" not in run.group() and any(c.isdigit() for c in v) and any(c.isalpha() for c in v):
                 spans.append((2, m.start(), m.end(), "plain", v))
     for sign in _SIGN.finditer(text):
-        key = _BEFORE_SIGN.search(text, max(0, sign.start() - 40), sign.start())
+        key = _BEFORE_SIGN.search(text, _name_start(text, sign.start()), sign.start())
         m = key and _ASSIGNED.match(text, sign.end())
         value = m.group(1).rstrip(".)]}") if m else ""
         if len(value) >= 6:
@@ -237,6 +255,12 @@ def _block(rng: random.Random) -> str:
     return "\n".join([f"-----BEGIN {kind}PRIVATE KEY-----", *(body[i:i + 64] for i in range(0, len(body), 64)), f"-----END {kind}PRIVATE KEY-----"])
 
 
+def _named(rng: random.Random, key: str) -> str:
+    """``key`` as variables spell it, every other time with a prefix or a suffix."""
+    name = rng.choice(["", "", "DB_", "AWS_", "my_", "app.", "MYSQL_ROOT_", "github-", "spring.datasource."]) + key + rng.choice(["", "", "", "_1", "_PROD", "Value"])
+    return name.upper() if name[:1].isupper() and rng.random() < 0.8 else name
+
+
 def _real(rng: random.Random) -> str:
     """A made-up secret as people write them."""
     key = rng.choice(["password", "passwd", "pwd", "secret", "token", "api_key", "apikey", "access_key", "auth_token", "Password", "SECRET", "private_key"])
@@ -245,6 +269,7 @@ def _real(rng: random.Random) -> str:
         lambda: _draw(rng, _BASE64, rng.choice([24, 32, 40, 44])), lambda: _draw(rng, _ALNUM + "!#%^*", rng.randint(8, 20)),
         lambda: _draw(rng, rng.choice([_ALNUM, _BASE64, _ALNUM + "!#%^*"]), rng.choice([80, 200, 500, 700, 1600])),
     ])()
+    key = _named(rng, key)
     sign = rng.choice(["=", " = ", ": ", ":", "="])
     quote = rng.choice(["", '"', "'", ""])
     return rng.choice([
@@ -260,7 +285,8 @@ def _false(rng: random.Random, words: list[str]) -> str:
     key = rng.choice(["password", "passwd", "pwd", "secret", "token", "api_key", "auth", "Password"])
     word = lambda: rng.choice(words or ["word"]).lower()
     return rng.choice([
-        lambda: f"{key}={word()}{word()}", lambda: f"{key}: {word()}{word()}", lambda: f"{key} = \"{rng.choice(['changeme', 'example', 'your_password', 'xxxxxxxx', '********', 'placeholder', '${PASSWORD}', 'password123', 'test1234'])}\"",
+        lambda: f"{key}={word()}{word()}", lambda: f"{key}: {word()}{word()}", lambda: f"{_named(rng, key)}={word()}_{word()}", lambda: f"{rng.choice(['author', 'authority', 'tokenizer', 'secretary', 'tokens', 'authors'])}{rng.choice([': ', '='])}{word().title()}{rng.choice(['', word(), '-' + word()])}",
+        lambda: f"{key} = \"{rng.choice(['changeme', 'example', 'your_password', 'xxxxxxxx', '********', 'placeholder', '${PASSWORD}', 'password123', 'test1234'])}\"",
         lambda: f"commit {_draw(rng, _HEX, 40)}", lambda: f"sha1 {_draw(rng, _HEX, 40)}", lambda: f"md5 checksum {_draw(rng, _HEX, 32)}", lambda: f"sha256 {_draw(rng, _HEX, 64)}",
         lambda: "-".join(_draw(rng, _HEX, k) for k in (8, 4, 4, 4, 12)), lambda: "uuid " + "-".join(_draw(rng, _HEX, k) for k in (8, 4, 4, 4, 12)),
         lambda: "/".join([word(), word(), f"v{rng.randint(1, 99)}", word()]), lambda: f"{word()}_{word()}_{rng.randint(1, 9999)}", lambda: f"{word()}-{word()}-{rng.randint(1, 99)}-{word()}",

@@ -113,3 +113,15 @@ def test_redaction_goes_on_until_nothing_is_left():
     for text in ["password:" * 40 + "abcdef1234", "token=" + "secret=" * 30 + "x[removed]y", "password=[removed] password=x[removed", "a1" * 20 + "@" + "b2" * 20]:
         left = secret_scan.redact_text(text, lexicon, everything, "[removed]")
         assert not find(left) and "abcdef1234" not in left
+
+
+def test_names_with_prefix_and_suffix(model):
+    forms = ["DB_PASSWORD={}", "AWS_SECRET_ACCESS_KEY={}", "my_api_key: {}", "spring.datasource.password={}", "export GITHUB_TOKEN_1='{}'", '"dbPassword" : "{}"', "the api key = {}", "a" * 60 + "_token_" + "b" * 60 + "={}"]
+    for form in forms:
+        for value in ["s3cr3t!pw", "xK93mfa0Qp2LzR7vBn51"]:
+            assert [(f.kind, f.value) for f in find(f"so {form.format(value)} end")] == [("assigned", value)], form
+        if len(form) < 60:
+            assert secret_scan.redact_text(f"so {form.format('xK93mfa0Qp2LzR7vBn51')} end", *model, "[removed]") == f"so {form.format('[removed]')} end"
+    assert not find("password foo = something and the key: whatever")
+    for plain in ["author: Alexander", "tokenizer=sentence_piece", "DB_PASSWORD=changeme"]:
+        assert all(v < 0.5 for _, v in secret_scan.judge(f"in the text {plain} goes on", *model)), plain
