@@ -6,46 +6,61 @@ model over all documents.  A document's score is the mean over its tokens of
 the target's loss minus the background's: the lower, the more it reads like
 the target.
 
-Counts cover the whole corpus.  The vocabulary is the ``vocabulary`` most
-frequent words, every other word is one unknown token; pairs are counted in
-``2^pair_bits`` hashed cells, so the models that go to the tasks have a fixed
-size, while what is counted and shuffled grows with the corpus.
+Counts cover the whole corpus: every word is in the vocabulary (unless a size
+is asked for) and every pair has a count of its own.  Words stand as 64-bit
+digests whose distinctness is checked, so no two are taken as one.  Pairs, their
+counts and losses stay in tables that grow with the corpus.  The ``HELD_PAIRS``
+most frequent pairs, the same entries as in the table, go to the tasks, which
+add up their losses on the spot; all other pairs of a document meet the table by
+an equality join, where no key is frequent any more.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from itertools import repeat
-from typing import NamedTuple
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assetlife.llm.common import map_texts, most_frequent, steps, text_rows
+from assetlife.llm.common import most_frequent, steps, text_rows
+from assetlife.session import materialize
 
-VOCABULARY = 1 << 16
-PAIR_BITS = 20
 #: Weight of the unigram in a pair's smoothed probability.
 MU = 4.0
 #: Distinct words that a task holds before it passes them on.
 _HELD_WORDS = 400_000
-_UNKNOWN, _EDGE, _FIRST = 0, 1, 2
+#: Tokens whose pairs a task counts in one go.
+_HELD_TOKENS = 2_000_000
+#: Pairs whose losses the tasks hold at most; the others are joined.
+HELD_PAIRS = 1 << 19
+#: Losses are added as multiples of 2^-28, so sums do not depend on their order.
+_LOSS_BITS = 28
+_UNKNOWN, _EDGE = 0, 1
 
 
-class Models(NamedTuple):
-    """Unigram log-free tables of target and background, by token and cell."""
+class _Numbers(dict):
+    """Numbers of words within a task, in the order of appearance, and their
+    codes; with a vocabulary, every other word is the unknown one."""
 
-    words: dict[bytes, int]
-    single: np.ndarray  # 2 x tokens: probability
-    history: np.ndarray  # 2 x tokens: pairs that begin with it
-    pairs: np.ndarray  # 2 x cells: counts
+    def __init__(self, seed: int, known: frozenset[bytes] | None = None):
+        super().__init__()
+        self.codes, self.salt, self.known = [_UNKNOWN, _EDGE], seed.to_bytes(8, "little"), known
 
+    def __missing__(self, word: bytes) -> int:
+        if self.known is not None and word not in self.known:
+            self[word] = _UNKNOWN
+            return _UNKNOWN
+        self[word] = len(self.codes)
+        self.codes.append(int.from_bytes(blake2b(word, digest_size=8, key=self.salt).digest(), "little", signed=True))
+        return self[word]
 
-def vocabulary(docs: DataFrame, size: int = VOCABULARY, text: str = "text") -> dict[bytes, int]:
-    """Token numbers of the most frequent words of all documents."""
+
+def vocabulary(docs: DataFrame, size: int, text: str = "text") -> dict[bytes, int]:
+    """Numbers of the ``size`` most frequent words of all documents."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: Counter[bytes] = Counter()
@@ -65,16 +80,16 @@ def vocabulary(docs: DataFrame, size: int = VOCABULARY, text: str = "text") -> d
 
     counts = docs.select(F.col(text).cast("string").alias("text")).mapInArrow(count, "w binary, n bigint").groupBy("w").agg(F.sum("n").alias("n"))
     top = sorted(bytes(r["w"]) for r in most_frequent(counts, size))
-    return {w: _FIRST + i for i, w in enumerate(top)}
+    return {w: _EDGE + 1 + i for i, w in enumerate(top)}
 
 
-def _tokens(texts: list[bytes], words: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _tokens(texts: list[bytes], numbers: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text, history, token) of every token; texts begin and end at an edge.
     Texts without words have none."""
     ids: list[int] = []
     sizes = []
     for t in texts:
-        own = list(map(words.get, t.lower().split(), repeat(_UNKNOWN)))
+        own = list(map(numbers.__getitem__, t.lower().split()))
         if own:
             ids.append(_EDGE)
             ids += own
@@ -88,79 +103,195 @@ def _tokens(texts: list[bytes], words: dict[bytes, int]) -> tuple[np.ndarray, np
     return text[1:][same], flat[:-1][same], flat[1:][same]
 
 
-def _cells(history: np.ndarray, token: np.ndarray) -> np.ndarray:
-    code = (history.astype(np.uint64) << np.uint64(32)) | token.astype(np.uint64)
-    return ((code * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - PAIR_BITS)).astype(np.int64)
-
-
-def count_models(docs: DataFrame, target: DataFrame, words: dict[bytes, int], key: str = "doc_id", text: str = "text") -> Models:
-    """Both models; ``target`` has the ids (column ``key``) of its documents.
+def _marked(docs: DataFrame, target: DataFrame, key: str, text: str) -> DataFrame:
+    """(row, id, text, inside) of all documents, written once.
 
     The documents meet their marks by a sort-merge join at every size: a list
     of ids grows with the corpus, so it is never sent to all tasks."""
-    spark = docs.sparkSession
-    shipped = spark.sparkContext.broadcast(words)
-    tokens = len(words) + _FIRST
     ids = target.select(F.col(key).cast("long").alias("_id")).where("_id is not null").distinct().withColumn("_in", F.lit(True))
-    rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text")).join(ids.hint("merge"), F.col("id") == F.col("_id"), "left").select("text", F.coalesce("_in", F.lit(False)).alias("inside"))
+    rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text")).join(ids.hint("merge"), F.col("id") == F.col("_id"), "left")
+    return materialize(rows.select(F.monotonically_increasing_id().alias("row"), "id", "text", F.coalesce("_in", F.lit(False)).alias("inside")), "lm-rows")
+
+
+def _word_counts(rows: DataFrame, seed: int, known: frozenset[bytes] | None) -> DataFrame:
+    """(w, code, n, t): each word's tokens in all documents and in the target's;
+    the edge and the unknown word have rows of their own (w empty)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # cells first, then tokens, then tokens as histories; background and target
-        held = np.zeros((2, (1 << PAIR_BITS) + 2 * tokens), np.int64)
-        for batch in batches:
-            texts, inside = text_rows(batch, "text"), np.asarray(batch.column(1).to_numpy(zero_copy_only=False), bool)
-            for a, b in steps(texts):
-                t, history, token = _tokens(texts[a:b], shipped.value)
-                cell = _cells(history, token)
-                for model, pick in ((0, slice(None)), (1, inside[a:b][t])):
-                    for at, x, n in ((0, cell, 1 << PAIR_BITS), (1 << PAIR_BITS, token, tokens), ((1 << PAIR_BITS) + tokens, history, tokens)):
-                        held[model, at:at + n] += np.bincount(x[pick], minlength=n)
-        some = np.flatnonzero(held[0])
-        for a in range(0, len(some), 1 << 18):
-            k = some[a:a + (1 << 18)]
-            yield pa.RecordBatch.from_arrays([pa.array(k.astype(np.int32)), pa.array(held[0, k]), pa.array(held[1, k])], names=["at", "n", "t"])
-
-    counts = rows.mapInArrow(count, "at int, n bigint, t bigint").groupBy("at").agg(F.sum("n").alias("n"), F.sum("t").alias("t")).toArrow()
-    full = np.zeros((2, (1 << PAIR_BITS) + 2 * tokens))
-    at = counts["at"].to_numpy()
-    full[0, at], full[1, at] = counts["t"].to_numpy(), counts["n"].to_numpy()
-    cells = 1 << PAIR_BITS
-    single = full[:, cells:cells + tokens] + 0.5
-    return Models(words, (single / single.sum(axis=1, keepdims=True)).astype(np.float64), full[:, cells + tokens:].astype(np.float32), full[:, :cells].astype(np.float32))
-
-
-def losses(models: Models, history: np.ndarray, token: np.ndarray) -> np.ndarray:
-    """2 x tokens: -log P(token | history) of target and background."""
-    cell = _cells(history, token)
-    return np.stack([-np.log((models.pairs[m, cell] + MU * models.single[m, token]) / (models.history[m, history] + MU)) for m in (0, 1)])
-
-
-def score(docs: DataFrame, models: Models, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_tokens, target_loss, background_loss, score), one row per
-    input row; losses are means per token in nats, score their difference.
+        numbers, held, inner = _Numbers(seed, known), Counter(), Counter()
 
-    n_tokens counts words and the text's end; null texts and texts without
-    words have no tokens, losses and score 0.0; repeated rows get equal rows;
-    other columns are not read.
-    """
-    shipped = docs.sparkSession.sparkContext.broadcast(models)
+        def flush():
+            words = list(held)
+            some = [w if numbers[w] else b"" for w in words]  # unknown words are one
+            codes = pa.array([numbers.codes[numbers[w]] for w in words], pa.int64())
+            done = pa.RecordBatch.from_arrays([pa.array(some, pa.binary()), codes, pa.array([held[w] for w in words], pa.int64()), pa.array([inner[w] for w in words], pa.int64())], names=["w", "code", "n", "t"])
+            held.clear()
+            inner.clear()
+            numbers.__init__(seed, known)
+            numbers.clear()
+            return done
+
+        edges = [0, 0]
+        for batch in batches:
+            for t, inside in zip(text_rows(batch, "text"), batch.column(1).to_pylist()):
+                own = t.lower().split()
+                held.update(own)
+                edges[0] += bool(own)
+                if inside:
+                    inner.update(own)
+                    edges[1] += bool(own)
+                if len(held) > _HELD_WORDS:
+                    yield flush()
+        yield flush()
+        yield pa.RecordBatch.from_arrays([pa.array([b"", b""], pa.binary()), pa.array([_EDGE, _UNKNOWN], pa.int64()), pa.array([edges[0], 0], pa.int64()), pa.array([edges[1], 0], pa.int64())], names=["w", "code", "n", "t"])
 
-    def make():
-        m = shipped.value
+    found = rows.select("text", "inside").mapInArrow(count, "w binary, code bigint, n bigint, t bigint")
+    return materialize(found.groupBy("w", "code").agg(F.sum("n").alias("n"), F.sum("t").alias("t")).select("code", "n", "t"), "lm-words")
 
-        def work(keys, texts):
-            t, history, token = _tokens(texts, m.words)
-            n = np.bincount(t, minlength=len(texts))
-            loss = losses(m, history, token)
-            target, background = (np.bincount(t, x, len(texts)) / np.maximum(n, 1) if len(t) else np.zeros(len(texts)) for x in loss)
-            return [pa.array(keys[0], pa.int64()), pa.array(n.astype(np.int64)), pa.array(target), pa.array(background), pa.array(target - background)]
 
-        return work
+def _pair_counts(rows: DataFrame, seed: int, known: frozenset[bytes] | None) -> DataFrame:
+    """(h, w, n, t): the tokens of each (history, token) pair."""
 
-    return map_texts(docs.withColumn(key, F.col(key).cast("long")), [key], make, "doc_id bigint, n_tokens bigint, target_loss double, background_loss double, score double", text)
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers = _Numbers(seed, known)
+        held: list[tuple[np.ndarray, np.ndarray]] = []
 
+        def flush():
+            keys, inside = (np.concatenate(x) for x in zip(*held))
+            held.clear()
+            pairs, n = np.unique(keys, return_counts=True)
+            some, own = np.unique(keys[inside], return_counts=True)
+            t = np.zeros(len(pairs), np.int64)
+            t[np.searchsorted(pairs, some)] = own
+            codes = np.array(numbers.codes, np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in (codes[pairs >> 32], codes[pairs & 0xFFFFFFFF], n.astype(np.int64), t)], names=["h", "w", "n", "t"])
+
+        size = 0
+        for batch in batches:
+            texts, inside = text_rows(batch, "text"), np.asarray(batch.column(1).to_numpy(zero_copy_only=False), bool)
+            for a, b in steps(texts):
+                t, history, token = _tokens(texts[a:b], numbers)
+                held.append(((history << 32) | token, inside[a:b][t]))
+                size += len(t)
+                if size > _HELD_TOKENS or len(numbers) > _HELD_WORDS:
+                    yield flush()
+                    size = 0
+                    if len(numbers) > _HELD_WORDS:
+                        numbers = _Numbers(seed, known)
+        if held:
+            yield flush()
+
+    return rows.select("text", "inside").mapInArrow(count, "h bigint, w bigint, n bigint, t bigint").groupBy("h", "w").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
+
+
+def _pair_losses(rows: DataFrame, size: int | None) -> tuple[DataFrame, int, frozenset[bytes] | None]:
+    """(h, w, n, target, background): each pair's share of a document's loss
+    under both models, as multiples of 2^-28; the seed and vocabulary of the
+    codes."""
+    known = None if size is None else frozenset(vocabulary(rows, size))
+    seed = 0
+    while True:
+        words = _word_counts(rows, seed, known)
+        sums = words.agg(F.count("*").alias("v"), F.countDistinct("code").alias("codes"), F.sum("n").alias("n"), F.sum("t").alias("t")).first()
+        if sums["v"] == sums["codes"]:
+            break
+        seed += 1  # two words with one code: other codes
+    # an empty corpus has no partitions, so neither edge nor unknown word
+    total = [max(2, sums["v"]) * 0.5 + (sums[c] or 0) for c in ("t", "n")]
+    pairs = _pair_counts(rows, seed, known)
+    token = words.select(F.col("code").alias("w"), F.col("n").alias("wn"), F.col("t").alias("wt"))
+    met = pairs.join(token, "w")
+
+    def loss(pair: str, word: str, tokens: float):
+        # in a document each word, and the edge, is as often a history as a token, so the
+        # sum over its pairs may divide by the token's count as a history for the history's own
+        p = (F.col(pair) + MU * (F.col(word) + 0.5) / F.lit(tokens)) / (F.col(word) + MU)
+        return F.round(-F.log(p) * float(1 << _LOSS_BITS)).cast("long")
+
+    out = met.select("h", "w", "n", loss("t", "wt", total[0]).alias("target"), loss("n", "wn", total[1]).alias("background"))
+    return materialize(out, "lm-pairs"), seed, known
+
+
+def _split(pairs: DataFrame, room: int) -> tuple[pa.Table, DataFrame]:
+    """The most frequent pairs, at most ``room``, and all others."""
+    level, cut = F.floor(F.log2("n") * 16), -1
+    for r in pairs.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect():  # some hundred levels
+        if r["count"] > room:
+            cut = r["level"]
+            break
+        room -= r["count"]
+    return pairs.where(level > cut).select("h", "w", "target", "background").toArrow(), pairs.where(level <= cut).select("h", "w", "target", "background")
+
+
+def _mix(h: np.ndarray, w: np.ndarray) -> np.ndarray:
+    x = h.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return (x ^ (x >> np.uint64(29))) + w.astype(np.uint64) * np.uint64(0xBF58476D1CE4E5B9)
+
+
+def score(rows: DataFrame, pairs: DataFrame, seed: int, known: frozenset[bytes] | None) -> DataFrame:
+    """(doc_id, n_tokens, target_loss, background_loss, score), one row per
+    row of ``rows``; losses are means per token in nats, score their difference."""
+    frequent, others = _split(pairs, HELD_PAIRS)
+    h, w, target, background = (frequent[c].to_numpy() for c in ("h", "w", "target", "background"))
+    mixed = _mix(h, w)
+    order = np.argsort(mixed, kind="stable")
+    shipped = rows.sparkSession.sparkContext.broadcast(tuple(x[order] for x in (mixed, h, w, target, background)))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mixed, h, w, *loss = shipped.value
+        numbers = _Numbers(seed, known)
+        for batch in batches:
+            texts, row = text_rows(batch, "text"), np.asarray(batch.column(0))
+            for a, b in steps(texts):
+                if len(numbers) > _HELD_WORDS:
+                    numbers = _Numbers(seed, known)
+                t, history, token = _tokens(texts[a:b], numbers)
+                codes = np.array(numbers.codes, np.int64)
+                own, place = np.unique((history << 32) | token, return_inverse=True)
+                oh, ow = codes[own >> 32], codes[own & 0xFFFFFFFF]
+                at, held = np.zeros(len(own), np.int64), np.zeros(len(own), bool)
+                if len(mixed):
+                    key = _mix(oh, ow)
+                    at = np.searchsorted(mixed, key)
+                    # pairs of one mixed key lie side by side
+                    for _ in range(int(shared)):
+                        near = np.minimum(at, len(mixed) - 1)
+                        held = (h[near] == oh) & (w[near] == ow)
+                        at = np.where(held | (mixed[near] != key), near, at + 1)
+                ends = np.searchsorted(t, np.arange(b - a + 1))
+                sums = []
+                for x in loss:
+                    each = np.where(held, x[at], 0)[place] if len(x) else np.zeros(len(t), np.int64)
+                    run = np.concatenate(([0], np.cumsum(each)))
+                    sums.append(run[ends[1:]] - run[ends[:-1]])
+                left = np.flatnonzero(~held[place])
+                rest, n = np.unique(t[left] * max(1, len(own)) + place[left], return_counts=True)
+                rt, rp = rest // max(1, len(own)), rest % max(1, len(own))
+                mine, none, zero = row[a:b], np.zeros(len(rest), np.int64), np.zeros(b - a, np.int64)
+                # a document's own row has keys that spread it and a count of zero
+                cols = [(mine, row[a:b][rt]), (mine, oh[rp]), (mine, ow[rp]), (zero, n), (np.diff(ends), none), (sums[0], none), (sums[1], none)]
+                ids = pa.concat_arrays([batch.column(1).slice(a, b - a), pa.nulls(len(rest), pa.int64())])
+                yield pa.RecordBatch.from_arrays([*(pa.array(np.concatenate(c).astype(np.int64)) for c in cols), ids], names=["row", "h", "w", "c", "n", "t", "g", "id"])
+
+    # as many tries as the most pairs that share a mixed key
+    shared = np.unique(mixed, return_counts=True)[1].max(initial=1)
+    parts = rows.select("row", "id", "text").mapInArrow(work, "row bigint, h bigint, w bigint, c bigint, n bigint, t bigint, g bigint, id bigint")
+    met = parts.join(others, ["h", "w"], "left")
+    total = met.groupBy("row").agg(
+        F.max("id").alias("doc_id"), F.sum("n").alias("n_tokens"),
+        F.sum(F.col("t") + F.when(F.col("c") > 0, F.col("c") * F.col("target")).otherwise(0)).alias("t"), F.sum(F.col("g") + F.when(F.col("c") > 0, F.col("c") * F.col("background")).otherwise(0)).alias("g"))
+    mean = [F.col(c).cast("double") / float(1 << _LOSS_BITS) / F.greatest(F.col("n_tokens"), F.lit(1)) for c in "tg"]
+    losses = total.select("doc_id", "n_tokens", mean[0].alias("target_loss"), mean[1].alias("background_loss"))
+    return losses.withColumn("score", F.col("target_loss") - F.col("background_loss"))
+
+
+def cross_entropy_difference(docs: DataFrame, target: DataFrame, size: int | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Scores of ``docs`` against the documents whose ids are in ``target``,
+    with a vocabulary of all words, or of the ``size`` most frequent ones.
 
-def cross_entropy_difference(docs: DataFrame, target: DataFrame, size: int = VOCABULARY) -> DataFrame:
-    """Scores of ``docs`` against the documents whose ids are in ``target``.
-    Without target documents the target model is uniform over the vocabulary."""
-    return score(docs, count_models(docs, target, vocabulary(docs, size)))
+    n_tokens counts words and the text's end; null texts and texts without
+    words have no tokens, losses and score 0.0; repeated rows get equal rows;
+    other columns are not read.  Without target documents the target model is
+    uniform over the vocabulary."""
+    rows = _marked(docs, target, key, text)
+    return score(rows, *_pair_losses(rows, size))

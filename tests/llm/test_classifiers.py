@@ -179,3 +179,43 @@ def test_lm_prefers_the_target_and_takes_odd_rows(spark, docs, labels, odd):
     got = lm_score.cross_entropy_difference(odd, labels.limit(0).select("doc_id")).collect()
     assert len(got) == 9 and all(np.isfinite(r["score"]) for r in got)
     assert lm_score.cross_entropy_difference(odd.limit(0), labels.select("doc_id")).count() == 0
+
+
+@pytest.mark.parametrize("held", [0, 60, 1 << 19])
+def test_lm_keeps_every_word_and_pair(spark, monkeypatch, held):
+    monkeypatch.setattr(lm_score, "HELD_PAIRS", held)
+    monkeypatch.setattr(lm_score, "_HELD_WORDS", 20_000)
+    rng = random.Random(6)
+    texts = [" ".join(["the of"] * 5 + [f"w{rng.randrange(100_000)}" for _ in range(1500)]) for _ in range(120)]  # about 83,000 words
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    target = spark.createDataFrame([(i,) for i in range(0, 120, 3)], "doc_id long")
+    words = {w: i + 2 for i, w in enumerate(sorted({w for t in texts for w in t.encode().split()}))}
+    assert len(words) > 70_000
+    n = len(words) + 2
+    got = {r["doc_id"]: r for r in lm_score.cross_entropy_difference(docs, target).collect()}
+    assert len(got) == 120
+    models = brute_models(texts, [i % 3 == 0 for i in range(120)], words)
+    for m, name in enumerate(("target_loss", "background_loss")):
+        pairs, single, history = models[m]
+        total = sum(single.values()) + 0.5 * n
+        for i in range(0, 120, 7):
+            ids = [1, *(words[w] for w in texts[i].encode().split()), 1]
+            want = -sum(np.log((pairs[h, w] + lm_score.MU * (single[w] + 0.5) / total) / (history[h] + lm_score.MU)) for h, w in zip(ids, ids[1:])) / (len(ids) - 1)
+            assert abs(got[i][name] - want) < 1e-6
+
+
+def test_lm_codes_that_meet_are_changed(spark, monkeypatch):
+    monkeypatch.setattr(lm_score, "HELD_PAIRS", 2)
+    docs = spark.createDataFrame([(i, f"a b c d{i} a b") for i in range(20)], "doc_id long, text string")
+    target = docs.where("doc_id < 7").select("doc_id")
+    want = lm_score.cross_entropy_difference(docs, target).orderBy("doc_id").collect()
+    seeds = []
+    counts = lm_score._word_counts
+
+    def meeting(rows, seed, known):
+        seeds.append(seed)
+        out = counts(rows, seed, known)
+        return out.withColumn("code", F.lit(9).cast("long")) if seed == 0 else out
+
+    monkeypatch.setattr(lm_score, "_word_counts", meeting)
+    assert lm_score.cross_entropy_difference(docs, target).orderBy("doc_id").collect() == want and seeds == [0, 1]
