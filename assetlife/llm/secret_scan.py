@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from assetlife.llm.common import map_texts, most_frequent, steps, text_rows
 from assetlife.llm.grams import joined
+from assetlife.session import materialize
 
 #: Words of the dictionary: the most frequent of the corpus.
 DICTIONARY_SIZE = 20_000
@@ -218,7 +219,7 @@ def describe(f: Finding, lexicon: Lexicon) -> list[float]:
 
 def corpus_lexicon(docs: DataFrame, text: str = "text", size: int = DICTIONARY_SIZE) -> Lexicon:
     """The ``size`` most frequent words (ASCII letters, 4 to 14) of all
-    documents, and the letter transitions inside them, weighted by count."""
+    documents, and the letter transitions inside all words, weighted by count."""
 
     def make():
         split = re.compile(rb"[A-Za-z]+").findall
@@ -226,19 +227,19 @@ def corpus_lexicon(docs: DataFrame, text: str = "text", size: int = DICTIONARY_S
         def work(keys, texts):
             counts: Counter[bytes] = Counter()
             for t in texts:
-                counts.update(w for w in split(t.lower()) if 4 <= len(w) <= 14)
+                counts.update(split(t.lower()))
             words = list(counts)
             return [pa.array([w.decode() for w in words], pa.string()), pa.array([counts[w] for w in words], pa.int64())]
 
         return work
 
-    counts = map_texts(docs, [], make, "w string, n bigint", text).groupBy("w").agg(F.sum("n").alias("n"))
-    rows = sorted(most_frequent(counts, size))
+    counts = materialize(map_texts(docs, [], make, "w string, n bigint", text).groupBy("w").agg(F.sum("n").alias("n")), "words")
+    rows = most_frequent(counts.where(F.length("w").between(4, 14)), size)
+    spaced = counts.select("n", F.concat(F.lit(" "), "w", F.lit(" ")).alias("w"))
+    moves = spaced.select("n", F.explode(F.transform(F.sequence(F.lit(1), F.length("w") - 1), lambda i: F.col("w").substr(i, F.lit(2)))).alias("xy"))
     pairs = np.full((128, 128), 0.1)
-    for r in rows:
-        w = f" {r['w']} "
-        for x, y in zip(w, w[1:]):
-            pairs[ord(x), ord(y)] += r["n"]
+    for r in moves.groupBy("xy").agg(F.sum("n").alias("n")).collect():  # at most 27 x 27
+        pairs[ord(r["xy"][0]), ord(r["xy"][1])] += r["n"]
     return Lexicon(frozenset(r["w"] for r in rows), np.log(pairs / pairs.sum(axis=1, keepdims=True)))
 
 

@@ -125,3 +125,13 @@ def test_names_with_prefix_and_suffix(model):
     assert not find("password foo = something and the key: whatever")
     for plain in ["author: Alexander", "tokenizer=sentence_piece", "DB_PASSWORD=changeme"]:
         assert all(v < 0.5 for _, v in secret_scan.judge(f"in the text {plain} goes on", *model)), plain
+
+
+def test_transitions_cover_all_words(spark):
+    docs = spark.createDataFrame([(1, "often often often rarezq so")], "doc_id long, text string")
+    lexicon = secret_scan.corpus_lexicon(docs, size=1)
+    assert lexicon.words == {"often"}
+    n = {"of": 3, "ze": 0, "zq": 1, "so": 1}
+    for (x, y), k in n.items():
+        row = {"o": 3 + 1, "z": 1, "s": 1}[x]
+        assert abs(np.exp(lexicon.transition[ord(x), ord(y)]) - (k + 0.1) / (row + 12.8)) < 1e-9
