@@ -146,11 +146,16 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, max_per_class: int =
         w = dual_coordinate_descent([np.asarray(f) for f in part["f"]], shipped.value, y, cost)
         return pd.DataFrame({"n": [len(part)], "w": [w.astype(np.float32).tobytes()]})
 
-    parts = rows.groupBy((F.xxhash64("id", F.lit(7)) % _PARTS).alias("part")).applyInPandas(descend, "n long, w binary").collect()
+    parts = rows.groupBy(part_of("id").alias("part")).applyInPandas(descend, "n long, w binary").collect()
     weights = sum(np.frombuffer(p["w"], np.float32).astype(np.float64) * p["n"] for p in sorted(parts, key=lambda p: (p["n"], bytes(p["w"])))) / sum(p["n"] for p in parts)
     return weights * ratio
 
 
+def part_of(key: str) -> Column:
+    """The part, 0 to _PARTS - 1, of a sampled row."""
+    return F.pmod(F.xxhash64(key, F.lit(7)), F.lit(_PARTS))
+
+
 def score(docs: DataFrame, weights: np.ndarray, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, score): one row per row of ``docs``, 0 to 1.
 

@@ -219,3 +219,8 @@ def test_lm_codes_that_meet_are_changed(spark, monkeypatch):
 
     monkeypatch.setattr(lm_score, "_word_counts", meeting)
     assert lm_score.cross_entropy_difference(docs, target).orderBy("doc_id").collect() == want and seeds == [0, 1]
+
+
+def test_descent_has_its_number_of_even_parts(spark):
+    sizes = {r["part"]: r["count"] for r in spark.range(6000).groupBy(quality.part_of("id").alias("part")).count().collect()}
+    assert sorted(sizes) == list(range(6)) and max(sizes.values()) < 1.2 * min(sizes.values())
