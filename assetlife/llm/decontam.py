@@ -3,12 +3,12 @@
 The words of the training documents are numbered and laid end to end, shard by
 shard (a few megabytes of whole documents inside a task).  Each shard gets a
 suffix array over words, sorted to the depth that the search needs by rank
-doubling; every benchmark suffix is binary-searched in it, which gives its
-longest verbatim match and, as a range of the array, all places of its window.
+doubling; every distinct window of the benchmark is binary-searched in it,
+which gives, as a range of the array, all its places.
 
 The benchmark is the stated query set: it is shipped to the tasks in blocks of
-at most ``BLOCK_BYTES``, however large it is; each block is matched against
-all documents.
+about ``BLOCK_BYTES``, which the driver holds all at once; each block is matched
+against all documents.
 """
 
 from __future__ import annotations

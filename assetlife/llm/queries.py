@@ -56,7 +56,7 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated, longest."""
+    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
     out = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), size=13)
     return out.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
