@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assetlife.llm import chat, langid, secret_scan
+from assetlife.llm import chat, langid, packing, secret_scan
 from assetlife.llm.common import held_out, ship, table
 from assetlife.llm.decontam import contaminated, contamination
 from assetlife.llm.embed_dedup import near_vectors
@@ -162,3 +162,11 @@ def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, target_loss, background_loss, score."""
     target = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
     return cross_entropy_difference(table(spark, sf_dir, "documents"), target)
+
+
+@query
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
+    pieces = packing.cut_documents(table(spark, sf_dir, "documents"), tokenizer_path=TOKENIZER, size=1024, end_id=2)
+    placed = packing.place(packing.digested(pieces), size=1024)
+    return placed.select(F.col("doc").alias("doc_id"), "piece", "start", F.col("length").cast("long").alias("length"), "ids_crc32", "sequence_id", F.col("offset").cast("long").alias("offset"))
