@@ -16,10 +16,8 @@ passes the driver, and token ids are not shuffled.
 
 from __future__ import annotations
 
-import re
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,100 +26,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from assetlife.llm.common import map_texts
+from assetlife.llm.common import steps, text_rows
+from assetlife.llm.token_ids import Encoder
 from assetlife.session import materialize
 
-#: Characters of one text that are split at a time; stretches, and ids of
-#: stretches, that a worker's table may hold.
-SPAN_CHARS, TABLE_STRETCHES, TABLE_IDS = 1 << 20, 1 << 20, 1 << 23
-# White space and what follows up to the next, or up to punctuation after
-# letters: no token of a byte-level vocabulary lies across such a border, so
-# stretches encode as the whole does.
-_LETTER = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
-_STRETCH = re.compile(rf"\s*[{_LETTER}]+(?=[\s!-@\[-`{{-~])|\s*\S+|\s+")
-# Of these the vocabulary's merges make the ids directly (a blank is byte-level "Ġ").
-_WORD = re.compile(" ?[A-Za-z]+")
-_BORDER = re.compile(r"(?<=\S)(?=\s)")
-# Separators that these expressions take for white space and the tokenizer does not.
-_ODD = re.compile("[\x1c-\x1f]")
+#: Rows of a batch, and bytes of their texts, that are encoded at a time.
+ROWS, STEP = 256, 1 << 20
 _SCHEMA = "doc bigint, piece int, start bigint, length int, ids array<int>, part int, nth bigint"
 
 
-def _spans(text: str) -> Iterator[str]:
-    """``text`` in spans of about SPAN_CHARS, cut where stretches meet."""
-    at = 0
-    while len(text) - at > SPAN_CHARS:
-        cut = _BORDER.search(text, at + SPAN_CHARS)
-        if cut is None:
-            break
-        yield text[at:cut.start()]
-        at = cut.start()
-    yield text[at:] if at else text
-
-
-class _Table(dict):
-    """A place for each stretch, in the order in which they are asked for."""
-
-    def __init__(self):
-        self.new: list[str] = []
-
-    def __missing__(self, stretch: str) -> int:
-        self[stretch] = place = len(self)
-        self.new.append(stretch)
-        return place
-
-
-class Encoder:
-    """Token ids of texts: each distinct stretch is encoded once and looked up
-    after that.  The table of stretches starts anew when it is full."""
-
-    def __init__(self, tokenizer: Tokenizer):
-        self.tokenizer = tokenizer
-        self._clear()
-
-    def _clear(self) -> None:
-        self.table, self.flat, self.ends = _Table(), np.zeros(0, np.int32), np.zeros(1, np.int64)
-
-    def _add(self, known: list[list[int]]) -> None:
-        sizes = np.fromiter(map(len, known), np.int64, len(known))
-        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(known), np.int32, int(sizes.sum()))])
-        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
-
-    def _whole(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int32)
-
-    def _look_up(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all ``texts`` end to end, and how many each has."""
-        found = [_STRETCH.findall(t) for t in texts]
-        counts = np.fromiter(map(len, found), np.int64, len(found))
-        at = np.fromiter(map(self.table.__getitem__, chain.from_iterable(found)), np.int64, int(counts.sum()))
-        if self.table.new:
-            new, merges = self.table.new, self.tokenizer.model.tokenize
-            known = [[k.id for k in merges(s.replace(" ", "\u0120"))] if _WORD.fullmatch(s) else None for s in new]
-            others = iter(self.tokenizer.encode_batch_fast([s for s, k in zip(new, known) if k is None], add_special_tokens=False))
-            self._add([next(others).ids if k is None else k for k in known])
-            new.clear()
-        sizes = self.ends[at + 1] - self.ends[at]
-        done = np.cumsum(sizes)
-        ids = self.flat[np.repeat(self.ends[at] - (done - sizes), sizes) + np.arange(int(sizes.sum()))]
-        if len(self.table) > TABLE_STRETCHES or len(self.flat) > TABLE_IDS:
-            self._clear()
-        return ids, np.diff(np.concatenate(([0], done))[np.concatenate(([0], np.cumsum(counts)))])
-
-    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all ``texts`` end to end, and how many each has."""
-        if not any(len(t) > SPAN_CHARS or _ODD.search(t) for t in texts):
-            return self._look_up(texts)
-        ids, sizes = [], []
-        for t in texts:
-            parts = [self._whole(t)] if _ODD.search(t) else [self._look_up([s])[0] for s in _spans(t)]
-            ids += parts
-            sizes.append(sum(map(len, parts)))
-        return np.concatenate(ids), np.array(sizes, np.int64)
-
-
 @lru_cache(maxsize=2)
 def _encoder(spec: str) -> Encoder:
+    """One for all tasks of a worker, which share its table."""
     return Encoder(Tokenizer.from_str(spec))
 
 
@@ -132,44 +48,51 @@ def cut_documents(docs: DataFrame, tokenizer_path: str, size: int = 1024, end_id
     number the pieces of one length as their task wrote them.
 
     Null and empty texts are one piece of ``end_id`` alone; each repeated row is
-    a document of its own; a null key stays null; texts of any length are split
-    span by span (one stretch without white space is encoded in one go); other
-    columns are not read; an empty table gives an empty one.
+    a document of its own; a null key stays null; texts of any length are encoded
+    span by span (a text without blanks in one go); other columns are not read; an empty table gives an empty one.
     """
     with open(tokenizer_path, encoding="utf-8") as f:
         spec = docs.sparkSession.sparkContext.broadcast(f.read())  # one vocabulary file
 
-    def make() -> Callable:
+    rows = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).cast("string").alias("_text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder = _encoder(spec.value)  # tasks of one worker share its table
+        encode = _encoder(spec.value)
         seen = np.zeros(size + 1, np.int64)
         part = TaskContext.get().partitionId()
-
-        def work(keys: list[list], texts: list[bytes]) -> list:
-            flat, sizes = encoder([t.decode() for t in texts])
-            flat = np.insert(flat, np.cumsum(sizes), np.int32(end_id))
-            doc, piece, start, length, nth = [], [], [], [], []
-            for k, n in zip(keys[0], (sizes + 1).tolist()):
-                at = 0
-                for i in range(-(-n // size)):
-                    long = size if i else (n - 1) % size + 1
-                    doc.append(k)
-                    piece.append(i)
-                    start.append(at)
-                    length.append(long)
-                    nth.append(int(seen[long]))
-                    seen[long] += 1
-                    at += long
-            ends = np.concatenate(([0], np.cumsum(length)))
-            ids = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat))
-            return [pa.array(doc, pa.int64()), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int32()), ids,
-                    pa.array(np.full(len(doc), part, np.int32)), pa.array(nth, pa.int64())]
-
-        return work
-
-    return materialize(map_texts(docs.withColumn(key, F.col(key).cast("long")), [key], make, _SCHEMA, text), "pack-pieces")
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS):
+                some = batch.slice(at, ROWS)
+                keys, texts = some.column(0).to_pylist(), text_rows(some, "_text")
+                for a, b in steps(texts, STEP):
+                    yield _pieces(keys[a:b], *encode(texts[a:b]), size, end_id, part, seen)
+
+    return materialize(rows.mapInArrow(run, _SCHEMA), "pack-pieces")
+
+
+def _pieces(keys: list, flat: np.ndarray, sizes: np.ndarray, size: int, end_id: int, part: int, seen: np.ndarray) -> pa.RecordBatch:
+    """The pieces of documents whose ids lie end to end in ``flat``; ``seen``
+    counts the pieces of each length."""
+    flat = np.insert(flat, np.cumsum(sizes), np.int32(end_id))
+    doc, piece, start, length, nth = [], [], [], [], []
+    for k, n in zip(keys, (sizes + 1).tolist()):
+        at = 0
+        for i in range(-(-n // size)):
+            long = size if i else (n - 1) % size + 1
+            doc.append(k)
+            piece.append(i)
+            start.append(at)
+            length.append(long)
+            nth.append(int(seen[long]))
+            seen[long] += 1
+            at += long
+    ends = np.concatenate(([0], np.cumsum(length))).astype(np.int32)
+    cols = [pa.array(doc, pa.int64()), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int32()),
+            pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), pa.array(np.full(len(doc), part, np.int32)), pa.array(nth, pa.int64())]
+    return pa.RecordBatch.from_arrays(cols, names=[f.split()[0] for f in _SCHEMA.split(", ")])
 
 
 def fill(counts: np.ndarray, size: int) -> list[tuple[list[int], int]]:

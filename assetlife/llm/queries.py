@@ -16,8 +16,10 @@ from assetlife.llm.lm_score import cross_entropy_difference
 from assetlife.llm.mixing import mix
 from assetlife.llm.quality import fit as fit_quality
 from assetlife.llm.quality import score as score_quality
+from assetlife.llm.resampling import resample
 from assetlife.llm.simhash import simhash_components
 from assetlife.llm.suffix_dedup import cut_repeats
+from assetlife.llm.whitening import whiten
 
 #: A public tokenizer's vocabulary file.
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
@@ -170,3 +172,53 @@ def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.cut_documents(table(spark, sf_dir, "documents"), tokenizer_path=TOKENIZER, size=1024, end_id=2)
     placed = packing.place(packing.digested(pieces), size=1024)
     return placed.select(F.col("doc").alias("doc_id"), "piece", "start", F.col("length").cast("long").alias("length"), "ids_crc32", "sequence_id", F.col("offset").cast("long").alias("offset"))
+
+
+@query
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_features, weight, score, rank."""
+    out = resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), percent=10, least_words=20, buckets=10_000, runs=1, seed=2024)
+    return out.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+ORACLE["op13_resampling"] = r"""
+WITH RECURSIVE hexes AS (SELECT list_transform(range(256), lambda x: printf('%02X', x)) AS h),
+step(b, c, k) AS (
+  SELECT range AS b, CAST(range AS BIGINT) AS c, 0 AS k FROM range(256)
+  UNION ALL
+  SELECT b, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM step WHERE k < 8),
+tbl AS (SELECT list(c ORDER BY b) AS t FROM step WHERE k = 8),
+d AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+dw AS (SELECT doc_id, w, COUNT(*) AS n FROM (SELECT doc_id, unnest(w) AS w FROM d) GROUP BY ALL),
+bw AS (SELECT w, COUNT(*) AS n FROM (SELECT unnest(w) AS w FROM b) GROUP BY ALL),
+words AS (SELECT w, hex(encode(w)) AS x FROM (SELECT w FROM dw UNION SELECT w FROM bw)),
+buckets AS (
+  SELECT w, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+                  list_transform(range(len(x) // 2), lambda i: CAST(list_position(h, substr(x, 2 * i + 1, 2)) - 1 AS BIGINT))),
+                lambda c, y: xor(c >> 8, t[(xor(c, y) & 255) + 1])), 4294967295) % 10000 AS k
+  FROM words, tbl, hexes),
+ds AS (SELECT k, CAST(SUM(n) AS BIGINT) AS s FROM dw JOIN buckets USING (w) GROUP BY k),
+bs AS (SELECT k, CAST(SUM(n) AS BIGINT) AS t FROM bw JOIN buckets USING (w) GROUP BY k),
+tot AS (SELECT CAST(coalesce((SELECT SUM(s) FROM ds), 0) AS BIGINT) AS sa, CAST(coalesce((SELECT SUM(t) FROM bs), 0) AS BIGINT) AS ta),
+gain AS (SELECT k, CAST(floor(1000 * ln(CAST((coalesce(t, 0) + 1) * (sa + 10000) AS DOUBLE) / CAST((s + 1) * (ta + 10000) AS DOUBLE))) AS BIGINT) AS g
+         FROM ds LEFT JOIN bs USING (k), tot),
+ws AS (SELECT doc_id, CAST(SUM(n * g) AS BIGINT) AS weight FROM dw JOIN buckets USING (w) JOIN gain USING (k) GROUP BY doc_id),
+sc AS (SELECT d.doc_id, CAST(coalesce(len(w), 0) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+              coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || CAST(d.doc_id AS VARCHAR)), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+       FROM d LEFT JOIN ws USING (doc_id)),
+r AS (SELECT *, row_number() OVER (ORDER BY score DESC, doc_id) AS place, COUNT(*) OVER () AS n FROM sc WHERE n_features >= 20)
+SELECT sc.doc_id, sc.n_features, sc.weight, sc.score, CASE WHEN place <= 10 * n // 100 THEN place END AS rank
+FROM sc LEFT JOIN r USING (doc_id)
+"""
+
+
+@query
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """vec_id, component, n, deviation, whitened, explained, identity_error: a row
+    for each vector and component."""
+    out = whiten(table(spark, sf_dir, "embeddings"), components=8)
+    each = out.select("vec_id", "n", F.col("deviation").cast("long").alias("deviation"), "identity_error", F.posexplode(F.arrays_zip("whitened", "explained")).alias("at", "of"))
+    return each.select("vec_id", (F.col("at") + 1).alias("component"), "n", "deviation", "of.whitened", "of.explained", "identity_error")
