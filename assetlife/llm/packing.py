@@ -21,7 +21,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -170,26 +170,31 @@ def runs(counts: np.ndarray, size: int) -> dict[str, np.ndarray]:
     return dict(zip(("length", "first", "each", "sequence", "offset"), table.T))
 
 
-def place(pieces: DataFrame, size: int = 1024) -> DataFrame:
-    """``pieces`` (length, part, nth and any other columns; a written table) with
-    ``sequence_id`` and ``offset`` in place of part and nth.
-
-    Sequences hold at most ``size`` ids without gaps; their numbers run from 0.
-    """
-    spark = pieces.sparkSession
+def plan(pieces: DataFrame, size: int = 1024) -> tuple[DataFrame, Broadcast]:
+    """How the pieces of ``pieces`` (part and length are read) are to lie: the
+    rank at which each task's pieces of a length begin, and the runs."""
     sums = materialize(pieces.groupBy("part", "length").agg(F.count(F.lit(1)).alias("n")), "pack-counts")
     counts = np.zeros(size + 1, np.int64)
     for r in sums.groupBy("length").agg(F.sum("n").alias("n")).collect():  # at most ``size`` rows
         counts[r["length"]] = r["n"]
-    plan = spark.sparkContext.broadcast(runs(counts, size))  # bounded by ``size``, not by the corpus
     running = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     before = sums.select("part", "length", F.coalesce(F.sum("n").over(running), F.lit(0)).alias("_before"))
+    return before, pieces.sparkSession.sparkContext.broadcast(runs(counts, size))  # bounded by ``size``, not by the corpus
+
+
+def place(pieces: DataFrame, planned: tuple[DataFrame, Broadcast]) -> DataFrame:
+    """``pieces`` (length, part, nth and any other columns) with ``sequence_id``
+    and ``offset`` in place of part and nth.
+
+    Sequences are without gaps; their numbers run from 0.
+    """
+    before, table = planned
     kept = [c for c in pieces.columns if c not in ("part", "nth")]
     ranked = pieces.join(before, ["part", "length"]).select(*kept, (F.col("_before") + F.col("nth")).alias("sequence_id"))
     schema = ranked.withColumn("offset", F.lit(0)).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        p = plan.value
+        p = table.value
         starts = (p["length"] << 44) + p["first"]
         for batch in batches:
             names = batch.schema.names
@@ -205,9 +210,10 @@ def place(pieces: DataFrame, size: int = 1024) -> DataFrame:
 
 
 def pack(docs: DataFrame, tokenizer_path: str, size: int = 1024, end_id: int = 2, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc, piece, start, length, ids, sequence_id, offset): ``cut_documents``
-    and ``place`` in one."""
-    return place(cut_documents(docs, tokenizer_path, size, end_id, key, text), size)
+    """(doc, piece, start, length, ids, sequence_id, offset): ``cut_documents``,
+    ``plan`` and ``place`` in one."""
+    pieces = cut_documents(docs, tokenizer_path, size, end_id, key, text)
+    return place(pieces, plan(pieces, size))
 
 
 def digested(pieces: DataFrame) -> DataFrame:

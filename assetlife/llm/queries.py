@@ -170,7 +170,7 @@ def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
     pieces = packing.cut_documents(table(spark, sf_dir, "documents"), tokenizer_path=TOKENIZER, size=1024, end_id=2)
-    placed = packing.place(packing.digested(pieces), size=1024)
+    placed = packing.place(packing.digested(pieces), packing.plan(pieces, size=1024))
     return placed.select(F.col("doc").alias("doc_id"), "piece", "start", F.col("length").cast("long").alias("length"), "ids_crc32", "sequence_id", F.col("offset").cast("long").alias("offset"))
 
 

@@ -18,7 +18,7 @@ from tokenizers import Tokenizer
 
 #: Slots of a table (half of them used at most), ids it may hold, bytes of one
 #: text that are cut at a time.
-SLOTS, TABLE_IDS, SPAN_BYTES = 1 << 21, 1 << 23, 1 << 20
+SLOTS, TABLE_IDS, SPAN_BYTES = 1 << 20, 1 << 22, 1 << 20
 _SHORT = 16
 _SPACE = np.zeros(256, bool)
 _SPACE[list(b"\t\n\x0b\x0c\r ")] = True
