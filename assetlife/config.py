@@ -27,6 +27,8 @@ FEATURE_SENSORS: tuple[str, ...] = (
 )
 ROLLING_WINDOW = 5
 VARIANCE_EPSILON = 1e-9
+# Identity of an engine where several runs lie in one table.
+FLEET_KEYS: tuple[str, ...] = ("variant", "split", ENGINE)
 DEFAULT_VARIANT = "FD001"
 DEFAULT_SPLIT = "train"
 # Engineered suffixes kept in the feature table, in output order.

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from assetlife.config import CYCLE, ENGINE, RAW_COLUMNS, SENSOR_COLS, SETTING_COLS, VARIANCE_EPSILON
 from assetlife.functions import inf_to_null, present, to_bigint_id, to_double
-from assetlife.operators.sequence import LINE_COLUMNS
+from assetlife.operators.sequence import LINE_COLUMNS, run_columns
 from assetlife.session import materialize
 
 
@@ -62,16 +62,22 @@ def drop_rows_with_missing_core(df: DataFrame, columns=None) -> DataFrame:
     return df.dropna(how="any", subset=cols) if cols else df
 
 
-def sensor_variances(df: DataFrame, sensor_cols=SENSOR_COLS) -> DataFrame:
-    """One row of population variances of the present sensors (one pass)."""
+def sensor_variances(df: DataFrame, sensor_cols=SENSOR_COLS, groups: list[str] | None = None) -> DataFrame:
+    """One row of population variances of the present sensors (one pass); with
+    ``groups`` the largest among the runs."""
     sensors = present(df, sensor_cols)
-    return df.agg(*[F.var_pop(s).alias(s) for s in sensors]) if sensors else None
-
-
-def near_constant_sensors(df: DataFrame, sensor_cols=SENSOR_COLS, variance_epsilon: float = VARIANCE_EPSILON) -> list[str]:
-    """Sensors whose population variance is <= epsilon; an undefined variance
-    (no values) keeps the column."""
-    variances = sensor_variances(df, sensor_cols)
+    if not sensors:
+        return None
+    if groups:
+        return df.groupBy(*groups).agg(*[F.var_pop(s).alias(s) for s in sensors]).agg(*[F.max(s).alias(s) for s in sensors])
+    return df.agg(*[F.var_pop(s).alias(s) for s in sensors])
+
+
+def near_constant_sensors(df: DataFrame, sensor_cols=SENSOR_COLS, variance_epsilon: float = VARIANCE_EPSILON,
+                          groups: list[str] | None = None) -> list[str]:
+    """Sensors whose population variance is <= epsilon (in every run, with
+    ``groups``); an undefined variance (no values) keeps the column."""
+    variances = sensor_variances(df, sensor_cols, groups)
     if variances is None:
         return []
     row = variances.first()
@@ -79,9 +85,9 @@ def near_constant_sensors(df: DataFrame, sensor_cols=SENSOR_COLS, variance_epsil
 
 
 def drop_near_constant_sensors(df: DataFrame, sensor_cols=SENSOR_COLS,
-                               variance_epsilon: float = VARIANCE_EPSILON) -> DataFrame:
+                               variance_epsilon: float = VARIANCE_EPSILON, groups: list[str] | None = None) -> DataFrame:
     """Drop near-constant sensor columns (CL5)."""
-    dropped = near_constant_sensors(df, sensor_cols, variance_epsilon)
+    dropped = near_constant_sensors(df, sensor_cols, variance_epsilon, groups)
     return df.drop(*dropped) if dropped else df
 
 
@@ -124,7 +130,7 @@ def clean_sensor_data(df: DataFrame, drop_constant_sensors: bool = True, key_col
     top.)  Sorting is optional: windows order rows themselves.  Line
     positions, where the frame carries them, are kept.
     """
-    extra = [k for k in (key_cols or []) if k not in (ENGINE, CYCLE)] + [c for c in LINE_COLUMNS if c in df.columns]
+    extra = run_columns(key_cols) + [c for c in LINE_COLUMNS if c in df.columns]
     out = drop_exact_duplicates(df)
     core = [c for c in RAW_COLUMNS if c in out.columns]
     if core:
@@ -139,7 +145,7 @@ def clean_sensor_data(df: DataFrame, drop_constant_sensors: bool = True, key_col
          else to_double(out, f.name)).alias(f.name) if f.name in core else F.col(f.name)
         for f in out.schema.fields])
     if drop_constant_sensors:
-        out = drop_near_constant_sensors(materialize(out, "clean"))
+        out = drop_near_constant_sensors(materialize(out, "clean"), groups=run_columns(key_cols))
     out = restore_integer_ids(out)
     out = project_to_schema(out, extra)
     return sort_by_engine_cycle(out) if sort else out

@@ -1,15 +1,19 @@
 """Exploration (EX1-EX11): profiles, life tables, histograms, correlations,
 outlier fences, box-plot statistics and the findings record.
 
-Everything is an aggregate: one-pass moments, exact percentiles by
-bracketing (``operators.stats``) and pairwise-complete correlations from
-``covar_pop`` / ``stddev_pop``; many columns or pairs are one pass over rows
-turned to (name, value).  Only one-row (or one-row-per-column) results
-come back to the driver.
+Everything is an aggregate: one-pass moments, exact percentiles by radix
+selection (``operators.stats``) and pairwise-complete correlations from
+co-moments that every task keeps for all pairs at once.  Only one-row (or
+one-row-per-column) results come back to the driver.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,7 +21,7 @@ from pyspark.sql import types as T
 from assetlife.config import CYCLE, ENGINE, FEATURE_SENSORS
 from assetlife.functions import present
 from assetlife.operators.stats import exact_percentiles_many, percentiles_of
-from assetlife.session import materialize
+from assetlife.session import materialize, ship
 
 DESCRIBE_COLS = ["count", "mean", "std", "min", "p25", "p50", "p75", "max"]
 
@@ -34,17 +38,25 @@ def describe(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     narrow = materialize(df.select(*cols), "describe")
     qs = percentiles_of(narrow, cols, [0.25, 0.5, 0.75])
     quartiles = spark.createDataFrame([(c, *qs[c]) for c in cols], "column_name string, p25 double, p50 double, p75 double")
-    x = F.col("x")
-    moments = _long(narrow, cols).groupBy("column_name").agg(
-        F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max"))
-    out = quartiles.join(moments, "column_name", "left")
-    return out.select("column_name", F.coalesce("count", F.lit(0)).alias("count"), "mean", "std", "min", "p25", "p50", "p75", "max")
+    out = quartiles.join(_moments(narrow, cols), "column_name", "left")
+    return out.select("column_name", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
+
 
+#: Columns whose moments are one aggregate: few enough to stay in generated code.
+_TOGETHER = 6
 
-def _long(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(column_name, x double): one row per cell, so that one small aggregate
-    serves any number of columns in one pass."""
-    return df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], columns, "column_name", "x")
+
+def _moments(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(column_name, count, mean, std, min, max) of each column; every aggregate
+    reads its own few columns of the written table."""
+    parts = []
+    for a in range(0, len(columns), _TOGETHER):
+        some = columns[a:a + _TOGETHER]
+        x = [F.col(c).cast("double") for c in some]
+        one = df.agg(*[F.struct(F.lit(c).alias("column_name"), F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max"))
+                       .alias(f"c{i}") for i, (c, v) in enumerate(zip(some, x))])
+        parts.append(one.select(F.explode(F.array(*one.columns)).alias("m")).select("m.*"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def engine_life(features: DataFrame, key_cols=None) -> DataFrame:
@@ -96,16 +108,47 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
                                                      F.coalesce("count", F.lit(0)).cast("bigint").alias("count"))
 
 
+def co_moments(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(i, j, n, si, sj, qi, qj, p) for i <= j: over the rows where columns i and j
+    both have a value, their number and the sums of x_i, x_j, x_i^2, x_j^2 and
+    x_i x_j about the columns' means.
+
+    A task keeps one such state for all pairs; states add up.
+    """
+    ship(df.sparkSession)
+    k = len(columns)
+    narrow = materialize(df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)]), "moments")
+    means = narrow.agg(*[F.coalesce(F.avg(c), F.lit(0.0)).alias(c) for c in narrow.columns]).first()
+    centre = np.array(list(means))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, s, q, p = (np.zeros((k, k)) for _ in range(4))
+        for batch in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]).astype(np.float64)
+            known = np.column_stack([c.is_valid().to_numpy(zero_copy_only=False) for c in batch.columns]).astype(np.float64)
+            d = np.where(known > 0, x - centre, 0.0)
+            n, s, q, p = n + known.T @ known, s + d.T @ known, q + (d * d).T @ known, p + d.T @ d
+        i, j = np.triu_indices(k)
+        cols = [i.astype(np.int32), j.astype(np.int32), n[i, j].astype(np.int64), s[i, j], s[j, i], q[i, j], q[j, i], p[i, j]]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["i", "j", "n", "si", "sj", "qi", "qj", "p"])
+
+    each = narrow.mapInArrow(run, "i int, j int, n bigint, si double, sj double, qi double, qj double, p double")
+    return each.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "si", "sj", "qi", "qj", "p")])
+
+
 def pair_correlations(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
     """(var_a, var_b, corr): Pearson correlation of the given column pairs over
     pairwise-complete rows, in one pass; a constant column gives NULL."""
-    each = F.explode(F.array(*[
-        F.struct(F.lit(a).alias("var_a"), F.lit(b).alias("var_b"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
-        for a, b in pairs])).alias("p")
-    cells = df.select(each).select("p.*")
-    both = F.col("x").isNotNull() & F.col("y").isNotNull()
-    x, y = F.when(both, F.col("x")), F.when(both, F.col("y"))
-    return cells.groupBy("var_a", "var_b").agg(F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y)).alias("corr"))
+    columns = list(dict.fromkeys(c for pair in pairs for c in pair))
+    n = F.col("n")
+    spread = lambda q, s: F.col(q) - F.try_divide(F.col(s) * F.col(s), n)
+    # what rounding leaves of a constant column's squares is no variance
+    some = lambda q, s: F.when(spread(q, s) > F.col(q) * F.lit(1e-12), spread(q, s))
+    joint = F.col("p") - F.try_divide(F.col("si") * F.col("sj"), n)
+    corr = joint / F.sqrt(some("qi", "si") * some("qj", "sj"))
+    state = co_moments(df, columns).select("i", "j", corr.alias("corr"))
+    asked = df.sparkSession.createDataFrame([(*sorted((columns.index(a), columns.index(b))), a, b) for a, b in pairs], "i int, j int, var_a string, var_b string")
+    return asked.join(state, ["i", "j"], "left").select("var_a", "var_b", "corr")
 
 
 def correlation_pairs(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -11,11 +11,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assetlife.config import CYCLE, ENGINE, FEATURE_SUFFIXES, ROLLING_WINDOW
+from assetlife.functions import present
 from assetlife.operators.sequence import (
     check_window,
     engine_sequence,
+    run_columns,
     sensors_present,
     transform_columns,
+    with_zscore_stats,
     zscore_columns,
     zscore_stats,
 )
@@ -47,22 +50,13 @@ def add_remaining_useful_life(df: DataFrame, key_cols=None, **seq_kw) -> DataFra
     return out.withColumn("rul", rul_col()).drop(_MAX)
 
 
-#: The feature table's declared order; a name stands for itself, "{s}" for every sensor in turn.
-_DECLARED = (ENGINE, CYCLE, "{s}", "op_setting_*", tuple("{s}" + suffix for suffix in FEATURE_SUFFIXES), "cycle_norm", "rul")
-
-
 def select_feature_columns(df: DataFrame, sensor_cols=None) -> list[str]:
-    """The declared feature columns that ``df`` has, in the declared order."""
-    sensors, have = sensors_present(df, sensor_cols), df.columns
-    wanted: list[str] = []
-    for entry in _DECLARED:
-        if isinstance(entry, tuple):
-            wanted += [e.format(s=s) for s in sensors for e in entry]
-        elif entry.endswith("*"):
-            wanted += [c for c in have if c.startswith(entry[:-1])]
-        else:
-            wanted += [entry.format(s=s) for s in sensors] if "{s}" in entry else [entry]
-    return [c for c in wanted if c in have]
+    """The feature columns that ``df`` has, in their fixed order: ids, sensors,
+    settings, what was engineered from each sensor, life position and label."""
+    sensors = sensors_present(df, sensor_cols)
+    settings = [c for c in df.columns if c.startswith("op_setting_")]
+    engineered = [f"{s}{suffix}" for s in sensors for suffix in FEATURE_SUFFIXES]
+    return present(df, [ENGINE, CYCLE, *sensors, *settings, *engineered, "cycle_norm", "rul"])
 
 
 def engineer_features(
@@ -75,19 +69,24 @@ def engineer_features(
     **seq_kw,
 ) -> DataFrame:
     """The feature table in one pass: cycle_norm, z-score, delta,
-    rolling mean/std and (optionally) rul, then the feature column order."""
+    rolling mean/std and (optionally) rul, then the feature column order.
+
+    With a run's columns (variant, split) among ``key_cols`` every run is built,
+    normalised too, as it would be in a frame of its own."""
     sensors = sensors_present(df, sensor_cols)
     if not sensors:
-        raise ValueError("No feature sensor columns present in DataFrame")
+        raise ValueError("none of the feature sensors is a column of the frame")
     check_window(window)
     keys = key_cols or [ENGINE]
-    norms = zscore_columns(sensors, stats if stats is not None else zscore_stats(df, sensors))
+    groups = run_columns(keys)
     wide = engine_sequence(df, keys, lambda w: transform_columns(w, sensors, window), lookback=window - 1,
                            key_stats=_max_cycle_stat(), **seq_kw)
+    if stats is None:
+        wide, stats = with_zscore_stats(wide, sensors, groups) if groups else (wide, zscore_stats(df, sensors))
+    norms = zscore_columns(sensors, stats)
     life = {"cycle_norm": cycle_norm_col()}
     if include_rul:
         life["rul"] = rul_col()
-    extra_keys = [k for k in keys if k not in (ENGINE, CYCLE)]
     wide = wide.select("*", *[c.alias(n) for n, c in {**norms, **life}.items()])
     keep = select_feature_columns(wide, sensors)
-    return wide.select(*extra_keys, *keep)
+    return wide.select(*groups, *keep)

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from assetlife.config import CYCLE, ENGINE, FEATURE_SENSORS, ROLLING_WINDOW
 from assetlife.functions import present
+from assetlife.operators.joins import join_per_group
 from assetlife.operators.segments import HEAVY_KEY_ROWS, sequence
 
 LINE_COLUMNS = ("_file", "_block", "_row")
@@ -36,7 +37,7 @@ def sensors_present(df: DataFrame, sensor_cols=None) -> list[str]:
 
 def check_window(window: int) -> None:
     if window < 2:
-        raise ValueError("window must be >= 2")
+        raise ValueError(f"a rolling window has 2 rows at least, not {window}")
 
 
 def engine_sequence(
@@ -73,6 +74,19 @@ def zscore_stats(df: DataFrame, sensors: list[str]) -> dict[str, tuple[Column, C
     return {s: (moments.select(f"m_{s}").scalar(), moments.select(f"s_{s}").scalar()) for s in sensors}
 
 
+def run_columns(key_cols: list[str] | None) -> list[str]:
+    """The key columns that tell runs (variant, split) apart, without the engine."""
+    return [k for k in (key_cols or [ENGINE]) if k not in (ENGINE, CYCLE)]
+
+
+def with_zscore_stats(df: DataFrame, sensors: list[str], groups: list[str]) -> tuple[DataFrame, dict[str, tuple[Column, Column]]]:
+    """``df`` with mean and population std of every sensor within its run, and
+    those columns: each run is normalised as it would be in a frame of its own."""
+    stats = {s: (f"__mean_{s}", f"__std_{s}") for s in sensors}
+    moments = df.groupBy(*groups).agg(*[e for s, (m, d) in stats.items() for e in (F.avg(s).alias(m), F.stddev_pop(s).alias(d))])
+    return join_per_group(df, moments, groups), {s: (F.col(m), F.col(d)) for s, (m, d) in stats.items()}
+
+
 def zscore_columns(sensors: list[str], stats: dict) -> dict[str, Column]:
     """``{s}_norm`` from the statistics (numbers or scalar columns).
 
@@ -85,15 +99,18 @@ def zscore_columns(sensors: list[str], stats: dict) -> dict[str, Column]:
     return out
 
 
-def normalize_sensors(df: DataFrame, sensor_cols=None, stats: dict | None = None) -> DataFrame:
+def normalize_sensors(df: DataFrame, sensor_cols=None, stats: dict | None = None, key_cols=None) -> DataFrame:
     """Z-score with global (whole-frame) mean and population std -> ``{s}_norm``.
 
     A zero or undefined std gives 0.0 on every row.  ``stats`` may carry
-    statistics of another frame (e.g. the training split).
+    statistics of another frame (e.g. the training split).  With a run's columns
+    among ``key_cols`` the statistics are those of each run.
     """
-    sensors = sensors_present(df, sensor_cols)
-    stats = stats if stats is not None else zscore_stats(df, sensors)
-    return df.select(*df.columns, *[c.alias(n) for n, c in zscore_columns(sensors, stats).items()])
+    sensors, base_cols = sensors_present(df, sensor_cols), df.columns
+    if stats is None:
+        groups = run_columns(key_cols)
+        df, stats = with_zscore_stats(df, sensors, groups) if groups else (df, zscore_stats(df, sensors))
+    return df.select(*base_cols, *[c.alias(n) for n, c in zscore_columns(sensors, stats).items()])
 
 
 def lag_columns(w: WindowSpec, sensors: list[str], kind: str, window: int = ROLLING_WINDOW) -> dict[str, Column]:
@@ -163,6 +180,7 @@ def apply_transformations(df: DataFrame, sensor_cols=None, window: int = ROLLING
     sensors = sensors_present(df, sensor_cols)
     base_cols = df.columns
     out = engine_sequence(df, key_cols, lambda w: transform_columns(w, sensors, window), lookback=window - 1, **seq_kw)
-    norms = zscore_columns(sensors, stats if stats is not None else zscore_stats(df, sensors))
-    out = out.select("*", *[c.alias(n) for n, c in norms.items()])
+    if stats is None and not run_columns(key_cols):
+        stats = zscore_stats(df, sensors)
+    out = normalize_sensors(out, sensors, stats, key_cols)
     return out.select(*base_cols, *suite_order(sensors))

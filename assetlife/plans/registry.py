@@ -284,6 +284,13 @@ def q_window_analysis_sql(spark, sf_dir):
     return rounded(marts.run_sql_file(spark, "window_analysis.sql"))
 
 
+@register("window_analysis_sql_top", with_features(_WA_SQL))
+def q_window_analysis_sql_top(spark, sf_dir):
+    """The SQL file with the limit as its parameter."""
+    marts.register_views(spark, li_features(spark, sf_dir))
+    return rounded(marts.run_sql_file(spark, "window_analysis.sql", limit=5000))
+
+
 # ------------------------------------------------ keys too large for one task
 SMALL = 100  # rows: far under any engine here, so every engine is split
 
@@ -309,6 +316,130 @@ def q_window_analysis_split(spark, sf_dir):
     return rounded(marts.window_analysis(li_features(spark, sf_dir), max_rows=SMALL))
 
 
+# ------------------------------------------- several runs in one table (fleet)
+from assetlife.config import FLEET_KEYS  # noqa: E402
+from assetlife.sources.adapters import fleet_trajectories  # noqa: E402
+
+_FLEET = list(FLEET_KEYS)
+_OF_RUN = "variant, split, engine_id"
+
+
+def fleet_features(spark, sf_dir):
+    return fe.engineer_features(fleet_trajectories(spark, sf_dir), key_cols=_FLEET)
+
+
+def _fleet_cte() -> str:
+    """Each run's feature table by itself, then all of them."""
+    runs = [("FD001", "train"), ("FD002", "train"), ("FD002", "test")]
+    ctes, union = [f"fleet AS ({adapter_sql('fleet')})"], []
+    for i, (variant, split) in enumerate(runs):
+        ctes.append(f"run{i} AS (SELECT * FROM fleet WHERE variant = '{variant}' AND split = '{split}')")
+        ctes.append(feature_cte(f"run{i}").replace("feat AS (", f"feat{i} AS (").replace("zs AS (", f"zs{i} AS (").replace("FROM zs)", f"FROM zs{i})"))
+        union.append(f"SELECT '{variant}' AS variant, '{split}' AS split, * FROM feat{i}")
+    return ",\n".join([*ctes, "feat AS (" + " UNION ALL ".join(union) + ")"])
+
+
+def with_fleet(body: str, extra: str = "") -> str:
+    return f"WITH {_fleet_cte()}" + (",\n" + extra if extra else "") + "\n" + body
+
+
+def _by_run(sql: str) -> str:
+    """A twin of one run with the key of several."""
+    return (sql.replace("SELECT engine_id", f"SELECT {_OF_RUN}").replace("PARTITION BY engine_id", f"PARTITION BY {_OF_RUN}")
+            .replace("GROUP BY engine_id", f"GROUP BY {_OF_RUN}"))
+
+
+@register("fleet_features", with_fleet(f"SELECT variant, split, {select_rounded(_FEAT, _FEAT_DOUBLES)} FROM feat"))
+def q_fleet_features(spark, sf_dir):
+    """Feature build of three runs at once: each is normalised by itself."""
+    return rounded(fleet_features(spark, sf_dir))
+
+
+@register("fleet_lifecycle", with_fleet(_by_run(
+    "SELECT engine_id, MIN(cycle) AS first_cycle, MAX(cycle) AS last_cycle, COUNT(*) AS n_cycles, "
+    "MAX(rul) AS max_rul, MIN(rul) AS min_rul FROM feat GROUP BY engine_id")))
+def q_fleet_lifecycle(spark, sf_dir):
+    return marts.engine_lifecycle(fleet_features(spark, sf_dir), _FLEET)
+
+
+@register("fleet_enriched", with_fleet(
+    f"SELECT variant, split, {select_rounded(_ENRICHED, _FEAT_DOUBLES)} FROM (SELECT *, "
+    f"COUNT(*) OVER (PARTITION BY {_OF_RUN}) AS engine_total_cycles, MAX(cycle) OVER (PARTITION BY {_OF_RUN}) AS engine_last_cycle "
+    "FROM feat) f"))
+def q_fleet_enriched(spark, sf_dir):
+    return rounded(marts.sensor_features_enriched(fleet_features(spark, sf_dir), _FLEET).select("variant", "split", *_ENRICHED))
+
+
+_FLEET_SUMMARY = _by_run(_SUMMARY_SQL)
+for _s in ("sensor_02", "sensor_04"):  # sums of two decimals here, so extremes are rounded too
+    for _f in ("MIN", "MAX"):
+        _FLEET_SUMMARY = _FLEET_SUMMARY.replace(f"{_f}({_s}) AS {_f.lower()}_{_s}", r6(f"{_f}({_s})", f"{_f.lower()}_{_s}"))
+
+
+@register("fleet_summary", with_fleet(_FLEET_SUMMARY))
+def q_fleet_summary(spark, sf_dir):
+    return rounded(marts.engine_summary(fleet_features(spark, sf_dir), _FLEET))
+
+
+@register("fleet_summary_sql", with_fleet(_FLEET_SUMMARY))
+def q_fleet_summary_sql(spark, sf_dir):
+    marts.register_views(spark, fleet_features(spark, sf_dir), "fleet_table", _FLEET)
+    return rounded(marts.run_sql_file(spark, "engine_summary.sql", "fleet_table", _FLEET))
+
+
+_FLEET_LIFE = f"life AS (SELECT {_OF_RUN}, MAX(cycle) AS last_cycle, COUNT(*) AS n_cycles FROM feat GROUP BY {_OF_RUN})"
+_FLEET_ANALYSIS_SQL = """SELECT l.variant, l.split, l.engine_id, l.n_cycles, l.last_cycle, {m02}, {m04}, {m11}, {m15}, {mstd}, {mrul},
+  CASE WHEN l.n_cycles >= q.p75 THEN 'long_life' WHEN l.n_cycles <= q.p25 THEN 'short_life' ELSE 'typical_life' END AS life_band
+FROM (SELECT variant, split, engine_id, AVG(sensor_02) a02, AVG(sensor_04) a04, AVG(sensor_11) a11, AVG(sensor_15) a15,
+             AVG(sensor_04_rolling_std) astd, AVG(rul) arul FROM feat GROUP BY ALL) m
+JOIN life l USING (variant, split, engine_id)
+JOIN (SELECT variant, split, QUANTILE_CONT(n_cycles, 0.25) AS p25, QUANTILE_CONT(n_cycles, 0.75) AS p75 FROM life GROUP BY ALL) q
+  USING (variant, split)""".format(
+    m02=r6("m.a02", "mean_sensor_02"), m04=r6("m.a04", "mean_sensor_04"), m11=r6("m.a11", "mean_sensor_11"),
+    m15=r6("m.a15", "mean_sensor_15"), mstd=r6("m.astd", "mean_sensor_04_rolling_std"), mrul=r6("m.arul", "mean_rul"))
+
+
+@register("fleet_analysis", with_fleet(_FLEET_ANALYSIS_SQL, _FLEET_LIFE))
+def q_fleet_analysis(spark, sf_dir):
+    """Life bands within each run."""
+    return rounded(marts.sensor_analysis(fleet_features(spark, sf_dir), _FLEET))
+
+
+@register("fleet_analysis_sql", with_fleet(_FLEET_ANALYSIS_SQL, _FLEET_LIFE))
+def q_fleet_analysis_sql(spark, sf_dir):
+    marts.register_views(spark, fleet_features(spark, sf_dir), "fleet_table", _FLEET)
+    return rounded(marts.run_sql_file(spark, "sensor_analysis.sql", "fleet_table", _FLEET))
+
+
+_FLEET_WA = (_by_run(_WA_SQL).replace("ORDER BY engine_id, cycle", f"ORDER BY {_OF_RUN}, cycle")
+             .replace("cycle, sensor_04, rul,", f"cycle, {r6('sensor_04', 'sensor_04')}, rul,", 1))
+
+
+@register("fleet_window", with_fleet(_FLEET_WA.replace("LIMIT 5000", "LIMIT 700")))
+def q_fleet_window(spark, sf_dir):
+    """The first 700 rows in key order (top-N): only their engines are windowed."""
+    return rounded(marts.window_analysis(fleet_features(spark, sf_dir), limit=700, key_cols=_FLEET))
+
+
+@register("fleet_window_sql", with_fleet(_FLEET_WA.replace(" LIMIT 5000", "")))
+def q_fleet_window_sql(spark, sf_dir):
+    marts.register_views(spark, fleet_features(spark, sf_dir), "fleet_table", _FLEET)
+    return rounded(marts.run_sql_file(spark, "window_analysis.sql", "fleet_table", _FLEET))
+
+
+@register("fleet_rollup", with_fleet(
+    "SELECT variant, split, CAST(2 - GROUPING(variant) - GROUPING(split) AS INT) AS level, COUNT(*) AS n_engines, "
+    "CAST(SUM(n) AS BIGINT) AS n_rows, MIN(f) AS first_cycle, MAX(l) AS last_cycle, " + r6("AVG(n)", "mean_cycles") + ", "
+    + ", ".join(r6(f"SUM(s_{c}) / SUM(n_{c})", f"avg_{c}") for c in ("sensor_02", "sensor_04", "sensor_11", "rul"))
+    + " FROM per GROUP BY GROUPING SETS ((variant, split), (variant), ())",
+    f"per AS (SELECT {_OF_RUN}, COUNT(*) AS n, MIN(cycle) AS f, MAX(cycle) AS l, "
+    + ", ".join(f"CAST(SUM({c}) AS DOUBLE) AS s_{c}, COUNT({c}) AS n_{c}" for c in ("sensor_02", "sensor_04", "sensor_11", "rul"))
+    + f" FROM feat GROUP BY {_OF_RUN})"))
+def q_fleet_rollup(spark, sf_dir):
+    """Totals of every run, every variant and of all (GROUPING SETS)."""
+    return rounded(marts.fleet_rollup(fleet_features(spark, sf_dir)))
+
+
 # ----------------------------------------------------- output order, as ranks
 def _ranked(df):
     """The rows with their position in the frame's order."""
@@ -862,6 +993,17 @@ def q_grouped_split(spark, sf_dir):
     return ml.engine_split(ml.complete_cases(li_features(spark, sf_dir)))
 
 
+_FLEET_HASH = ("h AS (SELECT variant, split, engine_id, ('0x' || substr(md5(variant || ':' || split || ':' || "
+               "CAST(engine_id AS VARCHAR) || ':42'), 1, 15))::BIGINT AS h FROM (SELECT DISTINCT variant, split, engine_id FROM fleet) e)")
+
+
+@register("fleet_split", f"WITH fleet AS ({adapter_sql('fleet')}),\n{_FLEET_HASH}\nSELECT variant, split, engine_id, "
+          "ROW_NUMBER() OVER (ORDER BY h, variant, split, engine_id) <= FLOOR(0.8 * COUNT(*) OVER ()) AS is_train FROM h")
+def q_fleet_split(spark, sf_dir):
+    """ML3 over engines of several runs, whose ids clash."""
+    return ml.engine_split(fleet_trajectories(spark, sf_dir), key=_FLEET)
+
+
 @register("regression_metrics", with_li(
     f"SELECT {r6('AVG(ABS(p - rul))', 'mae')}, {r6('SQRT(AVG((p - rul) * (p - rul)))', 'rmse')}, "
     + r6("1 - SUM((p - rul) * (p - rul)) / (VAR_POP(rul) * COUNT(*))", "r2") + ", COUNT(*)::BIGINT AS n_test "
@@ -875,37 +1017,95 @@ def q_regression_metrics(spark, sf_dir):
     return rounded(ml.regression_metrics(test.withColumn("prediction", F.lit(mean))))
 
 
-def _forest_test_rows(spark, sf_dir):
-    """Random forest (100 trees, depth 12, seed 42) on the engine-grouped
-    split: (train, scored test)."""
-    cc = ml.complete_cases(li_features(spark, sf_dir))
-    train, test = ml.grouped_holdout(cc)
-    model = ml.fit_random_forest(train, ml.model_feature_columns(cc))
-    return train, ml.predict(model, test)
-
-
-@register("rf_predict", with_li(
-    "SELECT engine_id, cycle, rul, TRUE AS in_range FROM cc JOIN sp USING (engine_id) WHERE NOT is_train",
-    feature_cte("li") + ",\n" + _CC_CTE + ",\n" + _SPLIT_CTE))
+from assetlife.operators import forest as hist  # noqa: E402
+
+_TREES, _DEPTH, _BINS, _LEAST, _SEED = 3, 3, 16, 20, 42
+_MODEL_FEATURES = [c for c in _FEAT if c not in ml.LEAKAGE]
+
+
+def _forest_ctes() -> list[str]:
+    """The forest by plain SQL: ranks for the edges, all cells of a level, the
+    best split of every node, and both kinds of rows sent down."""
+    cells = ", ".join(r6(c, c) for c in _MODEL_FEATURES)
+    number = "CASE name " + " ".join(f"WHEN '{c}' THEN {i}" for i, c in enumerate(_MODEL_FEATURES)) + " END"
+    draw = (f"CAST('0x' || substr(md5('{_SEED}:' || CAST(t // {hist.PER_DIGEST} AS VARCHAR) || ':' || CAST(engine_id AS VARCHAR) || ':' || "
+            f"CAST(cycle AS VARCHAR)), CAST(1 + 8 * (t % {hist.PER_DIGEST}) AS INT), 8) AS BIGINT)")
+    weight = " + ".join(f"({draw} >= {step})::INT" for step in hist.poisson_steps())
+    out = [
+        f"pts AS (SELECT engine_id, cycle, rul, is_train, {cells} FROM cc JOIN sp USING (engine_id))",
+        f"long AS (SELECT engine_id, cycle, is_train, {number} AS f, x FROM (UNPIVOT (SELECT * EXCLUDE (rul) FROM pts) ON {', '.join(_MODEL_FEATURES)} INTO NAME name VALUE x) u)",
+        "ranked AS (SELECT f, x, ROW_NUMBER() OVER (PARTITION BY f ORDER BY x) - 1 AS k, COUNT(*) OVER (PARTITION BY f) AS n FROM long WHERE is_train)",
+        f"edges AS (SELECT f, list(DISTINCT x ORDER BY x) AS es FROM ranked WHERE list_contains(list_transform(range(1, {_BINS}), lambda i: i * n // {_BINS}), k) GROUP BY f)",
+        "coded AS (SELECT engine_id, cycle, f, len(list_filter(es, lambda e: e < x)) AS b, es FROM long JOIN edges USING (f))",
+        f"drawn AS (SELECT engine_id, cycle, rul, t, {weight} AS w FROM pts, range({_TREES}) trees(t) WHERE is_train)",
+        "at0 AS (SELECT engine_id, cycle, rul, t, w, 1 AS node FROM drawn WHERE w > 0)",
+        f"test0 AS (SELECT engine_id, cycle, rul, t, 1 AS node FROM pts, range({_TREES}) trees(t) WHERE NOT is_train)",
+    ]
+    for i in range(_DEPTH):
+        out += [
+            f"cells{i} AS (SELECT t, node, f, b, any_value(es) AS es, CAST(SUM(w) AS DOUBLE) AS n, CAST(SUM(w * rul) AS DOUBLE) AS s FROM at{i} JOIN coded USING (engine_id, cycle) GROUP BY t, node, f, b)",
+            f"sums{i} AS (SELECT t, node, f, b, es, SUM(n) OVER u AS ln, SUM(s) OVER u AS ls, SUM(n) OVER a AS n, SUM(s) OVER a AS s FROM cells{i} "
+            "WINDOW u AS (PARTITION BY t, node, f ORDER BY b), a AS (PARTITION BY t, node, f))",
+            f"gains{i} AS (SELECT *, CASE WHEN ln >= {_LEAST} AND n - ln >= {_LEAST} THEN ls * ls / ln + (s - ls) * (s - ls) / (n - ln) - s * s / n END AS g FROM sums{i})",
+            f"best{i} AS (SELECT t, node, n, s, CASE WHEN g > 0 THEN g END AS g, f, b, es[b + 1] AS cut FROM gains{i} "
+            "QUALIFY ROW_NUMBER() OVER (PARTITION BY t, node ORDER BY CASE WHEN g > 0 THEN g ELSE 0 END DESC, f, b) = 1)",
+            f"at{i + 1} AS (SELECT a.engine_id, a.cycle, a.rul, a.t, a.w, 2 * a.node + (c.b > s.b)::INT AS node FROM at{i} a JOIN best{i} s USING (t, node) "
+            "JOIN coded c ON c.engine_id = a.engine_id AND c.cycle = a.cycle AND c.f = s.f WHERE s.g IS NOT NULL)",
+            f"test{i + 1} AS (SELECT a.engine_id, a.cycle, a.rul, a.t, CASE WHEN s.g IS NULL THEN a.node ELSE 2 * a.node + (c.b > s.b)::INT END AS node FROM test{i} a "
+            f"LEFT JOIN best{i} s USING (t, node) LEFT JOIN coded c ON c.engine_id = a.engine_id AND c.cycle = a.cycle AND c.f = s.f)",
+        ]
+    nodes = " UNION ALL ".join([f"SELECT t, node, n, s / n AS mean, CASE WHEN g IS NOT NULL THEN f END AS f, CASE WHEN g IS NOT NULL THEN cut END AS cut, g FROM best{i}" for i in range(_DEPTH)]
+                               + [f"SELECT t, node, CAST(SUM(w) AS DOUBLE), CAST(SUM(w * rul) AS DOUBLE) / SUM(w), NULL, NULL, NULL FROM at{_DEPTH} GROUP BY t, node"])
+    out.append(f"nodes AS ({nodes})")
+    each = " + ".join(f"MAX(CASE WHEN p.t = {t} THEN mean END)" for t in range(_TREES))
+    out.append(f"preds AS (SELECT p.engine_id, p.cycle, p.rul, ({each}) / {_TREES} AS p FROM test{_DEPTH} p JOIN nodes USING (t, node) GROUP BY ALL)")
+    return out
+
+
+def _forest_sql(body: str) -> str:
+    return with_li(body, ",\n".join([feature_cte("li"), _CC_CTE, _SPLIT_CTE, *_forest_ctes()]))
+
+
+def _checked_forest(spark, sf_dir):
+    """A small seeded forest over the published (rounded) features: (forest, test rows)."""
+    rows = materialize(rounded(ml.complete_cases(li_features(spark, sf_dir))), "model-rows")
+    train, test = ml.grouped_holdout(rows)
+    fitted = hist.fit_forest(train, ml.model_feature_columns(rows), trees=_TREES, depth=_DEPTH, bins=_BINS, least_rows=_LEAST, seed=_SEED)
+    return fitted, test
+
+
+@register("forest_nodes", _forest_sql(
+    f"SELECT CAST(t AS INT) AS tree, CAST(node AS INT) AS node, CAST(n AS BIGINT) AS n, {r6('mean', 'mean')}, "
+    f"[{', '.join(repr(c) for c in _MODEL_FEATURES)}][f + 1] AS feature, {r6('cut', 'threshold')}, {r6('g', 'gain')} FROM nodes"))
+def q_forest_nodes(spark, sf_dir):
+    """Every node of the forest: rows, mean label, split and its gain."""
+    return rounded(_checked_forest(spark, sf_dir)[0].table(spark))
+
+
+@register("rf_predict", _forest_sql(f"SELECT engine_id, cycle, rul, {r6('p', 'prediction')} FROM preds"))
 def q_rf_predict(spark, sf_dir):
-    """Every row of the held-out engines has a prediction within the labels seen."""
-    train, scored = _forest_test_rows(spark, sf_dir)
-    seen = train.agg(F.min("rul").alias("lo"), F.max("rul").alias("hi")).first()
-    return scored.select("engine_id", "cycle", "rul", F.col("prediction").between(seen["lo"], seen["hi"]).alias("in_range"))
+    """The forest's prediction for every row of the held-out engines."""
+    fitted, test = _checked_forest(spark, sf_dir)
+    return rounded(hist.predict_forest(fitted, test.select("engine_id", "cycle", "rul", *fitted.features)).select("engine_id", "cycle", "rul", "prediction"))
 
 
-@register("rf_metrics", with_li(
-    "SELECT COUNT(*) AS n_test, COUNT(DISTINCT engine_id) AS engines, TRUE AS consistent FROM cc JOIN sp USING (engine_id) "
-    "WHERE NOT is_train", feature_cte("li") + ",\n" + _CC_CTE + ",\n" + _SPLIT_CTE))
+@register("rf_metrics", _forest_sql(
+    f"SELECT {r6('AVG(ABS(p - rul))', 'mae')}, {r6('SQRT(AVG((p - rul) * (p - rul)))', 'rmse')}, "
+    + r6("1 - SUM((p - rul) * (p - rul)) / (VAR_POP(rul) * COUNT(*))", "r2") + ", COUNT(*)::BIGINT AS n_test FROM preds"))
 def q_rf_metrics(spark, sf_dir):
-    """Metrics of the forest, held against each other: 0 <= MAE <= RMSE, and
-    R2 is 1 - RMSE^2 over the labels' variance."""
-    _, scored = _forest_test_rows(spark, sf_dir)
-    scored = materialize(scored.select("engine_id", "rul", "prediction"), "scored")
-    m = ml.regression_metrics(scored).first()
-    spread = scored.agg(F.var_pop("rul").alias("v"), F.countDistinct("engine_id").alias("e")).first()
-    agree = 0 <= m["mae"] <= m["rmse"] and abs(m["r2"] - (1 - m["rmse"] ** 2 / spread["v"])) < 1e-9
-    return spark.createDataFrame([(m["n_test"], spread["e"], bool(agree))], "n_test bigint, engines bigint, consistent boolean")
+    """MAE, RMSE and R2 of the forest on the held-out engines."""
+    fitted, test = _checked_forest(spark, sf_dir)
+    return rounded(ml.regression_metrics(hist.predict_forest(fitted, test)))
+
+
+@register("rf_large")
+def q_rf_large(spark, sf_dir):
+    """Metrics of MLlib's forest of 100 trees and depth 12 on the same engines
+    (its random streams are beyond SQL; tests hold it against the other)."""
+    cc = ml.complete_cases(li_features(spark, sf_dir))
+    train, test = ml.grouped_holdout(cc)
+    model = ml.fit_random_forest(train, ml.model_feature_columns(cc))
+    return rounded(ml.regression_metrics(ml.predict(model, test)))
 
 
 # ------------------------------------------------------------------ job (JOB)

@@ -10,6 +10,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,6 +60,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the session's Python workers this package, as ``--py-files`` would:
+    the driver serves a zip of its sources to every executor, once a session."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="py-files-")) / f"{root.name}.zip"
+    with zipfile.ZipFile(target, "w") as z:
+        for path in sorted(root.rglob("*.py")):
+            z.write(path, path.relative_to(root.parent))
+    context.addPyFile(str(target))
+    _shipped.add(context.applicationId)
+
+
 _scratch: dict[str, list[str]] = {}
 
 

@@ -140,6 +140,28 @@ def dirty_trajectories(spark: SparkSession, sf_dir: str, keep_line: bool = False
     return out if keep_line else out.drop("_line")
 
 
+def fleet_trajectories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLEET: three runs in one table, whose engine ids clash.
+
+    FD001/train is LI, FD002/train is EV, FD002/test is EV without the rows of
+    cycles above 20 + engine_id % 37.
+    """
+    li, ev = lineitem_trajectories(spark, sf_dir), event_trajectories(spark, sf_dir)
+
+    def run(rows: DataFrame, variant: str, split: str) -> DataFrame:
+        return rows.select(F.lit(variant).alias("variant"), F.lit(split).alias("split"), *RAW_COLUMNS)
+
+    cut = ev.filter(F.col(CYCLE) <= F.lit(20) + F.col(ENGINE) % 37)
+    return run(li, "FD001", "train").unionByName(run(ev, "FD002", "train")).unionByName(run(cut, "FD002", "test"))
+
+
+def _fleet_sql() -> str:
+    columns = ", ".join(RAW_COLUMNS)
+    return f"""SELECT 'FD001' AS variant, 'train' AS split, {columns} FROM ({_li_sql()}) l
+UNION ALL SELECT 'FD002', 'train', {columns} FROM ({_ev_sql()}) e
+UNION ALL SELECT 'FD002', 'test', {columns} FROM ({_ev_sql()}) t WHERE cycle <= 20 + engine_id % 37"""
+
+
 def adapter_sql(name: str) -> str:
     """The same adapters in DuckDB SQL (used by the oracle twins)."""
     return _ADAPTER_SQL[name]
@@ -215,6 +237,7 @@ _ADAPTER_SQL = {
     "ev": _ev_sql(),
     "dirty": _dirty_sql(),
     "dirty_line": _dirty_sql(keep_line=True),
+    "fleet": _fleet_sql(),
 }
 
 
