@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from assetlife.config import CYCLE, ENGINE, RAW_COLUMNS, SENSOR_COLS, SETTING_COLS, VARIANCE_EPSILON
 from assetlife.functions import inf_to_null, present, to_bigint_id, to_double
+from assetlife.operators.quality import repeated_digests, split_by_digest
 from assetlife.operators.sequence import LINE_COLUMNS, run_columns
 from assetlife.session import materialize
 
@@ -22,14 +23,20 @@ from assetlife.session import materialize
 def drop_exact_duplicates(df: DataFrame) -> DataFrame:
     """Keep one copy of rows equal on every column (CL1); NULL equals NULL.
 
-    Where the frame carries line positions they are not compared, and the
-    first line's are kept."""
+    Digests of the rows are counted first; rows whose digest is theirs alone are
+    never shuffled, the others are compared as a whole.  Where the frame carries
+    line positions they are not compared, and the first line's are kept.
+    """
     lines = [c for c in LINE_COLUMNS if c in df.columns]
-    if not lines:
-        return df.dropDuplicates()
     data = [c for c in df.columns if c not in lines]
-    first = df.groupBy(*data).agg(F.min(F.struct(*lines)).alias("_line"))
-    return first.select(*[F.col("_line")[c].alias(c) if c in lines else F.col(c) for c in df.columns])
+    again, _ = repeated_digests(df, data)
+    if again.isEmpty():
+        return df
+    alone, suspects = split_by_digest(df, data, again)
+    if not lines:
+        return alone.unionByName(suspects.dropDuplicates())
+    first = suspects.groupBy(*data).agg(F.min(F.struct(*lines)).alias("_line"))
+    return alone.unionByName(first.select(*[F.col("_line")[c].alias(c) if c in lines else F.col(c) for c in df.columns]))
 
 
 def enforce_numeric_types(df: DataFrame, columns=None) -> DataFrame:

@@ -604,6 +604,19 @@ def q_report_default_paths(spark, sf_dir):
 _cte, _body = report_metrics_sql(adapter_sql("dirty"), list(RAW_COLUMNS), {"engine_id", "cycle"}, list(RAW_COLUMNS))
 
 
+_lack, _odd_columns = "sensor_21", [c for c in RAW_COLUMNS if c != "sensor_21"]
+_cte_o, _body_o = report_metrics_sql(f"SELECT * EXCLUDE ({_lack}) FROM ({adapter_sql('dirty')}) x", _odd_columns, {"engine_id", "cycle", "sensor_07"}, list(RAW_COLUMNS))
+_body_o = (_body_o.replace("SELECT 'check:numeric_types_valid', (1)::BIGINT", "SELECT 'check:numeric_types_valid', (0)::BIGINT")
+           + "\nUNION ALL\nSELECT 'critical:non_numeric_columns:[''sensor_07'']', 1::BIGINT")
+
+
+@register("quality_report_schema", f"WITH {_cte_o}\n{_body_o}")
+def q_quality_report_schema(spark, sf_dir):
+    """DQ4, DQ5: a frame that lacks a column and holds another as text."""
+    odd = dirty(spark, sf_dir).drop(_lack).withColumn("sensor_07", F.col("sensor_07").cast("string"))
+    return dq.report_metrics(dq.report_frame(odd, stage="raw"))
+
+
 @register("quality_report", f"WITH {_cte}\n{_body}")
 def q_quality_report(spark, sf_dir):
     return dq.report_metrics(dq.report_frame(dirty(spark, sf_dir), stage="raw"))
@@ -1110,6 +1123,7 @@ def q_rf_large(spark, sf_dir):
 
 # ------------------------------------------------------------------ job (JOB)
 from assetlife.plans import job as batch  # noqa: E402
+from assetlife.plans.publish import manifest, published  # noqa: E402
 
 _KEEP = "cycle % 13 NOT IN (0, 2, 3)"
 _JOB_SQL = f"""WITH li AS ({adapter_sql('li')}),
@@ -1145,17 +1159,16 @@ SELECT * FROM (VALUES
 ) v(stage, metric, value)"""
 
 
-def _job_rows(spark, raw: str, split: str = "train"):
-    """(stage, metric, value) of a run, read back from what it wrote."""
+def _job_rows(spark, raw: str, split: str = "train", pairs=None):
+    """(stage, metric, value) of a run, read back from what it published."""
     out = scratch_path(spark, "job")
-    batch.run_job(spark, raw, out, split=split)
+    batch.run_job(spark, raw, out, split=split, pairs=pairs)
     told = batch.summary_rows(spark, batch.read_summary(spark, out))
-    tables = {f"sql_results/{m}": spark.read.option("header", True).csv(f"{out}/sql_results/{m}") for m in ("engine_summary", "sensor_analysis", "window_analysis")}
-    tables["sensor_features"] = spark.read.parquet(f"{out}/sensor_features.parquet")
-    rows = [(f"written.{name.split('/')[-1]}", "rows", float(df.count())) for name, df in tables.items()]
+    names = ["engine_summary", "sensor_analysis", "window_analysis", "sensor_features"]
+    rows = [(f"written.{name}", "rows", float(published(spark, out, name).count())) for name in names]
     for name in ("data_quality_report_raw", "data_quality_report"):
-        report = spark.read.schema(dq._report_schema()).json(f"{out}/{name}.json").first()
-        rows.append((f"written.{name}", "rows", float(report["row_count"])))
+        path = manifest(spark, out)["tables"][name]["path"]
+        rows.append((f"written.{name}", "rows", float(spark.read.schema(dq._report_schema()).json(path).first()["row_count"])))
     both = told.unionByName(spark.createDataFrame(rows, "stage string, metric string, value double"))
     return both.select("stage", "metric", round6(F.col("value")).alias("value"))
 
@@ -1181,6 +1194,32 @@ def q_job_test(spark, sf_dir):
     return _job_rows(spark, raw, split="test")
 
 
+_OFFICIAL = "(engine_id % 37 + 10)"
+_JOB_FLEET_SQL = f"""WITH li AS ({adapter_sql('li')}),
+one AS (SELECT 'FD001' AS variant, 'train' AS split, * FROM li WHERE {_KEEP}),
+two AS (SELECT 'FD002' AS variant, 'test' AS split, * EXCLUDE (mc) FROM (SELECT *, MAX(cycle) OVER (PARTITION BY engine_id) AS mc FROM li) x
+        WHERE mc - cycle >= engine_id % 37 + 10 AND {_KEEP}),
+runs AS (SELECT * FROM one UNION ALL SELECT * FROM two),
+feat AS (SELECT *, MAX(cycle) OVER (PARTITION BY variant, split, engine_id) AS last FROM runs),
+lab AS (SELECT *, CAST(last - cycle AS DOUBLE) + CASE WHEN split = 'test' THEN {_OFFICIAL} ELSE 0 END AS rul FROM feat),
+per AS (SELECT variant, split, engine_id, COUNT(*) AS n, MIN(cycle) AS f, MAX(cycle) AS l, SUM(sensor_02) AS s02, SUM(rul) AS sr FROM lab GROUP BY ALL)
+SELECT variant, split, CAST(2 - GROUPING(variant) - GROUPING(split) AS INT) AS level, COUNT(*) AS n_engines, CAST(SUM(n) AS BIGINT) AS n_rows,
+       MIN(f) AS first_cycle, MAX(l) AS last_cycle, {r6('AVG(n)', 'mean_cycles')}, {r6('SUM(s02) / SUM(n)', 'avg_sensor_02')}, {r6('SUM(sr) / SUM(n)', 'avg_rul')}
+FROM per GROUP BY GROUPING SETS ((variant, split), (variant), ())"""
+
+
+@register("job_fleet", _JOB_FLEET_SQL)
+def q_job_fleet(spark, sf_dir):
+    """The job over two runs with the same engine ids: the published rollup of
+    its feature table (a training run, and a test run with official targets)."""
+    rows = li(spark, sf_dir)
+    raw = _raw_dir_with(spark, sf_dir, {"CMAPSSData/train_FD001.txt": rows, "CMAPSSData/test_FD002.txt": _test_split(rows)})
+    _write_rul_file(spark, rows, f"{raw}/CMAPSSData/RUL_FD002.txt")
+    out = scratch_path(spark, "job")
+    batch.run_job(spark, raw, out, pairs=[("FD001", "train"), ("FD002", "test")])
+    return rounded(marts.fleet_rollup(published(spark, out, "sensor_features")).drop("avg_sensor_04", "avg_sensor_11"))
+
+
 # ------------------------------------------------------------ streaming ingest
 from assetlife.streaming import ingest_to_parquet  # noqa: E402
 

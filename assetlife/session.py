@@ -13,7 +13,7 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -119,3 +119,23 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def write_observed(df: DataFrame, path: str, aggregates: list[Column], partition_by: list[str] | None = None) -> dict:
+    """Write a Parquet table and return the aggregates of its rows, taken while
+    they were written: no second pass reads them.
+
+    The aggregates are observed in the tasks that write, whose results Spark
+    counts once each, also when a task is run again.
+    """
+    seen = Observation()
+    writer = df.observe(seen, *aggregates).write.mode("overwrite")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    return dict(seen.get)
+
+
+def materialize_observed(df: DataFrame, aggregates: list[Column], name: str = "stage") -> tuple[DataFrame, dict]:
+    """``materialize`` with ``write_observed``."""
+    path = scratch_path(df.sparkSession, name)
+    metrics = write_observed(df, path, aggregates)
+    return df.sparkSession.read.parquet(path), metrics

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> str:
@@ -14,24 +14,16 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
     return path
 
 
-def write_csv(df: DataFrame, path: str) -> str:
-    """One CSV dataset with a header; NULL becomes an empty field."""
-    df.write.mode("overwrite").option("header", True).option("nullValue", "").option("emptyValue", "").csv(path)
-    return path
+def write_csv(df: DataFrame, path: str, aggregates: list[Column] | None = None):
+    """One CSV dataset with a header; NULL becomes an empty field.  Returns the
+    path, or the aggregates of the rows, observed while they were written."""
+    seen = Observation()
+    out = df.observe(seen, *aggregates) if aggregates else df
+    out.write.mode("overwrite").option("header", True).option("nullValue", "").option("emptyValue", "").csv(path)
+    return dict(seen.get) if aggregates else path
 
 
 def write_json(df: DataFrame, path: str) -> str:
     """A small (one-row) report as JSON lines, written as a single part."""
     df.coalesce(1).write.mode("overwrite").json(path)
     return path
-
-
-def move(spark, source: str, target: str) -> str:
-    """Rename a written table, replacing what is at ``target``."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    a, b = jvm.org.apache.hadoop.fs.Path(source), jvm.org.apache.hadoop.fs.Path(target)
-    fs = b.getFileSystem(conf)
-    fs.delete(b, True)
-    if not fs.rename(a, b):
-        raise OSError(f"cannot move {source} to {target}")
-    return target

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from assetlife.config import CYCLE, DEFAULT_SPLIT, DEFAULT_VARIANT, ENGINE, RAW_COLUMNS, SEARCH_SUBDIRS
 from assetlife.functions import string_to_double
 from assetlife.operators.segments import HEAVY_KEY_ROWS, sequence
+from assetlife.session import materialize_observed
 
 
 class DatasetNotFoundError(FileNotFoundError):
@@ -89,7 +90,7 @@ def _holds_something(value: str) -> Column:
     return F.col(value).rlike(r"\S")
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
+def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Text lines with their physical position keys: file, split start, row id."""
     return spark.read.text(path).select(
         "value",
@@ -143,13 +144,17 @@ def parse_trajectory_lines(lines: DataFrame, keep: list[str] | None = None, on_m
     return body.select(*keep, *cols)
 
 
-def present_columns(parsed: DataFrame) -> list[str]:
-    """Columns holding at least one value (one aggregate pass); an empty
-    input keeps all columns (the empty frame is reported by the quality gate)."""
-    row = parsed.agg(F.count(F.lit(1)).alias("__n"), *[F.count(c).alias(c) for c in RAW_COLUMNS]).first()
-    if not row["__n"]:
-        return list(RAW_COLUMNS)
-    return [c for c in RAW_COLUMNS if row[c] > 0]
+def check_columns_present(rows: int, missing: dict[str, int]) -> None:
+    """A schema column without any value raises ``ValueError``, as a column that
+    is not there would; an empty input passes (the quality gate reports it)."""
+    absent = [c for c in RAW_COLUMNS if rows and missing.get(c) == rows]
+    if absent:
+        raise ValueError(f"no line holds a value for: {', '.join(absent)}")
+
+
+def missing_aggregates() -> list[Column]:
+    """Rows and missing values of every schema column, to be observed or aggregated."""
+    return [F.count(F.lit(1)).alias("rows"), *[F.count_if(F.col(c).isNull()).alias(f"miss__{c}") for c in RAW_COLUMNS]]
 
 
 def load_dataset_variant(spark: SparkSession, variant: str = DEFAULT_VARIANT, split: str = DEFAULT_SPLIT,
@@ -157,8 +162,10 @@ def load_dataset_variant(spark: SparkSession, variant: str = DEFAULT_VARIANT, sp
                          check_columns: bool = True) -> DataFrame:
     """Load one variant/split as the typed 26-column frame (SRC2-SRC5).
 
-    ``check_columns`` runs one aggregate: a schema column without any value
-    raises ``ValueError`` (as a missing column would).  ``provenance`` adds
+    ``check_columns`` writes the parsed rows to the checkpoint folder, where the
+    values of every column are counted on the way, and reads them from there: the
+    text is parsed once.  A schema column without any value raises ``ValueError``
+    (as a missing column would).  ``provenance`` adds
     variant, split and source_path; ``line_order`` keeps ``_file, _block,
     _row`` for physical-order checks and stable tie-breaks.
     """
@@ -167,10 +174,8 @@ def load_dataset_variant(spark: SparkSession, variant: str = DEFAULT_VARIANT, sp
     keep = ["_file", "_block", "_row"] if line_order else []
     parsed = parse_trajectory_lines(lines, keep=keep + (["_file"] if provenance and not line_order else []))
     if check_columns:
-        have = set(present_columns(parsed))
-        missing = [c for c in RAW_COLUMNS if c not in have]
-        if missing:
-            raise ValueError(f"Missing expected columns after parse: {missing}")
+        parsed, seen = materialize_observed(parsed, missing_aggregates(), "parsed")
+        check_columns_present(seen["rows"], {c: seen[f"miss__{c}"] for c in RAW_COLUMNS})
     if provenance:
         parsed = parsed.withColumns({"variant": F.lit(variant), "split": F.lit(split), "source_path": F.col("_file")})
         if not line_order:
@@ -185,19 +190,20 @@ def load_raw_data(spark: SparkSession, variant: str = DEFAULT_VARIANT, split: st
 
 
 def load_variants(spark: SparkSession, raw_dir: str, variants: list[str] | None = None,
-                  splits: list[str] | None = None, pairs: list[tuple[str, str]] | None = None) -> DataFrame:
+                  splits: list[str] | None = None, pairs: list[tuple[str, str]] | None = None, line_order: bool = False) -> DataFrame:
     """Several variants/splits in one frame keyed by (variant, split, engine_id):
     one text scan over all located files; provenance from the file name (SRC5).
-    ``pairs`` lists (variant, split) explicitly, else all combinations."""
+    ``pairs`` lists (variant, split) explicitly, else all combinations;
+    ``line_order`` keeps ``_file, _block, _row``."""
     pairs = pairs or [(v, s) for v in (variants or [DEFAULT_VARIANT]) for s in (splits or [DEFAULT_SPLIT])]
-    paths = [locate_variant_file(spark, v, s, raw_dir) for v, s in pairs]
-    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("source_path"))
-    parsed = parse_trajectory_lines(lines, keep=["source_path"])
-    name = F.regexp_extract(F.col("source_path"), r"(train|test|RUL)_(FD\d+)\.txt", 0)
+    lines = read_lines(spark, [locate_variant_file(spark, v, s, raw_dir) for v, s in pairs])
+    places = ["_file", "_block", "_row"]
+    parsed = parse_trajectory_lines(lines, keep=places)
+    name = F.regexp_extract(F.col("_file"), r"(train|test|RUL)_(FD\d+)\.txt", 0)
     return parsed.select(
         F.regexp_extract(name, r"_(FD\d+)\.txt$", 1).alias("variant"),
         F.regexp_extract(name, r"^(train|test|RUL)_", 1).alias("split"),
-        *RAW_COLUMNS, "source_path")
+        *RAW_COLUMNS, F.col("_file").alias("source_path"), *(places if line_order else []))
 
 
 def load_rul_targets(spark: SparkSession, variant: str = DEFAULT_VARIANT, raw_dir: str | None = None,
@@ -214,7 +220,7 @@ def load_rul_targets(spark: SparkSession, variant: str = DEFAULT_VARIANT, raw_di
 def load_features_table(spark: SparkSession, parquet_path: str, table_name: str = "sensor_features") -> DataFrame:
     """Register a Parquet feature table as a temp view (SRC9)."""
     if not path_exists(spark, parquet_path):
-        raise FileNotFoundError(f"Parquet dataset not found: {parquet_path}")
+        raise FileNotFoundError(f"there is no feature table at {parquet_path}")
     df = spark.read.parquet(parquet_path)
     df.createOrReplaceTempView(table_name)
     return df
