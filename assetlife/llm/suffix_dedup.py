@@ -5,8 +5,10 @@ Every string of ``length`` bytes that also starts earlier in the corpus
 
 1. *Segments.*  The smallest hash among the ``ANCHOR``-byte strings inside a
    window of ``length`` bytes is a function of the window alone, so equal
-   windows have equal minima.  Maximal runs of windows with one minimum form a
-   segment; its minimum is its bin.  Segments cover every window once.
+   windows have equal minima.  Runs of windows with one minimum, cut where they
+   get longer than ``RUN`` windows (as they do in periodic text, whose pieces are
+   then copies of each other), form a segment; its minimum is its bin.  Segments
+   cover every window once.
 2. *Settling.*  Segments with equal content (64-bit bin and content digests)
    are collapsed to the earliest: first inside each step of a task, before the
    shuffle, then in a stream sorted by bin.  All windows of a later copy start
@@ -20,8 +22,10 @@ Every string of ``length`` bytes that also starts earlier in the corpus
 4. *Cutting.*  Marked spans are merged per document and cut out.
 
 A bin with more than ``HOT`` distinct contents (a passage met in very many
-contexts) is split: its windows are dealt by their whole content, so no bin
-grows with the number of documents that share a passage.
+contexts) is split: its windows are dealt by their whole content.  Equal windows
+then come in the order of their documents, and all but the first are marked as
+they pass, so what a task holds does not grow with the number of documents that
+share a passage.
 """
 
 from __future__ import annotations
@@ -41,8 +45,10 @@ from assetlife.session import materialize
 ANCHOR = 32
 #: Distinct contents beyond which a bin is split by window.
 HOT = 4096
-#: Bytes of segments that one suffix array holds (whole bins; a bin is bounded by HOT).
-ARRAY_BYTES = 2 << 20
+#: Windows of a segment.
+RUN = 1 << 11
+#: Bytes of segments that one suffix array holds, and a bin more (HOT bounds it).
+ARRAY_BYTES = 1 << 20
 _SLICE = 1 << 15
 _LOW = 18
 
@@ -89,7 +95,11 @@ def window_segments(data: np.ndarray, ends: np.ndarray, length: int) -> tuple[np
         bins = least >> np.uint64(_LOW)
         cut = np.flatnonzero((bins[1:] != bins[:-1]) | (p[1:] != p[:-1] + 1) | (text[1:] != text[:-1])) + 1
         first = np.concatenate(([0], cut))
-        last = np.concatenate((cut, [len(p)])) - 1
+        pieces = -(-np.diff(np.append(first, len(p))) // RUN)
+        if len(pieces) < pieces.sum():
+            turn = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+            first = np.repeat(first, pieces) + turn * RUN
+        last = np.append(first[1:], len(p)) - 1
         found.append((text[first], p[first], last - first + 1, bins[first].astype(np.int64), (least[first] & low) != (least[last] & low)))
     if not found:
         return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.int64, bool))
@@ -328,29 +338,48 @@ def _extract(length: int):
 
 
 def _suffix_arrays(length: int):
-    """Rows sorted by bin -> marked spans; whole bins, ARRAY_BYTES at a time."""
+    """Rows sorted by (bin, doc, start) -> marked spans; whole bins, ARRAY_BYTES
+    at a time.  Of a bin that is longer, equal windows are marked as they pass."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seg: list[bytes] = []
         bins, docs, starts = (np.zeros(0, np.int64) for _ in range(3))
 
+        def marked(doc, a, b):
+            return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(a), pa.array(b)], names=["doc", "start", "end"])
+
         def flush(k: int):
             nonlocal seg, bins, docs, starts
-            doc, a, b = repeated_windows(seg[:k], docs[:k], starts[:k], bins[:k], length)
+            out = marked(*repeated_windows(seg[:k], docs[:k], starts[:k], bins[:k], length))
             seg, bins, docs, starts = seg[k:], bins[k:], docs[k:], starts[k:]
-            return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(a), pa.array(b)], names=["doc", "start", "end"])
+            return out
+
+        def pass_copies():
+            """Mark windows that are held already; their first stays."""
+            nonlocal seg, bins, docs, starts
+            first: dict[bytes, int] = {}
+            head = np.fromiter((first.setdefault(s, i) if len(s) == length else i for i, s in enumerate(seg)), np.int64, len(seg))
+            own = head == np.arange(len(seg))
+            copy = ~own & ((docs != docs[head]) | (starts != starts[head]))
+            out = marked(docs[copy], starts[copy], starts[copy] + length)
+            seg, bins, docs, starts = [s for s, k in zip(seg, own.tolist()) if k], bins[own], docs[own], starts[own]
+            return out
 
         held = 0
         for batch in batches:
-            more = batch.column(1).to_pylist()
             col = [np.asarray(batch.column(i)) for i in (0, 2, 3)]
-            for a in range(0, len(more), 2048):
-                seg += more[a:a + 2048]
-                held += sum(map(len, more[a:a + 2048]))
+            for a in range(0, batch.num_rows, 2048):
+                more = batch.column(1).slice(a, 2048).to_pylist()
+                seg += more
+                held += sum(map(len, more))
                 bins, docs, starts = (np.concatenate((x, c[a:a + 2048])) for x, c in zip((bins, docs, starts), col))
-                if held >= ARRAY_BYTES and (k := int(np.searchsorted(bins, bins[-1]))):
+                if held < ARRAY_BYTES:
+                    continue
+                if k := int(np.searchsorted(bins, bins[-1])):
                     yield flush(k)
-                    held = sum(map(len, seg))
+                else:
+                    yield pass_copies()
+                held = sum(map(len, seg))
         if seg:
             yield flush(len(seg))
 
@@ -421,7 +450,7 @@ def cut_repeats(docs: DataFrame, length: int = 100, key: str = "doc_id", text: s
     wanted = settled.where(F.col("what") != _DROP).groupBy("doc").agg(F.collect_list(F.struct("start", "n", "bin", "what")).alias("wants"))
     texts = whole.dropDuplicates(["doc"]) if ids is not None else whole
     cut = texts.join(wanted, "doc").select("doc", "text", "wants").mapInArrow(_extract(length), "bin bigint, seg binary, doc bigint, start bigint")
-    marked = cut.repartition(n, "bin").sortWithinPartitions("bin").mapInArrow(_suffix_arrays(length), "doc bigint, start bigint, end bigint")
+    marked = cut.repartition(n, "bin").sortWithinPartitions("bin", "doc", "start").mapInArrow(_suffix_arrays(length), "doc bigint, start bigint, end bigint")
     copies = settled.where(F.col("what") == _DROP).select("doc", "start", (F.col("start") + F.col("n") + F.lit(length - 1)).alias("end"))
     spans = marked.unionAll(copies).groupBy("doc").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     result = whole.join(spans, "doc", "left").select("doc", "text", "spans").mapInArrow(

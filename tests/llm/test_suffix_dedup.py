@@ -100,3 +100,24 @@ def test_long_text(spark):
     body = "".join(rng.choice("abcdefghijklmnop") for _ in range(300_000))
     rows = [(1, body), (2, body[1000:200_000] + "!" + body[:500])]
     assert run(spark, rows, 100) == brute(rows, 100)
+
+
+def test_periodic_texts(spark):
+    """One character, periods of two and of seven, megabytes of one character."""
+    rows = [(1, "a" * 9000), (2, "ab" * 6000), (3, "x" + "abcdefg" * 1200 + "y"), (4, "ba" * 300 + "a" * 500), (5, "bcdefga" * 90)]
+    assert run(spark, rows, 100) == brute(rows, 100)
+    got = run(spark, [(1, "a" * 3_000_000), (2, "ab" * 1_000_000), (3, "b" + "a" * 99 + "!")], 100)
+    assert [(n, len(kept), len(spans)) for _, n, kept, spans in got] == [(3_000_000, 1, 1), (2_000_000, 2, 1), (101, 101, 0)]
+
+
+@pytest.mark.parametrize("hot, most", [(1, 300), (3, 1000), (4096, 100)])
+def test_small_arrays(spark, monkeypatch, hot, most):
+    """Bins beyond an array's bytes: equal windows are marked as they pass."""
+    monkeypatch.setattr(suffix_dedup, "HOT", hot)
+    monkeypatch.setattr(suffix_dedup, "ARRAY_BYTES", most)
+    monkeypatch.setattr(suffix_dedup, "RUN", 16)
+    rng = random.Random(6)
+    shared = "".join(rng.choice("abcdefgh") for _ in range(180))
+    rows = [(i, "".join(rng.choice("ijklm") for _ in range(rng.randint(0, 60))) + shared[rng.randint(0, 30):] * rng.randint(1, 2)) for i in range(60)]
+    rows += [(100, "ab" * 200), (101, "a" * 350), (102, shared)]
+    assert run(spark, rows, 100) == brute(rows, 100)
