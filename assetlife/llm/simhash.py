@@ -15,6 +15,8 @@ groups of copies of any size cost one index entry.
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -54,17 +56,19 @@ def fingerprint_of(text: bytes, shingle: int = 4, seed: int = 42) -> int:
     return int(bits[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4, seed: int = 42, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, fp long): one row per input row; null text counts as empty."""
+def fingerprints(docs: DataFrame, shingle: int = 4, seed: int = 42, key: str = "doc_id", text: str = "text", digest: bool = False) -> DataFrame:
+    """(doc_id, fp long): one row per input row; null text counts as empty.
+    ``digest`` adds the text's SHA-256."""
 
     def make():
         def work(keys, texts):
             fps = np.array([fingerprint_of(t, shingle, seed) for t in texts], np.uint64)
-            return [pa.array(keys[0], pa.int64()), pa.array(fps.view(np.int64))]
+            own = [pa.array([hashlib.sha256(t).digest() for t in texts], pa.binary())] if digest else []
+            return [pa.array(keys[0], pa.int64()), pa.array(fps.view(np.int64)), *own]
 
         return work
 
-    return map_texts(docs.withColumn(key, F.col(key).cast("long")), [key], make, "doc_id bigint, fp bigint", text)
+    return map_texts(docs.withColumn(key, F.col(key).cast("long")), [key], make, "doc_id bigint, fp bigint" + (", digest binary" if digest else ""), text)
 
 
 def _segments(max_bits: int) -> list[tuple[int, int]]:
@@ -123,9 +127,34 @@ def simhash_components(docs: DataFrame, shingle: int = 4, max_bits: int = 4, see
     return out.select("doc_id", "fp", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
 
 
-def drop_near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, seed: int = 42) -> DataFrame:
-    """``docs`` without the rows whose doc_id is not the smallest of its
-    group.  Rows without a doc_id are kept; columns stay as they are."""
-    members = simhash_components(docs, shingle, max_bits, seed)
-    gone = members.where("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+def drop_near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, seed: int = 42, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each group of ``docs``, as it is: the one with the smallest id
+    (null last), of equal ids the one whose text has the smallest SHA-256, and any
+    one of the rows that share id and text.
+
+    Groups are those of linked fingerprints, whatever the rows' ids: rows without
+    an id, and rows that repeat one, are members like any other.  Null and empty
+    texts are one group.  An empty table gives an empty one.  Columns stay as
+    they are; names that begin with ``__near_`` are reserved.
+    """
+    rows = materialize(fingerprints(docs, shingle, seed, key, text, digest=True), "simhash")
+    heads = materialize(rows.select("fp").distinct().withColumn("id", F.col("fp")), "simhash-heads")  # a fingerprint is its own node
+    found = components(fingerprint_links(heads, max_bits).select(F.col("a").alias("u"), F.col("b").alias("v")))
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")
+    grouped = rows.join(found, rows["fp"] == found["node"], "left").select(F.coalesce("component", "fp").alias("group"), place.alias("place"))
+    grouped = materialize(grouped.groupBy("group", "place").agg(F.count("*").alias("n")), "simhash-groups")
+    first = grouped.groupBy("group").agg(F.min("place").alias("first"))
+    held = grouped.join(first, "group").select(F.col("place.doc_id").alias("__near_id"), F.col("place.digest").alias("__near_digest"), "n", (F.col("place") == F.col("first")).alias("stays"))
+    held = materialize(held, "simhash-held")
+    named = docs.withColumn("__near_sha", F.unhex(F.sha2(F.coalesce(F.col(text).cast("string"), F.lit("")), 256)))
+
+    def among(df: DataFrame, some: DataFrame, how: str) -> DataFrame:
+        return df.join(some, df[key].cast("long").eqNullSafe(some["__near_id"]) & (df["__near_sha"] == some["__near_digest"]), how)
+
+    names = ["__near_id", "__near_digest"]
+    kept = among(named, held.where(~F.col("stays")).select(*names), "left_anti")
+    again = held.where(F.col("stays") & (F.col("n") > 1)).select(*names)
+    if not again.isEmpty():
+        copies = among(kept, again, "left_semi").dropDuplicates([key, "__near_sha"])
+        kept = among(kept, again, "left_anti").unionByName(copies)
+    return kept.drop("__near_sha")
