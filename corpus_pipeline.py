@@ -16,31 +16,56 @@ from assetlife.session import materialize
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier accepts."""
+    """Documents that the quality classifier accepts.
+
+    Null and empty texts and texts of any length are scored like others (whole);
+    a null id counts as held out; repeated rows share their score and go or stay
+    together; an empty table gives an empty one.
+    """
     ship(spark)
     return quality.keep_good(docs, table(spark, sf_dir, "labels"), ~held_out("doc_id"), max_per_class=4000)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the smallest id, of each SimHash group."""
+    """One row of each SimHash group: the smallest id, null last.
+
+    Rows without an id and rows that repeat one are members like any other; null
+    and empty texts are one group; of rows equal in id and text any one stays;
+    texts are read whole; an empty table gives an empty one.
+    """
     ship(spark)
     return simhash.drop_near_duplicates(docs, shingle=4, max_bits=4, seed=42)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark passage to speak of."""
+    """Documents that hold no benchmark passage to speak of.
+
+    Null and empty texts hold none and stay; repeated rows, and rows without an
+    id, are judged each by its whole text; where documents or benchmark are
+    empty, all documents stay.
+    """
     ship(spark)
     return decontam.drop_contaminated(docs, table(spark, sf_dir, "benchmark"), size=13)
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, their secrets replaced."""
+    """All documents, their secrets replaced.
+
+    Every row stays, null and empty texts as they are; n_chars follows a changed
+    text; texts are read whole, however long; repeated rows change alike; a
+    corpus too small to learn from loses nothing.
+    """
     ship(spark)
     return secret_scan.redact(docs, *secret_scan.learn(docs))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of the mix, with size, source_size, target and taken words."""
+    """Documents of the mix, with size, source_size, target and taken words.
+
+    Null, empty and blank texts are never taken and go; null sources are one
+    source; repeated rows are sampled each for themselves; columns named like
+    the four are replaced; an empty table gives an empty one.
+    """
     ship(spark)
     return mixing.mix(docs, share=1.5, max_epochs=2.0, seed=7).where("taken > 0")
 

@@ -13,12 +13,14 @@ import __spark_entry__ as entry
 from tests.conftest import SF
 
 ROWS_ONLY = {q for q in entry.queries() if re.match(r"op\d+_|pipeline$", q)}  # tested in tests/llm
+ROWS_ONLY |= {"rf_large"}  # MLlib's random streams; held against the checked forest in tests/test_forest.py
 FAST = ["zscore", "zscore_constant", "engine_sample", "delta", "rolling_std", "feature_build", "engine_summary", "sensor_analysis", "window_analysis",
         "quality_report", "clean_all", "order_check_physical", "describe", "corr_matrix", "grouped_split",
         "rul_targets", "parse_text", "coerce_numeric", "provenance", "attach_official_rul", "stream_ingest",
         "near_constant", "engine_cycle_range", "list_files", "feature_build_split", "order_check_split",
         "delta_repeated_cycles", "window_analysis_sql", "sort_by_engine_cycle", "gate_raises", "report_default_paths",
-        "boxplot_outliers", "job_test_split"]
+        "boxplot_outliers", "job_test_split", "fleet_features", "fleet_summary_sql", "fleet_analysis_sql", "fleet_window",
+        "fleet_window_sql", "fleet_rollup", "fleet_split", "quality_report_schema", "forest_nodes", "rf_predict"]
 
 
 def test_every_query_has_a_twin_or_is_rows_only():
