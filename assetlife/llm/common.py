@@ -40,6 +40,13 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of tables that are written: its cleaner
+    learns from a collection on the driver that nothing refers to them any more,
+    and none may come by itself before the next large shuffle."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def steps(texts: Iterable[bytes], limit: int = STEP_BYTES) -> Iterator[tuple[int, int]]:
     """Index ranges of consecutive texts holding about ``limit`` bytes."""
     start = size = i = 0

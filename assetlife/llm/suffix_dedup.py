@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assetlife.llm.common import map_texts
+from assetlife.llm.common import map_texts, release
 from assetlife.session import materialize
 
 #: Bytes of the strings whose hashes bin the windows (a power of two).
@@ -447,6 +447,7 @@ def cut_repeats(docs: DataFrame, length: int = 100, key: str = "doc_id", text: s
     n = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     ordered = found.repartition(n, "bin").sortWithinPartitions("bin", "content", "doc", "start")
     settled = materialize(ordered.mapInArrow(_settle, "doc bigint, start bigint, n int, bin bigint, what tinyint"), "segments")
+    release(docs.sparkSession)
     wanted = settled.where(F.col("what") != _DROP).groupBy("doc").agg(F.collect_list(F.struct("start", "n", "bin", "what")).alias("wants"))
     texts = whole.dropDuplicates(["doc"]) if ids is not None else whole
     cut = texts.join(wanted, "doc").select("doc", "text", "wants").mapInArrow(_extract(length), "bin bigint, seg binary, doc bigint, start bigint")
