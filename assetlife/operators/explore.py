@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from assetlife.config import CYCLE, ENGINE, FEATURE_SENSORS
 from assetlife.functions import present
-from assetlife.operators.stats import exact_percentiles_many, percentiles_of
+from assetlife.operators.stats import exact_percentiles_many, percentiles_of, written_columns
 from assetlife.session import materialize, ship
 
 DESCRIBE_COLS = ["count", "mean", "std", "min", "p25", "p50", "p75", "max"]
@@ -35,8 +35,8 @@ def describe(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     numeric column, one row per column (EX1)."""
     cols = columns or _numeric(df)
     spark = df.sparkSession
-    narrow = materialize(df.select(*cols), "describe")
-    qs = percentiles_of(narrow, cols, [0.25, 0.5, 0.75])
+    narrow, counts = written_columns(df, cols)
+    qs = percentiles_of(narrow, cols, [0.25, 0.5, 0.75], counts)
     quartiles = spark.createDataFrame([(c, *qs[c]) for c in cols], "column_name string, p25 double, p50 double, p75 double")
     out = quartiles.join(_moments(narrow, cols), "column_name", "left")
     return out.select("column_name", "count", "mean", "std", "min", "p25", "p50", "p75", "max")

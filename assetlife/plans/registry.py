@@ -557,6 +557,17 @@ def q_order_split(spark, sf_dir):
     return dq.engine_order_physical(dirty(spark, sf_dir, keep_line=True), ["_line"], max_rows=20)
 
 
+@register("order_check_scanned", ORACLE["order_check_physical"])
+def q_order_scanned(spark, sf_dir):
+    """The same check over text files, from one small state per engine and file split."""
+    rows = dirty(spark, sf_dir, keep_line=True)
+    raw = scratch_path(spark, "lines")
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("NaN")) for c in RAW_COLUMNS]
+    rows.repartitionByRange(6, "_line").sortWithinPartitions("_line").select(F.concat_ws(" ", *fields).alias("value")).write.text(raw)
+    lines = src.parse_trajectory_lines(src.read_lines(spark, raw), keep=["_file", "_block", "_row"])
+    return dq.engine_order_scanned(lines)
+
+
 _TIE_W = "OVER (PARTITION BY engine_id ORDER BY cycle, _line)"
 
 
