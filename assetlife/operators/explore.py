@@ -9,6 +9,7 @@ one-row-per-column) results come back to the driver.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import reduce
 
@@ -20,8 +21,8 @@ from pyspark.sql import types as T
 
 from assetlife.config import CYCLE, ENGINE, FEATURE_SENSORS
 from assetlife.functions import present
-from assetlife.operators.stats import exact_percentiles_many, percentiles_of, written_columns
-from assetlife.session import materialize, ship
+from assetlife.operators.stats import exact_moments, exact_percentiles_many, percentiles_of, written_columns
+from assetlife.session import materialize, materialize_observed, ship
 
 DESCRIBE_COLS = ["count", "mean", "std", "min", "p25", "p50", "p75", "max"]
 
@@ -66,15 +67,13 @@ def engine_life(features: DataFrame, key_cols=None) -> DataFrame:
 
 
 def sensor_summary(df: DataFrame, sensor_cols=None) -> DataFrame:
-    """mean, sample std, min, max per sensor, one row per sensor (EX3)."""
+    """mean, sample std, min, max per sensor, one row per sensor (EX3), bit for
+    bit the same whatever the partitioning."""
     sensors = present(df, sensor_cols or FEATURE_SENSORS)
-    aggs = []
-    for s in sensors:
-        aggs += [F.avg(s).alias(f"{s}__mean"), F.stddev_samp(s).alias(f"{s}__std"),
-                 F.min(s).cast("double").alias(f"{s}__min"), F.max(s).cast("double").alias(f"{s}__max")]
-    wide = df.agg(*aggs)
-    stack = ", ".join(f"'{s}', `{s}__mean`, `{s}__std`, `{s}__min`, `{s}__max`" for s in sensors)
-    return wide.select(F.expr(f"stack({len(sensors)}, {stack}) AS (sensor, mean, std, min, max)"))
+    table = df.select(*[F.col(s).cast("double").alias(s) for s in sensors])
+    table, seen = materialize_observed(table, [f(s).alias(f"{name}_{s}") for s in sensors for name, f in (("min", F.min), ("max", F.max))], "sensors")
+    rows = [(s, mean, math.sqrt(squares / (n - 1)) if n > 1 else None, seen[f"min_{s}"], seen[f"max_{s}"]) for s, (n, mean, squares) in exact_moments(table, sensors).items()]
+    return df.sparkSession.createDataFrame(rows, "sensor string, mean double, std double, min double, max double")
 
 
 def engine_sample(readings: DataFrame, engines=(1, 5, 10, 25, 50), sensor: str = "sensor_04") -> DataFrame:

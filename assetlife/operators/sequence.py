@@ -13,6 +13,8 @@ row, so that only exact copies are interchangeable.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
@@ -20,6 +22,7 @@ from assetlife.config import CYCLE, ENGINE, FEATURE_SENSORS, ROLLING_WINDOW
 from assetlife.functions import present
 from assetlife.operators.joins import join_per_group
 from assetlife.operators.segments import HEAVY_KEY_ROWS, sequence
+from assetlife.operators.stats import exact_moments, written_columns
 
 LINE_COLUMNS = ("_file", "_block", "_row")
 _TIE = "_tie"
@@ -74,6 +77,13 @@ def zscore_stats(df: DataFrame, sensors: list[str]) -> dict[str, tuple[Column, C
     return {s: (moments.select(f"m_{s}").scalar(), moments.select(f"s_{s}").scalar()) for s in sensors}
 
 
+def exact_zscore_stats(df: DataFrame, sensors: list[str]) -> dict[str, tuple[float | None, float | None]]:
+    """The same statistics as numbers, bit for bit the same whatever the
+    partitioning of ``df`` (two passes, now)."""
+    table, _ = written_columns(df, sensors)
+    return {s: (mean, None if not n else math.sqrt(squares / n)) for s, (n, mean, squares) in exact_moments(table, sensors).items()}
+
+
 def run_columns(key_cols: list[str] | None) -> list[str]:
     """The key columns that tell runs (variant, split) apart, without the engine."""
     return [k for k in (key_cols or [ENGINE]) if k not in (ENGINE, CYCLE)]
