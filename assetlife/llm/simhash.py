@@ -143,9 +143,11 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, s
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")
     grouped = rows.join(found, rows["fp"] == found["node"], "left").select(F.coalesce("component", "fp").alias("group"), place.alias("place"))
     grouped = materialize(grouped.groupBy("group", "place").agg(F.count("*").alias("n")), "simhash-groups")
-    first = grouped.groupBy("group").agg(F.min("place").alias("first"))
-    held = grouped.join(first, "group").select(F.col("place.doc_id").alias("__near_id"), F.col("place.digest").alias("__near_digest"), "n", (F.col("place") == F.col("first")).alias("stays"))
-    held = materialize(held, "simhash-held")
+    # equal texts are of one group, so a row's own id and digest tell whether it is the first: no rows meet by group
+    first = grouped.groupBy("group").agg(F.min("place").alias("first")).select(F.col("first.doc_id").alias("first_id"), F.col("first.digest").alias("first_digest"))
+    held = grouped.select(F.col("place.doc_id").alias("__near_id"), F.col("place.digest").alias("__near_digest"), "n")
+    same = held["__near_id"].eqNullSafe(first["first_id"]) & (held["__near_digest"] == first["first_digest"])
+    held = materialize(held.join(first, same, "left").select("__near_id", "__near_digest", "n", F.col("first_digest").isNotNull().alias("stays")), "simhash-held")
     named = docs.withColumn("__near_sha", F.unhex(F.sha2(F.coalesce(F.col(text).cast("string"), F.lit("")), 256)))
 
     def among(df: DataFrame, some: DataFrame, how: str) -> DataFrame:
