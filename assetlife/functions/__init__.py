@@ -35,8 +35,10 @@ def nan_to_null(c: str | Column) -> Column:
 def string_to_double(c: str | Column) -> Column:
     """pandas ``to_numeric(errors='coerce')`` on text: bad token -> NULL, NaN -> NULL."""
     x = col_of(c)
-    casted = F.when(x.rlike(NUMERIC_TOKEN), F.trim(x).try_cast(T.DoubleType()))
-    return nan_to_null(casted)
+    number = F.trim(x).try_cast(T.DoubleType())
+    # of these characters alone the cast takes what pandas takes, and no NaN comes of them
+    plain = ~x.rlike(r"[^0-9eE+.\-\s]")
+    return F.when(plain, number).when(x.rlike(NUMERIC_TOKEN), nan_to_null(number))
 
 
 def to_double(df: DataFrame, name: str) -> Column:

@@ -126,11 +126,12 @@ def parse_trajectory_lines(lines: DataFrame, keep: list[str] | None = None, on_m
     """
     keep = keep or []
     body = lines.filter(_holds_something("value")).withColumn("_tok", tokens(F.col("value")))
+    # one small expression for all tokens: 26 copies of it are more than the JVM compiles
+    body = body.withColumn("_val", F.transform("_tok", string_to_double))
     width = len(RAW_COLUMNS)
     cols = []
     for i, name in enumerate(RAW_COLUMNS):
-        tok = F.get(F.col("_tok"), i)
-        val = string_to_double(tok)
+        tok, val = F.get(F.col("_tok"), i), F.get(F.col("_val"), i)
         if name in (ENGINE, CYCLE):
             bad = val.isNull() | (F.abs(val) == F.lit(float("inf")))
             checked = F.when(bad, F.raise_error(F.concat(F.lit(f"invalid {name} token: "),
