@@ -188,7 +188,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 13, key: st
     words, longest the longest of them.  items: ids as strings, sorted, each
     once.  Null and empty texts have no words, items without words match
     nothing, repeated rows count each for themselves, an empty benchmark hits
-    nothing; other columns are not read.
+    nothing; other columns are not read.  Texts are read whole, however long; a
+    word hit by several items counts once and each of them is named.
     """
     blocks = list(_blocks(benchmark, item, item_text))
     if len(blocks) == 1:
@@ -246,7 +247,8 @@ def contaminated(n_hit: str = "n_hit", n_words: str = "n_words"):
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 13, text: str = "text") -> DataFrame:
     """``docs`` without the rows whose text the benchmark contaminates; all
-    columns, and rows without words, stay as they are."""
+    columns, and rows without words, stay as they are.  Repeated rows go or stay
+    together."""
     blocks = list(_blocks(benchmark, "item_id", "text"))
     if len(blocks) > 1:
         gone = contamination(docs.select(F.xxhash64(text).alias("doc_id"), text), benchmark, size, "doc_id", text).where(contaminated()).select("doc_id").distinct()

@@ -122,7 +122,9 @@ def predict(docs: DataFrame, model: Model, sharpness: float = 12.0, ambiguous: f
     ``score`` (0 to 1) is the share of the best language in exp(-loss);
     ambiguous: score under the threshold.  Null texts, texts without a letter
     and a model without languages give ``und`` with score 0, no second and
-    ambiguous true.
+    ambiguous true.  Of languages that are level the first by name is taken.
+    Texts are read whole, however long; repeated rows get a row each; other
+    columns, also those named like results, are not read.
     """
     shipped = docs.sparkSession.sparkContext.broadcast(model)
 

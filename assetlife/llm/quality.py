@@ -113,6 +113,8 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, max_per_class: int =
     ``labels``; ``learn`` says which of its rows may be learned from.
 
     Without rows of both classes all weights are zero (every score is 0.5).
+    Of rows that repeat an id one text is learned from (the one with the smallest
+    hash); labels without a document, null ids and other columns are not read.
     """
     sample = F.broadcast(training_rows(labels, learn, max_per_class, key))  # 2 * max_per_class rows at most
     picked = docs.select(F.col(key).cast("long").alias("_id"), F.col(text).alias("_t")).join(sample, "_id")
@@ -160,7 +162,8 @@ def score(docs: DataFrame, weights: np.ndarray, key: str = "doc_id", text: str =
     """(doc_id, score): one row per row of ``docs``, 0 to 1.
 
     Null and empty texts have no features and score 0.0; a model without
-    evidence gives every other text 0.5.
+    evidence gives every other text 0.5.  Texts are read whole, however long;
+    equal texts score alike; other columns are not read.
     """
     shipped = docs.sparkSession.sparkContext.broadcast(weights)
 
@@ -179,7 +182,8 @@ def score(docs: DataFrame, weights: np.ndarray, key: str = "doc_id", text: str =
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, learn: Column, max_per_class: int = 4000) -> DataFrame:
-    """``docs`` without the rows whose text scores under 0.5; columns as they are."""
+    """``docs`` without the rows whose text scores under 0.5; columns, whatever
+    their names, stay as they are, and equal texts go or stay together."""
     shipped = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, learn, max_per_class))
     return keep_rows(docs, shipped)
 

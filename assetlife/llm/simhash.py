@@ -113,9 +113,10 @@ def simhash_components(docs: DataFrame, shingle: int = 4, max_bits: int = 4, see
 
     ``component_id`` is the smallest doc_id reachable over links of at most
     ``max_bits`` differing bits.  Null and empty texts have fingerprint zero
-    and link like any other.  Rows without a doc_id link with nothing and get
-    a null component; repeated rows stay, each with its own result row; an
-    empty table gives an empty result.
+    and link like any other; texts are read whole, however long.  Rows without a
+    doc_id link with nothing and get a null component; repeated rows stay, each
+    with its own result row; other columns, also those named like results, are not
+    read; an empty table gives an empty result.
     """
     fps = materialize(fingerprints(docs, shingle, seed, key, text), "simhash")
     heads = fps.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("id"))

@@ -436,8 +436,9 @@ def cut_repeats(docs: DataFrame, length: int = 100, key: str = "doc_id", text: s
     ``length`` bytes that also starts earlier; spans are the maximal removed
     runs.
 
-    Null text counts as empty, texts shorter than ``length`` stay whole, an
-    empty table gives an empty result, other columns are not read.  Rows with
+    Null text counts as empty, texts shorter than ``length`` stay whole, longer
+    ones of any length are judged whole, an empty table gives an empty result,
+    other columns are not read.  Rows with
     the same id and text are one document and get equal results; different
     texts under one id are documents of their own in the order of their SHA-256
     digests; rows without an id come after all others.
