@@ -115,3 +115,16 @@ def test_no_worse_than_mllib(spark):
     other = ml.regression_metrics(ml.predict(ml.fit_random_forest(train, features, num_trees=20, max_depth=5), test)).first()
     assert mine["n_test"] == other["n_test"] > 0
     assert mine["rmse"] <= 1.05 * other["rmse"] and mine["mae"] <= 1.05 * other["mae"] and mine["r2"] >= other["r2"] - 0.05
+
+
+def test_prediction_conditions_do_not_multiply(spark):
+    """Known rows are told from the values: what Spark derives of the plan stays as small as the features are many."""
+    names = [f"f{i}" for i in range(14)]
+    train = spark.createDataFrame([(e, c, 10 - c, *[float(e * c + i) for i in range(14)]) for e in range(3) for c in range(10)],
+                                  "engine_id long, cycle long, rul long, " + ", ".join(f"{n} double" for n in names))
+    forest = hist.fit_forest(train, names, trees=2, depth=2, bins=4)
+    holed = train.withColumn("f3", F.when(F.col("cycle") != 4, F.col("f3"))).withColumn("f13", F.when(F.col("cycle") != 6, F.col("f13")))
+    out = hist.predict_forest(forest, holed)
+    assert out._jdf.queryExecution().optimizedPlan().children().apply(0).constraints().size() < 200
+    assert {r["cycle"] for r in out.where("prediction is null").collect()} == {4, 6}
+    assert out.where("prediction is not null").count() == 24
