@@ -13,13 +13,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assetlife.session import scratch_path
+from assetlife.session import compiled_methods, scratch_path
 from assetlife.sources.text import parse_trajectory_lines
 
 
 def trajectory_stream(spark: SparkSession, raw_dir: str, pattern: str = "*.txt") -> DataFrame:
     """A streaming frame of parsed rows from text files arriving in ``raw_dir``
     (``source_path`` keeps the file each row came from)."""
+    compiled_methods(spark)
     lines = (spark.readStream.format("text").option("pathGlobFilter", pattern)
              .option("recursiveFileLookup", "true").load(raw_dir)
              .select("value", F.col("_metadata.file_path").alias("source_path")))

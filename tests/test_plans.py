@@ -95,3 +95,13 @@ def test_scratch_tables_can_be_dropped(spark):
     mark = scratch_mark(spark)
     path = materialize(spark.range(3), "gone").inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
     assert os.path.isdir(path) and drop_scratch(spark, mark) == 1 and not os.path.isdir(path)
+
+
+def test_rows_are_dealt_by_engine_once(spark):
+    """The adapters number rows by the engine's own column: feature windows need no second shuffle."""
+    from assetlife.plans.registry import li
+    from assetlife.operators.sequence import add_sensor_delta
+    from assetlife.sources.adapters import event_trajectories
+    for rows in (li(spark, SF), event_trajectories(spark, SF)):
+        plan = add_sensor_delta(rows)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1
