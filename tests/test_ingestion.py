@@ -108,3 +108,28 @@ def test_engines_without_target_keep_their_rows(spark):
     targets = spark.createDataFrame([(1, 10.0), (3, 5.0), (9, 1.0)], "engine_id bigint, rul double")
     got = sorted(tuple(r) for r in src.attach_official_rul(rows, targets).fillna(-1.0).collect())
     assert got == [(1, 1, 11.0), (1, 2, 10.0), (2, 1, -1.0), (2, 2, -1.0), (3, 1, 6.0), (3, 2, 5.0)]
+
+
+def test_lines_of_plain_numbers_and_others_parse_alike(spark):
+    """Lines cast as one array and lines that go token by token give the numbers of their tokens."""
+    tails = ["+1.5 -2. .5 1e3 1E-2", "- 1e . +-1 1.5", "1e999 00012 -0.0 1 2", "bad 1d NaN inf 0x1"]
+    lines = [f"1 {i} 0 0 100 {t} " + " ".join(["2"] * 16) for i, t in enumerate(tails)] + ["\t1   4\t0 0 100 7 \x0b8  "]
+    base = _write(spark, "train_FD001.txt", lines)
+    df = src.load_raw_data(spark, "FD001", "train", base, check_columns=False)
+    got = {r["cycle"]: [r[f"sensor_0{i}"] for i in range(1, 6)] for r in df.collect()}
+    inf = float("inf")
+    assert got == {0: [1.5, -2.0, 0.5, 1000.0, 0.01], 1: [None, None, None, None, 1.5], 2: [inf, 12.0, -0.0, 1.0, 2.0],
+                   3: [None, None, None, inf, None], 4: [7.0, 8.0, None, None, None]}
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "[^0-9eE" not in plan and "try_cast(_tok" in plan
+
+
+def test_stages_are_methods_that_the_jvm_compiles(spark):
+    key = "spark.sql.codegen.hugeMethodLimit"
+    spark.conf.unset(key)
+    src.read_lines(spark, _write(spark, "train_FD001.txt", _mini_lines()))
+    assert spark.conf.get(key) == "8000"
+    spark.conf.set(key, "20000")
+    src.read_lines(spark, _write(spark, "train_FD001.txt", _mini_lines()))
+    assert spark.conf.get(key) == "20000"
+    spark.conf.unset(key)
