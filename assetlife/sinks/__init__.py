@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame, Observation
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> str:
-    """Overwrite one Parquet dataset (a directory of part files)."""
-    writer = df.write.mode("overwrite")
+    """Overwrite one Parquet dataset (a directory of part files), compressed by
+    zstd: feature tables take less of the disk than by Spark's default."""
+    writer = df.write.mode("overwrite").option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)

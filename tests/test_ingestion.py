@@ -133,3 +133,18 @@ def test_stages_are_methods_that_the_jvm_compiles(spark):
     src.read_lines(spark, _write(spark, "train_FD001.txt", _mini_lines()))
     assert spark.conf.get(key) == "20000"
     spark.conf.unset(key)
+
+
+def test_feature_tables_are_written_by_zstd(spark):
+    import os
+
+    from pyspark.sql import functions as F
+
+    from assetlife import sinks
+    from assetlife.session import scratch_path, write_observed
+    first, second = scratch_path(spark, "written"), scratch_path(spark, "observed")
+    sinks.write_parquet(spark.range(5), first)
+    assert write_observed(spark.range(5), second, [F.count("id").alias("n")]) == {"n": 5}
+    for path in (first, second):
+        parts = [f for f in os.listdir(path.replace("file:", "")) if f.startswith("part-")]
+        assert parts and all(f.endswith(".zstd.parquet") for f in parts)
