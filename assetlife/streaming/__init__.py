@@ -14,10 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assetlife.session import compiled_methods, scratch_path
-from assetlife.sources.text import parse_trajectory_lines
+from assetlife.sources.text import TEXT_FILES, parse_trajectory_lines
 
 
-def trajectory_stream(spark: SparkSession, raw_dir: str, pattern: str = "*.txt") -> DataFrame:
+def trajectory_stream(spark: SparkSession, raw_dir: str, pattern: str = TEXT_FILES) -> DataFrame:
     """A streaming frame of parsed rows from text files arriving in ``raw_dir``
     (``source_path`` keeps the file each row came from)."""
     compiled_methods(spark)
@@ -28,7 +28,7 @@ def trajectory_stream(spark: SparkSession, raw_dir: str, pattern: str = "*.txt")
 
 
 def ingest_to_parquet(spark: SparkSession, raw_dir: str, table_path: str, checkpoint: str | None = None,
-                      available_now: bool = True, pattern: str = "*.txt"):
+                      available_now: bool = True, pattern: str = TEXT_FILES):
     """Append newly arrived rows to a Parquet table; returns the query handle.
 
     ``available_now`` processes what is there and stops (scheduled batch

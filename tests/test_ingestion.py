@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from assetlife.config import RAW_COLUMNS
 from assetlife.session import scratch_path
@@ -148,3 +149,43 @@ def test_feature_tables_are_written_by_zstd(spark):
     for path in (first, second):
         parts = [f for f in os.listdir(path.replace("file:", "")) if f.startswith("part-")]
         assert parts and all(f.endswith(".zstd.parquet") for f in parts)
+
+
+def test_text_is_written_once_and_listed_compressed(spark, tmp_path):
+    """Blank lines come in the same pass as the rows, parts are compressed and still one file of a listing."""
+    columns = [f"cast(id % 97 + {i} as double) / 7 as {c}" for i, c in enumerate(RAW_COLUMNS[2:])]
+    rows = spark.range(4000).selectExpr("1 + id % 3 as engine_id", "id as cycle", *columns)
+    from assetlife.sources.adapters import text_line, write_trajectory_text
+
+    base = str(tmp_path)
+    write_trajectory_text(rows, f"{base}/train_FD001.txt")
+    parts = list(tmp_path.glob("train_FD001.txt/part-*"))
+    assert parts and all(p.name.endswith(".txt.gz") for p in parts)
+    whole = rows.select(F.sum(F.length(text_line(rows)))).first()[0]
+    listed = src.list_available_files(spark, base)
+    spark.createDataFrame([("1 1",)], "value string").write.option("compression", "gzip").text(f"{base}/notes")
+    assert [(r.path.rsplit("/", 1)[-1], 0 < r.length < whole / 2) for r in src.list_available_files(spark, base).collect()] == [("train_FD001.txt", True)]
+    assert [r.n_lines for r in src.count_lines(spark, listed).collect()] == [4000]
+    assert spark.read.text(f"{base}/train_FD001.txt").where("trim(value) = ''").count() == rows.where("cycle % 13 = 4").count()
+    read = src.load_raw_data(spark, "FD001", "train", base)
+    assert read.select("engine_id", "cycle", "sensor_02").exceptAll(rows.select("engine_id", "cycle", "sensor_02")).isEmpty()
+
+
+def test_tokens_of_odd_blanks(spark):
+    df = spark.createDataFrame([(x,) for x in ("\t1 2\x0b3\f", " 1\r\n2", "1", "", "a\u00a0b 1", None)], "value string")
+    assert [r[0] for r in df.select(src.tokens(F.col("value"))).collect()] == [["1", "2", "3"], ["1", "2"], ["1"], [""], ["a\u00a0b", "1"], None]
+
+
+def test_targets_meet_rows_where_they_lie(spark):
+    """With the cycles that are left as a column, the result is the same and rows by engine are not shuffled again."""
+    rows = spark.createDataFrame([(e, c, 4 - c) for e in (1, 2, 3) for c in (1, 2, 4)], "engine_id bigint, cycle bigint, rul bigint")
+    targets = spark.createDataFrame([(1, 10.0), (3, 5.0)], "engine_id bigint, rul double")
+    plain = src.attach_official_rul(rows, targets)
+    given = src.attach_official_rul(rows, targets, remaining="rul")
+    assert given.columns == plain.columns and sorted(map(str, given.collect())) == sorted(map(str, plain.collect()))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        dealt = src.attach_official_rul(rows.repartition(8, "engine_id"), targets, remaining="rul")
+        assert str(dealt._jdf.queryExecution().executedPlan()).count("Exchange hashpartitioning") == 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
