@@ -3,7 +3,9 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from assetlife.config import FEATURE_SENSORS, FLEET_KEYS, SENSOR_COLS
 from assetlife.operators import lifecycle as fe
+from assetlife.operators import segments
 
 
 def test_rul(feature_frame):
@@ -47,3 +49,37 @@ def test_declared_order_follows_the_frame(feature_frame):
     frame = feature_frame.withColumn("op_setting_2", F.lit(0.0)).withColumn("rul", F.lit(1)).withColumn("sensor_03_delta", F.lit(0.0))
     assert fe.select_feature_columns(frame, ("sensor_03", "sensor_02")) == [
         "engine_id", "cycle", "sensor_03", "sensor_02", "op_setting_1", "op_setting_2", "sensor_03_delta", "rul"]
+
+
+def test_runs_are_not_shuffled_to_their_statistics(spark):
+    """Features of several runs: the rows are dealt once, by engine, and meet one row a run where they lie."""
+    rows = spark.range(300).selectExpr("concat('FD00', id % 2) as variant", "'train' as split", "id % 5 as engine_id", "id as cycle",
+                                       *[f"cast(id * {i} % 7 as double) as {s}" for i, s in enumerate(FEATURE_SENSORS, 1)])
+    out = fe.engineer_features(rows, key_cols=list(FLEET_KEYS))
+    plan = str(out._jdf.queryExecution().executedPlan())
+    assert plan.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in plan
+    mean = out.where("variant = 'FD001'").agg(F.avg("sensor_04_norm"), F.stddev_pop("sensor_04_norm")).first()
+    assert abs(mean[0]) < 1e-9 and abs(mean[1] - 1) < 1e-9
+
+
+def test_split_engines_lay_out_what_they_need(spark, monkeypatch):
+    """Only the columns that features are made of are laid out, and numbering shuffles rows no more after it."""
+    written = {}
+    real = segments.materialize
+
+    def noted(df, name):
+        written.setdefault(name, []).append(df.columns)
+        return real(df, name)
+
+    monkeypatch.setattr(segments, "materialize", noted)
+    other = [c for c in SENSOR_COLS if c not in FEATURE_SENSORS]
+    rows = spark.range(400).selectExpr("id % 2 as engine_id", "id as cycle", "0.0 as op_setting_1",
+                                       *[f"cast(id * {i} % 7 as double) as {s}" for i, s in enumerate([*FEATURE_SENSORS, *other], 1)])
+    split, whole = fe.engineer_features(rows, max_rows=50), fe.engineer_features(rows)
+    assert split.columns == whole.columns
+    names = [f"round({c}, 6) as {c}" for c in whole.columns]
+    assert split.selectExpr(*names).exceptAll(whole.selectExpr(*names)).isEmpty() and split.count() == 400
+    assert set(written["segments"][0]) == {"engine_id", "cycle", "op_setting_1", *FEATURE_SENSORS, "_at"}
+    numbered = segments.row_numbers(rows, ["engine_id"], [F.col("cycle")], max_rows=50)
+    assert str(numbered._jdf.queryExecution().executedPlan()).count("Exchange hashpartitioning") <= 1  # light engines' only
+    assert sorted(r[0] for r in numbered.where("engine_id = 1").select("_rn").collect()) == list(range(1, 201))
