@@ -130,21 +130,14 @@ def test_prediction_conditions_do_not_multiply(spark):
     assert out.where("prediction is not null").count() == 24
 
 
-def test_large_forest_reads_written_features(spark, monkeypatch):
-    """The split, the fit and the prediction read one written table; rows keep their nodes between levels."""
-    from assetlife.plans import registry
-
-    rows = spark.range(400).selectExpr("id % 20 as engine_id", "id as cycle", "cast(id * 7 % 13 as double) as sensor_02",
-                                       "cast(id % 5 as double) as sensor_04", "id % 17 as rul")
-    monkeypatch.setattr(registry, "li_features", lambda spark, sf_dir: rows.withColumn("before", F.expr("lag(sensor_02) over (partition by engine_id order by cycle)")))
-    real, plans, kept = ml.fit_random_forest, [], []
-
-    def small(train, features):
-        plans.append(str(train._jdf.queryExecution().optimizedPlan()))
-        model = real(train, features, num_trees=3, max_depth=3)
-        kept.append(model.stages[-1].getCacheNodeIds())
-        return model
-
-    monkeypatch.setattr(ml, "fit_random_forest", small)
-    out = registry.q_rf_large(spark, "unread").first()
-    assert "Window" not in plans[0] and kept == [True] and out["n_test"] == 4 * 19
+def test_large_forest_keeps_nodes_between_levels(spark):
+    """Rows keep their node in every tree, and the trees are those of a fit that walks them from their roots."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import RandomForestRegressor
+
+    rows = spark.range(400).selectExpr("cast(id * 7 % 13 as double) as a", "cast(id % 5 as double) as b", "id % 17 as rul").coalesce(1)
+    kept = ml.fit_random_forest(rows, ["a", "b"], num_trees=3, max_depth=4).stages[-1]
+    assert kept.getCacheNodeIds()
+    table = VectorAssembler(inputCols=["a", "b"], outputCol="_features").transform(materialize(rows, "walked"))
+    walked = RandomForestRegressor(featuresCol="_features", labelCol="rul", numTrees=3, maxDepth=4, seed=42).fit(table)
+    assert kept.toDebugString.split("\n", 1)[1] == walked.toDebugString.split("\n", 1)[1]
