@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -221,6 +222,40 @@ def test_lm_codes_that_meet_are_changed(spark, monkeypatch):
     assert lm_score.cross_entropy_difference(docs, target).orderBy("doc_id").collect() == want and seeds == [0, 1]
 
 
+def test_lm_writes_no_row_per_pair(spark, monkeypatch):
+    rng = random.Random(8)
+    texts = [" ".join(f"w{rng.randrange(300)}" for _ in range(1500)) for _ in range(60)] + ["", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(2)
+    target = spark.createDataFrame([(i,) for i in range(0, 60, 3)], "doc_id long")
+    rows, written = {}, lm_score.materialize
+
+    def counting(df, name="stage"):
+        out = written(df, name)
+        rows[name] = out.count()
+        return out
+
+    monkeypatch.setattr(lm_score, "materialize", counting)
+    want = lm_score.cross_entropy_difference(docs, target).orderBy("doc_id").collect()
+    pairs = len(brute_models(texts, [True] * 62, {f"w{i}".encode(): i + 2 for i in range(300)})[1][0])
+    assert pairs > 50_000 and sum(rows.values()) < pairs / 10
+    monkeypatch.setattr(lm_score, "HELD_PAIRS", 4000)
+    monkeypatch.setattr(lm_score, "_BUCKET_PAIRS", 7000)  # 13 buckets
+    assert lm_score.cross_entropy_difference(docs, target).orderBy("doc_id").collect() == want
+
+
+def test_lm_buckets_tell_all_pairs_apart():
+    rng = np.random.default_rng(9)
+    tokens = [rng.integers(2, 2000, 3000), np.zeros(0, np.int64), rng.integers(2, 2000, 500)]
+    assert all((lm_score._unpack(lm_score._pack(x)) == x).all() for x in [*tokens, np.array([0, 255, 256, 1 << 62]), np.zeros(3, np.int64)])
+    own = lm_score._Pairs(pa.table({"tokens": pa.array([lm_score._pack(x) for x in tokens], pa.binary())}))
+    assert own.n.tolist() == [3001, 0, 501] and own.counts.sum() == 3502
+    for bound, buckets in ((2000, 1), (2000, 7), (1 << 34, (1 << 6) + 1)):
+        number = rng.permutation(np.unique(rng.integers(0, bound, 8000)))[:2000] if bound > 2000 else rng.permutation(2000)
+        order, bucket, key = own.buckets(number, bound, buckets)
+        assert len(set(zip(bucket.tolist(), key.tolist()))) == len(own.pairs) and key.min() >= 0 and bucket.max() < buckets
+        assert (np.diff(bucket) >= 0).all() and (np.diff(key)[np.diff(bucket) == 0] > 0).all()
+
+
 def test_descent_has_its_number_of_even_parts(spark):
     sizes = {r["part"]: r["count"] for r in spark.range(6000).groupBy(quality.part_of("id").alias("part")).count().collect()}
     assert sorted(sizes) == list(range(6)) and max(sizes.values()) < 1.2 * min(sizes.values())
