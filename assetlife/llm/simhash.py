@@ -104,6 +104,9 @@ def fingerprint_links(fps: DataFrame, max_bits: int = 4) -> DataFrame:
     left = index.select(F.col("id").alias("id_a"), F.col("fp").alias("fp_a"), F.col("key").alias("key_a"))
     right = index.select(F.col("id").alias("id_b"), F.col("fp").alias("fp_b"), F.col("key").alias("key_b"))
     near = (F.col("fp_a") < F.col("fp_b")) & (F.bit_count(differ) <= max_bits)
+    # Spark takes an exploded table to be as small as the file it comes from: without the
+    # hint it would send the whole index, 64 rows a fingerprint, through the driver
+    right = right.hint("merge")
     here = F.expr(f"shiftleft(1L, cast(shiftrightunsigned(key_a, {width}) as int))") == own
     return left.join(right, (F.col("key_a") == F.col("key_b")) & near & here).select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
 

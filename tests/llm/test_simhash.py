@@ -98,3 +98,20 @@ def test_one_row_of_each_group_stays(spark):
         ids.setdefault(g, []).append((k is None, k or 0))
     assert {where[r["doc_id"], r["text"] or ""]: (r["doc_id"] is None, r["doc_id"] or 0) for r in kept} == {g: min(v) for g, v in ids.items()}
     assert drop_near_duplicates(docs.limit(0)).count() == 0
+
+
+def joins_of(df) -> str:
+    """The kinds of joins that Spark means to run, by its own estimates."""
+    import re
+
+    return " ".join(re.findall(r"\w+Join", df._jdf.queryExecution().executedPlan().toString()))
+
+
+def test_near_duplicate_stage_broadcasts_no_index(spark, monkeypatch):
+    from assetlife.llm import simhash
+
+    seen = []
+    monkeypatch.setattr(simhash, "components", lambda links, f=simhash.components: seen.append(joins_of(links)) or f(links))
+    docs = spark.range(300).selectExpr("id as doc_id", "concat('the words of text number ', id div 2, ' and so on to its end') as text", "'x' as fp", "id as key", "'y' as component_id")
+    assert drop_near_duplicates(docs).count() == 150
+    assert seen == ["SortMergeJoin"]
