@@ -107,6 +107,14 @@ def joins_of(df) -> str:
     return " ".join(re.findall(r"\w+Join", df._jdf.queryExecution().executedPlan().toString()))
 
 
+def test_the_index_is_not_broadcast(spark):
+    """Spark takes the exploded index to be as small as the file of fingerprints: it must not go through the driver whole."""
+    from assetlife.session import materialize
+
+    fps = materialize(spark.range(2000).selectExpr("id", "xxhash64(id) as fp"), "test-heads")
+    assert joins_of(fingerprint_links(fps)) == "SortMergeJoin"
+
+
 def test_near_duplicate_stage_broadcasts_no_index(spark, monkeypatch):
     from assetlife.llm import simhash
 
