@@ -141,3 +141,37 @@ def test_large_forest_keeps_nodes_between_levels(spark):
     table = VectorAssembler(inputCols=["a", "b"], outputCol="_features").transform(materialize(rows, "walked"))
     walked = RandomForestRegressor(featuresCol="_features", labelCol="rul", numTrees=3, maxDepth=4, seed=42).fit(table)
     assert kept.toDebugString.split("\n", 1)[1] == walked.toDebugString.split("\n", 1)[1]
+
+
+def test_weights_of_all_trees_are_those_of_each(spark):
+    keys = [(3, 1), (None, 2), (4, None), (None, None), (-7, 10**12)]
+    rows = spark.createDataFrame(keys, "engine_id long, cycle long").coalesce(1)
+    each = [tuple(r) for r in rows.select(*[hist.tree_weight(t, 9, ["engine_id", "cycle"]) for t in range(6)]).collect()]
+    texts = ["".join(f":{k}" for k in key if k is not None) for key in keys]
+    assert [tuple(r) for r in hist.tree_weights(texts, 6, 9).tolist()] == each
+    assert hist.tree_weights([], 3, 9).shape == (0, 3)
+
+
+def test_a_written_table_is_not_copied(spark, data, monkeypatch):
+    """The passes read the caller's table; the only table written has a row's label, weights and bins as three values."""
+    made = []
+    monkeypatch.setattr(hist, "materialize", lambda df, name: made.append((name, df.dtypes)) or materialize(df, name))
+    monkeypatch.setattr(hist, "materialize_observed", None)
+    fitted = hist.fit_forest(data[2], ["a", "b"], trees=2, depth=2, seed=9, written=True)
+    assert made == [("forest-bins", [("label", "double"), ("weights", "binary"), ("bins", "binary")])]
+    monkeypatch.undo()
+    assert fitted.table(spark).collect() == hist.fit_forest(data[2], ["a", "b"], trees=2, depth=2, seed=9).table(spark).collect()
+
+
+def test_many_bins_are_wider_than_a_byte(spark):
+    rows = spark.range(700).selectExpr("id as engine_id", "id as cycle", "id as rul", "cast(id as double) as a")
+    fitted = hist.fit_forest(rows, ["a"], trees=1, depth=1, bins=600)
+    assert len(fitted.edges[0]) > 255 and 250 < fitted.splits[0, 1][1] < 450
+
+
+def test_only_the_kept_columns_come_back(spark, data):
+    fitted = hist.fit_forest(data[2], ["a", "b"], trees=2, depth=2)
+    whole = hist.predict_forest(fitted, data[2])
+    some = hist.predict_forest(fitted, data[2], keep=["rul"])
+    assert some.columns == ["rul", "prediction"]
+    assert sorted(some.collect()) == sorted(whole.select("rul", "prediction").collect())
