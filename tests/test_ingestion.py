@@ -189,3 +189,20 @@ def test_targets_meet_rows_where_they_lie(spark):
         assert str(dealt._jdf.queryExecution().executedPlan()).count("Exchange hashpartitioning") == 2
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_lines_are_split_and_told_plain_without_costly_expressions(spark):
+    """A line of single blanks is split by the blank alone, and no line is struck out character by character to see
+    whether it is plain; both give what they gave, odd white space and line ends included."""
+    import re
+
+    from assetlife.functions import is_plain
+
+    odd = ["1 2 3", " 1 2", "1 2 ", "1  2", "1\t2", "1\x0b2\f3", "1\r2", "", " ", "1 2", "1 ", "12\n", "1 2", "1e5 -2.E+3", "1d", "NaN", "1 " * 200_000 + "1", None]
+    df = spark.createDataFrame([(v,) for v in odd], "value string")
+    got = df.select("value", src.tokens(F.col("value")).alias("t"), is_plain("value").alias("p")).collect()
+    ascii_space = " \t\n\x0b\f\r"
+    assert [r["t"] for r in got] == [None if v is None else re.split(r"[ \t\n\x0b\f\r]+", v.strip(ascii_space)) for v in odd]
+    assert [r["p"] for r in got] == [None if v is None else set(v) <= set("0123456789eE+-." + ascii_space) for v in odd]
+    plan = src.parse_trajectory_lines(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "translate(" not in plan and re.search(r"split\(value#\d+,  , -1\)", plan)
